@@ -117,7 +117,7 @@ def flatten(
     if not always and not array_columns(df):
         return df
     if wanted is not None:
-        top_level = {"_".join(path[:1]) for path, kind in leaf_paths(df.schema) if keep(NAMING[naming](path), kind)}
+        top_level = {path[0] for path, kind in leaf_paths(df.schema) if keep(NAMING[naming](path), kind)}
         df = df.select(*[quoted((name,)) for name in df.columns if name in top_level])
     while True:
         for name in array_columns(df):
