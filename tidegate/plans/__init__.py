@@ -1,0 +1 @@
+"""Whole loads: one declaration in, files and an audit trail out."""

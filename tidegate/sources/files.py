@@ -24,9 +24,9 @@ def with_source(df: DataFrame, ordered: bool = False) -> DataFrame:
     """Add the file each row came from and, on request, a value that rises with the row's place in its file."""
     columns = [F.col("*"), F.col("_metadata.file_path").alias(SOURCE_FILE)]
     if ordered:
-        columns.append(
-            F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias(SOURCE_ORDER)
-        )
+        # Block start, then row within the block; both padded so that text order is row order.
+        place = (F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        columns.append(F.concat(*[F.lpad(part.cast("string"), 20, "0") for part in place]).alias(SOURCE_ORDER))
     return df.select(*columns)
 
 

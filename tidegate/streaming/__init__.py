@@ -1,0 +1 @@
+"""File arrival as a stream."""
