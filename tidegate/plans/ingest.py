@@ -14,18 +14,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidegate.operators import quality, shape
 from tidegate.operators.flatten import flatten
+from tidegate.session import path_matches
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
-from tidegate.sources.files import (
-    Paths,
-    list_files,
-    read_delimited,
-    read_json,
-    read_json_multiline,
-    with_source,
-)
-from tidegate.sources.routing import ROUTES, name_glob, route_column, route_token, spec_name
+from tidegate.sources.files import Paths, read_delimited, read_json, read_json_multiline, with_source
+from tidegate.sources.routing import ROUTES, route_token, routed_to, spec_name, token_glob
 from tidegate.sources.rules import read_rules, rules_from_frame
 from tidegate.spec import DatasetSpec, RuleSpec
 from tidegate.specs import SET_A
@@ -41,16 +35,14 @@ class LoadResult:
     quarantine_path: str
 
 
-def read_raw(
-    spark: SparkSession, spec: DatasetSpec, path: Paths, glob: str | None = None, **options
-) -> DataFrame:
+def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) -> DataFrame:
     """The spec's files as they are, with their file name (and row order where the tenant needs it)."""
     if spec.format == "delimited":
-        raw = read_delimited(spark, path, spec.input_schema, glob=glob, **options)
+        raw = read_delimited(spark, path, spec.input_schema, **options)
     elif spec.format == "json_multiline":
-        raw = read_json_multiline(spark, path, spec.input_schema, glob=glob, **options)
+        raw = read_json_multiline(spark, path, spec.input_schema, **options)
     else:
-        raw = read_json(spark, path, spec.input_schema, glob=glob, **options)
+        raw = read_json(spark, path, spec.input_schema, **options)
     return with_source(raw, ordered=spec.tenant_scope == "file")
 
 
@@ -100,7 +92,6 @@ def ingest(
     description: str = "",
     file_name: str | None = None,
     load_date: str | None = None,
-    glob: str | None = None,
     table: str | None = None,
     database: Database | None = None,
     only: Column | None = None,
@@ -110,7 +101,7 @@ def ingest(
     The table append reads the columnar files just written; sources are parsed once.
     """
     spec.validate()
-    raw = read_raw(spark, spec, path, glob)
+    raw = read_raw(spark, spec, path)
     if only is not None:
         raw = raw.where(only)
     return load_rows(
@@ -179,20 +170,19 @@ def run_folder(
     specs: Mapping[str, DatasetSpec] = SET_A,
     **options,
 ) -> dict[str, LoadResult]:
-    """Load a folder of mixed files, each dataset in one plan over its own files.
+    """Load a folder of mixed files and subfolders, each dataset in one plan over its own files.
 
-    The name glob keeps other datasets' files out of the listing; the route test
-    on the file name settles names that hold more than one token.
+    The path pattern keeps other datasets' files out of the scan; the route test
+    settles paths that hold more than one token.
     """
     results = {}
     for token, name in ROUTES:
-        glob = name_glob(token)
-        if list_files(spark, folder, glob).isEmpty():
-            continue
-        results[name] = ingest(
-            spark, specs[name].repaired(), folder, job_id, f"{output}/{name}",
-            glob=glob, only=route_column(F.element_at(F.split(shape.SOURCE_FILE, "/"), -1)) == token, **options,
-        )
+        pattern = token_glob(folder, token)
+        if path_matches(spark, pattern):
+            results[name] = ingest(
+                spark, specs[name].repaired(), pattern, job_id, f"{output}/{name}",
+                only=routed_to(token, folder, F.col(shape.SOURCE_FILE)), **options,
+            )
     return results
 
 

@@ -60,3 +60,10 @@ def new_folder(spark: SparkSession, label: str) -> str:
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
+def path_matches(spark: SparkSession, pattern: str) -> bool:
+    """Whether a glob pattern names any file or folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return found is not None and len(found) > 0

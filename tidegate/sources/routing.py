@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -53,7 +54,18 @@ def add_route(df: DataFrame, name_column: str) -> DataFrame:
     return df.withColumns({"dataset": route_column(name), "spec": spec_column(name)})
 
 
-def name_glob(token: str) -> str:
-    """A file-name glob that finds a token in any case, so a scan lists only its own files."""
+def token_glob(folder: str, token: str) -> str:
+    """A path pattern for the files and subfolders of a folder that have a token in their name, in any case."""
     letters = (f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in token)
-    return f"*{''.join(letters)}*"
+    return f"{folder.rstrip('/')}/*{''.join(letters)}*"
+
+
+def key_below(folder: str, path: Column) -> Column:
+    """The part of a file path below a folder, which is what routing looks at."""
+    place = re.sub(r"^[a-z0-9]+:/+", "/", folder.rstrip("/")).replace("%", "%25").replace(" ", "%20")
+    return F.regexp_extract(path, re.escape(place) + "/(.*)$", 1)
+
+
+def routed_to(token: str, folder: str, path: Column) -> Column:
+    """Whether a file below ``folder`` belongs to the dataset of ``token`` (its first matching token)."""
+    return route_column(key_below(folder, path)) == token

@@ -10,10 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.operators.shape import SOURCE_FILE
 from tidegate.plans.ingest import load_rows, shape_rows
 from tidegate.sources.files import with_source
-from tidegate.sources.routing import name_glob, route_column
-from tidegate.operators.shape import SOURCE_FILE
+from tidegate.sources.routing import routed_to, token_glob
 from tidegate.spec import DatasetSpec, SpecError
 
 
@@ -26,22 +26,21 @@ def read_stream(
 ) -> DataFrame:
     """New files of one dataset. Streams need the input schema up front.
 
-    ``token`` keeps to files routed by their name.
+    ``token`` keeps to the files that are routed to it.
     """
     if spec.input_schema is None:
         raise SpecError(f"dataset {spec.name!r} has no input schema, which a stream needs")
     reader = spark.readStream.schema(spec.input_schema)
-    if token is not None:
-        reader = reader.option("pathGlobFilter", name_glob(token))
+    path = folder if token is None else token_glob(folder, token)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     if spec.format == "delimited":
-        rows = reader.options(header=True, sep="|", enforceSchema=False).csv(folder)
+        rows = reader.options(header=True, sep="|", enforceSchema=False).csv(path)
     else:
-        rows = reader.options(multiLine=spec.format == "json_multiline").json(folder)
+        rows = reader.options(multiLine=spec.format == "json_multiline").json(path)
     rows = with_source(rows, ordered=spec.tenant_scope == "file")
     if token is not None:
-        rows = rows.where(route_column(F.element_at(F.split(SOURCE_FILE, "/"), -1)) == token)
+        rows = rows.where(routed_to(token, folder, F.col(SOURCE_FILE)))
     return rows
 
 
