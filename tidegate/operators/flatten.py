@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import ArrayType, DataType, StructType
+from pyspark.sql.types import ArrayType, DataType, StructField, StructType
 
 from tidegate.spec import SpecError
 
@@ -98,6 +98,23 @@ def _keeper(wanted: frozenset[str] | None, naming: str) -> Callable[[str, DataTy
     return keep
 
 
+def prune_schema(schema: StructType, wanted: Iterable[str], parent: str = "") -> StructType:
+    """The fields of a nested schema that lead to wanted flat names."""
+    wanted = frozenset(wanted)
+
+    def pruned(kind: DataType, name: str) -> DataType | None:
+        if isinstance(kind, StructType):
+            inner = prune_schema(kind, wanted, name + "_")
+            return inner if inner.fields else None
+        if isinstance(kind, ArrayType):
+            element = pruned(kind.elementType, name)
+            return None if element is None else ArrayType(element, kind.containsNull)
+        return kind if name in wanted else None
+
+    fields = [(field, pruned(field.dataType, parent + field.name)) for field in schema.fields]
+    return StructType([StructField(f.name, kind, f.nullable) for f, kind in fields if kind is not None])
+
+
 def flatten(
     df: DataFrame,
     naming: str = "path",

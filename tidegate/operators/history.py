@@ -55,8 +55,13 @@ def changed(new: Column, old: Column, null_aware: bool = False) -> Column:
 
 
 def unknown_rows(stage: DataFrame, history: DataFrame, keys: Sequence[str], key_style: str = "null_safe") -> DataFrame:
-    """Stage rows whose key the history has in no version."""
-    return stage.alias("s").join(history.alias("h"), same_key(keys, "s", "h", key_style), "left_anti")
+    """Stage rows whose key the history has in no version.
+
+    Versions of one key meet in a partial aggregate first, so a key with very many
+    versions reaches the join as one row.
+    """
+    known = history.select(*[quoted((key,)) for key in keys]).distinct()
+    return stage.alias("s").join(known.alias("h"), same_key(keys, "s", "h", key_style), "left_anti")
 
 
 def compare_rows(stage: DataFrame, current: DataFrame, keys: Sequence[str], key_style: str = "null_safe") -> DataFrame:
@@ -140,15 +145,40 @@ def expired_rows(stage, history, keys, value, run_date, key_style="null_safe", n
     return mark_expired(_changed_pairs(stage, history, keys, value, key_style, null_aware).select("old.*"), run_date)
 
 
-def merge_history(history: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The history after a run: current rows of expired keys closed, new versions added."""
-    expired = changes.where(F.col("change") == "expired")
-    is_current = F.col("flag_del") == CURRENT_FLAG
-    kept = history.where(is_current).alias("h").join(
-        expired.select(*[quoted((key,)) for key in keys]).alias("e"), same_key(keys, "h", "e"), "left_anti"
+def merge_history(
+    stage: DataFrame,
+    history: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    run_date: str | Column,
+    key_style: str = "null_safe",
+    null_aware: bool = False,
+) -> DataFrame:
+    """The whole history after a run: one full join of the stage with the current rows.
+
+    A pair gives one or two rows: the current version as it was, or closed and
+    followed by the new one. Expired rows pass by the join.
+    """
+    columns = stage.columns
+    day = run_date if isinstance(run_date, Column) else F.lit(run_date)
+    end = F.lit(OPEN_END)
+    current = current_rows(history).select(*[quoted((name,)) for name in columns])
+    pairs = (
+        stage.withColumn("__staged", F.lit(True)).alias("s")
+        .join(current.withColumn("__known", F.lit(True)).alias("h"), same_key(keys, "s", "h", key_style), "full")
+        .select(
+            F.when(F.col("s.__staged"), F.struct(*[quoted(("s", name)) for name in columns])).alias("new"),
+            F.when(F.col("h.__known"), F.struct(*[quoted(("h", name)) for name in columns])).alias("old"),
+        )
     )
-    return (
-        history.where(~is_current)
-        .unionByName(kept)
-        .unionByName(changes.select(*[quoted((name,)) for name in history.columns]))
+    differs = changed(quoted(("new", value)), quoted(("old", value)), null_aware) == "YES"
+    versions = (
+        F.when(F.col("old").isNull(), F.array(_version("new", columns, CURRENT_FLAG, end, "new")))
+        .when(differs, F.array(
+            _version("old", columns, EXPIRED_FLAG, day, "expired"),
+            _version("new", columns, CURRENT_FLAG, end, "updated"),
+        ))
+        .otherwise(F.array(_version("old", columns, CURRENT_FLAG, end, "kept")))
     )
+    archive = history.where(F.col("flag_del") != CURRENT_FLAG)
+    return pairs.select(F.inline(versions)).drop("change").unionByName(archive)

@@ -98,30 +98,26 @@ def add_tenant(df: DataFrame, link_column: str, pattern: str = "[^/]+", target:
     return df.withColumn(link_column, tenant_id(quoted((link_column,)), pattern)).withColumnRenamed(link_column, target)
 
 
-def add_file_tenant(
-    df: DataFrame,
+def file_tenants(
+    links: DataFrame,
     link_column: str,
     pattern: str = "[^/]+",
     target: str = "company_id",
     file_column: str = SOURCE_FILE,
     order_column: str = SOURCE_ORDER,
 ) -> DataFrame:
-    """One tenant id per file, that of the file's first row.
+    """The tenant id of each file, taken from the link in its first row: one row per file."""
+    first = links.groupBy(file_column).agg(F.min_by(link_column, order_column).alias("__first_link"))
+    return first.select(file_column, tenant_id(F.col("__first_link"), pattern).alias(target))
+
+
+def add_file_tenant(df: DataFrame, tenants: DataFrame, link_column: str, file_column: str = SOURCE_FILE) -> DataFrame:
+    """Replace the link by the tenant id of the row's file.
 
-    The lookup holds one row per file after a map-side partial aggregate, so a
-    file with very many rows does not load one task. It is joined without a hint:
-    adaptive execution broadcasts it when it has measured it to be small.
+    The join has no hint: adaptive execution broadcasts the lookup once it has
+    measured it to be small, and splits the rows of a very large file otherwise.
     """
-    if link_column not in df.columns:
-        return df
-    first = df.groupBy(file_column).agg(F.min_by(link_column, order_column).alias("__first_link"))
-    tenants = first.select(
-        F.col(file_column).alias("__tenant_file"), tenant_id(F.col("__first_link"), pattern).alias(target)
-    )
-    return (
-        df.join(tenants, F.col(file_column) == F.col("__tenant_file"), "left")
-        .drop("__tenant_file", link_column)
-    )
+    return df.drop(link_column).join(tenants, file_column, "left")
 
 
 def add_import_date(df: DataFrame, path: Column | str) -> DataFrame:

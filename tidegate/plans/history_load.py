@@ -41,7 +41,8 @@ def part_column(spec: HistorySpec) -> Column:
     """Where a current row is kept."""
     if spec.partition_column is None:
         return F.lit("all")
-    return F.coalesce(quoted((spec.partition_column,)).cast("string"), F.lit("none"))
+    # The prefix keeps folder names from being read back as numbers or dates.
+    return F.coalesce(F.concat(F.lit("at-"), quoted((spec.partition_column,)).cast("string")), F.lit("none"))
 
 
 def create_history(rows: DataFrame, path: str, spec: HistorySpec) -> None:
@@ -51,12 +52,7 @@ def create_history(rows: DataFrame, path: str, spec: HistorySpec) -> None:
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path).drop(PART)
-
-
-def _stored(spark: SparkSession, path: str) -> DataFrame:
-    stored = spark.read.parquet(path)
-    return stored.withColumns({PART: F.col(PART).cast("string"), "flag_del": F.col("flag_del").cast("string")})
+    return spark.read.parquet(path).drop(PART)
 
 
 def _write_parts(rows: DataFrame, path: str) -> None:
@@ -90,8 +86,8 @@ def write_changes(
 def apply_changes(spark: SparkSession, path: str, spec: HistorySpec, changes: DataFrame, job_id: str) -> None:
     """Rewrite the parts that changed; repeating it gives the same table."""
     added = changes.where(F.col("change").isin("new", "updated")).withColumn(PART, part_column(spec))
-    closed = changes.where(F.col("change") == "expired").withColumn(PART, F.lit(job_id))
-    current = _stored(spark, path).where(F.col("flag_del") == CURRENT_FLAG)
+    closed = changes.where(F.col("change") == "expired").withColumn(PART, F.lit(f"load-{job_id}"))
+    current = spark.read.parquet(path).where(F.col("flag_del") == CURRENT_FLAG)
     parts = added.select(PART).distinct()
     listed = [row[PART] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
     if len(listed) <= MAX_LISTED_PARTS:

@@ -11,9 +11,10 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.operators import quality, shape
-from tidegate.operators.flatten import flatten
+from tidegate.operators.flatten import flatten, prune_schema
 from tidegate.session import path_matches
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
@@ -35,14 +36,17 @@ class LoadResult:
     quarantine_path: str
 
 
+def scan_schema(spec: DatasetSpec) -> str | StructType | None:
+    """The part of the input schema that reaches the output; JSON parsing skips the rest."""
+    if spec.input_schema is None or spec.format == "delimited":
+        return spec.input_schema
+    return prune_schema(StructType.fromDDL(spec.input_schema), spec.wanted)
+
+
 def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) -> DataFrame:
     """The spec's files as they are, with their file name (and row order where the tenant needs it)."""
-    if spec.format == "delimited":
-        raw = read_delimited(spark, path, spec.input_schema, **options)
-    elif spec.format == "json_multiline":
-        raw = read_json_multiline(spark, path, spec.input_schema, **options)
-    else:
-        raw = read_json(spark, path, spec.input_schema, **options)
+    readers = {"delimited": read_delimited, "json": read_json, "json_multiline": read_json_multiline}
+    raw = readers[spec.format](spark, path, scan_schema(spec), **options)
     return with_source(raw, ordered=spec.tenant_scope == "file")
 
 
@@ -58,8 +62,9 @@ def shape_rows(
     ``file_name`` is one text for all rows; without it each row names its own file.
     """
     working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER) if name in raw.columns]
+    documents = raw
     if spec.format != "delimited":
-        raw = flatten(raw, wanted=spec.wanted | set(working))
+        raw = flatten(documents, wanted=spec.wanted | set(working))
     source = file_name if file_name is not None else F.col(shape.SOURCE_FILE)
     extra = ([spec.tenant_column] if spec.tenant_column else []) + working
     rows = (
@@ -68,10 +73,14 @@ def shape_rows(
         .transform(shape.cast_declared, spec.casts)
         .transform(shape.rename, spec.renames)
     )
-    if spec.tenant_column is not None:
-        add = shape.add_file_tenant if spec.tenant_scope == "file" else shape.add_tenant
-        link = spec.renames.get(spec.tenant_column, spec.tenant_column)
-        rows = add(rows, link, spec.tenant_pattern, spec.tenant_target)
+    link = spec.renames.get(spec.tenant_column, spec.tenant_column)
+    if link in rows.columns and spec.tenant_scope == "row":
+        rows = shape.add_tenant(rows, link, spec.tenant_pattern, spec.tenant_target)
+    elif link in rows.columns:
+        # Links are looked up in the documents as they are, before their arrays are exploded.
+        links = flatten(documents, wanted={spec.tenant_column, *working})
+        tenants = shape.file_tenants(links, spec.tenant_column, spec.tenant_pattern, spec.tenant_target)
+        rows = shape.add_file_tenant(rows, tenants, link)
     rows = shape.drop_duplicates(rows.drop(*working))
     return quality.flag_missing(rows, _present(spec, rows))
 

@@ -17,6 +17,8 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Loads write two folders per task: both stay open, so rows need no sort by folder.
+    "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
 
 

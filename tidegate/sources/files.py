@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.operators.shape import SOURCE_FILE, SOURCE_ORDER
 
 Paths = str | Sequence[str]
+Schema = str | StructType | None
 
 
-def _reader(spark: SparkSession, schema: str | None, glob: str | None, options: dict) -> DataFrameReader:
+def _reader(spark: SparkSession, schema: Schema, glob: str | None, options: dict) -> DataFrameReader:
     reader = spark.read
     if schema:
         reader = reader.schema(schema)
@@ -31,7 +33,7 @@ def with_source(df: DataFrame, ordered: bool = False) -> DataFrame:
 
 
 def read_json(
-    spark: SparkSession, path: Paths, schema: str | None = None, glob: str | None = None, **options
+    spark: SparkSession, path: Paths, schema: Schema = None, glob: str | None = None, **options
 ) -> DataFrame:
     """One JSON document per line.
 
@@ -44,7 +46,7 @@ def read_json(
 def read_json_multiline(
     spark: SparkSession,
     path: Paths,
-    schema: str | None = None,
+    schema: Schema = None,
     glob: str | None = None,
     corrupt_column: str | None = None,
     **options,
@@ -63,7 +65,7 @@ def read_json_multiline(
 def read_delimited(
     spark: SparkSession,
     path: Paths,
-    schema: str | None = None,
+    schema: Schema = None,
     separator: str = "|",
     glob: str | None = None,
     **options,
@@ -77,7 +79,7 @@ def read_delimited(
     return _reader(spark, schema, glob, options).csv(path)
 
 
-def read_csv(spark: SparkSession, path: Paths, schema: str | None = None, **options) -> DataFrame:
+def read_csv(spark: SparkSession, path: Paths, schema: Schema = None, **options) -> DataFrame:
     """Comma-separated sample tables: header row, quoted fields may hold commas."""
     return read_delimited(spark, path, schema, separator=",", **options)
 

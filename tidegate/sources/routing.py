@@ -33,25 +33,23 @@ def spec_name(token: str | None) -> str | None:
     return dict(ROUTES).get(token)
 
 
-def _first_match(name: Column, position: int) -> Column:
+def route_column(name: Column) -> Column:
+    """The first token found in a name column; null where none is."""
     def add(chain, route):
-        return (F if chain is None else chain).when(contains_ignoring_case(name, route[0]), route[position])
+        return (F if chain is None else chain).when(contains_ignoring_case(name, route[0]), route[0])
 
     return reduce(add, ROUTES, None)
 
 
-def route_column(name: Column) -> Column:
-    """The first token found in a name column; null where none is."""
-    return _first_match(name, 0)
-
-
-def spec_column(name: Column) -> Column:
-    return _first_match(name, 1)
+def spec_column(token: Column) -> Column:
+    """The spec of a token; null for no token."""
+    specs = F.create_map(*[F.lit(text) for route in ROUTES for text in route])
+    return F.try_element_at(specs, token)
 
 
 def add_route(df: DataFrame, name_column: str) -> DataFrame:
-    name = F.col(name_column)
-    return df.withColumns({"dataset": route_column(name), "spec": spec_column(name)})
+    routed = df.withColumn("dataset", route_column(F.col(name_column)))
+    return routed.withColumn("spec", spec_column(F.col("dataset")))
 
 
 def token_glob(folder: str, token: str) -> str:

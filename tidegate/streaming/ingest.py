@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.shape import SOURCE_FILE
-from tidegate.plans.ingest import load_rows, shape_rows
+from tidegate.plans.ingest import load_rows, scan_schema, shape_rows
 from tidegate.sources.files import with_source
 from tidegate.sources.routing import routed_to, token_glob
 from tidegate.spec import DatasetSpec, SpecError
@@ -30,7 +30,7 @@ def read_stream(
     """
     if spec.input_schema is None:
         raise SpecError(f"dataset {spec.name!r} has no input schema, which a stream needs")
-    reader = spark.readStream.schema(spec.input_schema)
+    reader = spark.readStream.schema(scan_schema(spec))
     path = folder if token is None else token_glob(folder, token)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

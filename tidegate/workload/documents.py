@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.workload.registry import Tables
 
-PAGE_ROWS = 200
+PAGE_BITS = 8
 
 
 def as_json(df: DataFrame) -> DataFrame:
@@ -23,11 +23,10 @@ def parsed(texts: DataFrame, schema: str) -> DataFrame:
     return texts.select(F.from_json("value", schema).alias("document")).select("document.*")
 
 
-def pages(rows: DataFrame, rows_per_page: int = PAGE_ROWS) -> DataFrame:
-    """One document per page, with the rows as the array ``results``."""
+def pages(rows: DataFrame, bits: int = PAGE_BITS) -> DataFrame:
+    """One document per page of ``2 ** bits`` rows, which become the array ``results``."""
     numbered = rows.select(
-        F.struct("*").alias("row"),
-        F.floor(F.monotonically_increasing_id() / F.lit(rows_per_page)).alias("page"),
+        F.struct("*").alias("row"), F.shiftright(F.monotonically_increasing_id(), bits).alias("page")
     )
     return numbered.groupBy("page").agg(F.collect_list("row").alias("results"))
 

@@ -186,7 +186,7 @@ def export_flat_csv(t: Tables) -> DataFrame:
         F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")).alias("customer"),
         F.col("c_acctbal").alias("balance"),
     )
-    paged = docs.pages(customers, 2_000).select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("value"))
+    paged = docs.pages(customers, 11).select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("value"))
     paged.write.option("maxRecordsPerFile", 1).text(source)
     schema = "results array<struct<balance: double, customer: struct<key: bigint, name: string>>>"
     plans.export_flat_csv(t.spark, source, output, schema)

@@ -126,9 +126,16 @@ def scd2_expired(t: Tables) -> DataFrame:
 
 @query("scd2_merged", MERGED_SQL)
 def scd2_merged(t: Tables) -> DataFrame:
-    history = history_before(t)
-    changes = ops.history_changes(stage_totals(t), history, KEYS, VALUE, RUN_DATE)
-    return as_double(ops.merge_history(history, changes, KEYS))
+    return as_double(ops.merge_history(stage_totals(t), history_before(t), KEYS, VALUE, RUN_DATE))
+
+
+@query("scd2_changes", f"""
+    SELECT {COLUMNS}, 'new' AS change FROM ({NEW_SQL}) UNION ALL SELECT {COLUMNS}, 'updated' FROM ({UPDATED_SQL})
+    UNION ALL SELECT {COLUMNS}, 'expired' FROM ({EXPIRED_SQL})
+""")
+def scd2_changes(t: Tables) -> DataFrame:
+    """All three outputs of a run from one comparison."""
+    return as_double(ops.history_changes(stage_totals(t), history_before(t), KEYS, VALUE, RUN_DATE))
 
 
 @query("scd2_concat_key", f"""

@@ -107,7 +107,7 @@ def flatten_leaf_names(t: Tables) -> DataFrame:
 
 
 @query("flatten_nested_arrays", """
-    SELECT doc_id AS id, lang AS origin_lang, count(*) AS words, sum(length(word)) AS characters
+    SELECT doc_id AS id, lang AS origin_lang, count(*) AS words, CAST(sum(length(word)) AS BIGINT) AS characters
     FROM documents, unnest(string_split(text, chr(10))) AS p(paragraph), unnest(string_split(paragraph, ' ')) AS w(word)
     GROUP BY doc_id, lang
 """)
@@ -144,7 +144,7 @@ def multiline_scan(t: Tables) -> DataFrame:
     customers = t.customer.select(
         F.col("c_custkey").alias("key"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance")
     )
-    paged = docs.pages(customers, 2_000).select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("value"))
+    paged = docs.pages(customers, 11).select(F.to_json(F.struct("results"), {"pretty": "true"}).alias("value"))
     paged.write.option("maxRecordsPerFile", 1).text(folder)
     schema = "results array<struct<key: bigint, name: string, balance: double>>"
     return flatten(read_json_multiline(t.spark, folder, schema))

@@ -139,7 +139,7 @@ RULES = [
 
 
 @query("rule_violations", f"""
-    SELECT 1 AS rule_id, count(*) FILTER (segment IS NULL) AS violations FROM {CUSTOMERS}
+    SELECT CAST(1 AS BIGINT) AS rule_id, count(*) FILTER (segment IS NULL) AS violations FROM {CUSTOMERS}
     UNION ALL SELECT 2, count(*) FILTER (balance IS NULL) FROM {CUSTOMERS}
     UNION ALL SELECT 3, count(*) FILTER (segment IS NULL OR balance IS NULL) FROM {CUSTOMERS}
     UNION ALL SELECT 4, count(*) FILTER (c_custkey IS NULL) FROM {CUSTOMERS}
