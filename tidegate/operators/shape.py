@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions import import_date, iso_date, nth_match
 from tidegate.operators.flatten import quoted
+from tidegate.spec import LINEAGE
 
 # Partition keys of dated layouts, and the stamps of row versions.
 IMPORT_KEYS = ("import_year", "import_month", "import_day", "import_date")
@@ -33,15 +34,20 @@ def resolve_name(df: DataFrame, name: str) -> str | None:
 def stamp_lineage(
     df: DataFrame,
     job_id: str | Column,
-    file_name: str | Column,
+    file_name: str | Column | None,
     load_date: str | Column | None = None,
+    columns: Sequence[str] = LINEAGE,
 ) -> DataFrame:
-    """Add job id, file name and load date; a pinned date makes a rerun give the same rows."""
+    """Add job id, file name and load date (or the ``columns`` of these that are wanted).
+
+    A pinned date makes a rerun give the same rows.
+    """
     def literal(value):
         return value if isinstance(value, Column) else F.lit(value)
 
     day = iso_date(F.current_timestamp()) if load_date is None else literal(load_date)
-    return df.withColumns({"job_id": literal(job_id), "file_name": literal(file_name), "file_load_dt": day})
+    stamps = {"job_id": literal(job_id), "file_name": literal(file_name), "file_load_dt": day}
+    return df.withColumns({name: stamps[name] for name in columns})
 
 
 def pad_and_project(

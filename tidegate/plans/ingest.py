@@ -22,7 +22,7 @@ from tidegate.sources.database import Database
 from tidegate.sources.files import Paths, read_delimited, read_json, read_json_multiline, with_source
 from tidegate.sources.routing import ROUTES, route_token, routed_to, spec_name, token_glob
 from tidegate.sources.rules import read_rules, rules_from_frame
-from tidegate.spec import DatasetSpec, RuleSpec
+from tidegate.spec import LINEAGE, DatasetSpec, RuleSpec
 from tidegate.specs import SET_A
 
 
@@ -65,11 +65,14 @@ def shape_rows(
     documents = raw
     if spec.format != "delimited":
         raw = flatten(documents, wanted=spec.wanted | set(working))
-    source = file_name if file_name is not None else F.col(shape.SOURCE_FILE)
+    # Lineage that is equal for all rows is added after the duplicate drop, to keep it out of the shuffle.
+    stamped = [name for name in spec.columns if name in LINEAGE]
+    if file_name is None and "file_name" in stamped:
+        raw = raw.withColumn("file_name", F.col(shape.SOURCE_FILE))
+        stamped.remove("file_name")
     extra = ([spec.tenant_column] if spec.tenant_column else []) + working
     rows = (
-        shape.stamp_lineage(raw, job_id, source, load_date)
-        .transform(shape.pad_and_project, spec.columns, extra, spec.missing_value)
+        shape.pad_and_project(raw, [c for c in spec.columns if c not in stamped], extra, spec.missing_value)
         .transform(shape.cast_declared, spec.casts)
         .transform(shape.rename, spec.renames)
     )
@@ -82,6 +85,11 @@ def shape_rows(
         tenants = shape.file_tenants(links, spec.tenant_column, spec.tenant_pattern, spec.tenant_target)
         rows = shape.add_file_tenant(rows, tenants, link)
     rows = shape.drop_duplicates(rows.drop(*working))
+    targets = [spec.renames.get(name, name) for name in spec.columns]
+    added = [name for name in rows.columns if name not in targets]
+    lineage = {name: F.col(name).alias(spec.renames.get(name, name)) for name in stamped}
+    rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped)
+    rows = rows.select(*[lineage.get(c, F.col(spec.renames.get(c, c))) for c in spec.columns], *added)
     return quality.flag_missing(rows, _present(spec, rows))
 
 

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of this library relies on. Partition counts are left to
 # the cluster: adaptive execution merges small shuffle partitions and splits
@@ -59,6 +59,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return path
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal the rows of a scan with fewer splits than cores out to all cores.
+
+    For input that cannot be split (one row group, a compressed or multi-line
+    file) in front of costly row work. A scan with splits enough is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidegate.session import spread
 from tidegate.workload.registry import Tables
 
 PAGE_BITS = 8
@@ -45,7 +46,7 @@ def charges() -> Column:
 
 
 def line_rows(t: Tables) -> DataFrame:
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         F.struct(
             F.col("l_orderkey").alias("id"), F.struct(F.col("l_linenumber").alias("number")).alias("line")
         ).alias("order"),
@@ -68,7 +69,7 @@ LINE_DOCUMENT = (
 
 def line_documents(t: Tables) -> DataFrame:
     """One document per line with two sibling arrays: its charges, and its two status marks."""
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         F.struct(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("number")).alias("order"),
         charges().alias("charges"),
         F.array("l_returnflag", "l_linestatus").alias("marks"),
@@ -98,7 +99,7 @@ def invoice_documents(t: Tables) -> DataFrame:
         ).alias("lines"),
     )
     link = F.concat(F.lit("/companies/"), F.col("o_custkey").cast("string"), F.lit("/orders"))
-    return t.orders.select(
+    return spread(t.orders).select(
         F.struct(F.struct(link.alias("href")).alias("self")).alias("_links"),
         F.array(result).alias("results"),
     )

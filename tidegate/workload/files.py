@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from tidegate.functions import iso_date
 from tidegate.operators import quality
 from tidegate.plans import ingest as plans
-from tidegate.session import new_folder
+from tidegate.session import new_folder, spread
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
@@ -151,7 +151,7 @@ def ingest_plan(t: Tables) -> DataFrame:
 
 def payment_rows(t: Tables) -> DataFrame:
     """Payment lines; returned ones have no organisation."""
-    return t.lineitem.select(
+    return spread(t.lineitem).select(
         F.col("l_orderkey").alias("PaymentIdentifier"),
         F.col("l_linenumber").alias("ClaimIdentifier"),
         F.when(F.col("l_returnflag") != "R", F.col("l_suppkey")).alias("OrgIdentifier"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.operators.flatten import flatten, flatten_separately, flatten_structs
-from tidegate.session import new_folder
+from tidegate.session import new_folder, spread
 from tidegate.sources.files import read_json, read_json_multiline
 from tidegate.workload import documents as docs
 from tidegate.workload.registry import Tables, query
@@ -112,7 +112,7 @@ def flatten_leaf_names(t: Tables) -> DataFrame:
     GROUP BY doc_id, lang
 """)
 def flatten_nested_arrays(t: Tables) -> DataFrame:
-    nested = t.documents.select(
+    nested = spread(t.documents).select(
         F.col("doc_id").alias("id"),
         F.struct("lang", "source").alias("origin"),
         F.transform(

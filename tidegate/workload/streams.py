@@ -35,7 +35,7 @@ def stream_dedup(t: Tables) -> DataFrame:
         .select("user_id", "event_type")
     )
     (
-        drop_stream_duplicates(rows).writeStream.format("parquet").option("path", output)
+        drop_stream_duplicates(rows, salts=8).writeStream.format("parquet").option("path", output)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     )
     return t.spark.read.schema("user_id bigint, event_type string").parquet(output).select(F.col("user_id"), "event_type")
