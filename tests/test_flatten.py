@@ -1,0 +1,133 @@
+import pytest
+from conftest import rows
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Row
+
+from tidegate.operators.flatten import flatten, flatten_separately, flatten_structs, leaf_paths, prune_schema
+from tidegate.spec import SpecError
+from pyspark.sql.types import StructType
+
+
+def frame(spark, schema, *data):
+    return spark.createDataFrame(list(data), schema)
+
+
+def test_struct_names_are_paths_in_level_order(spark):
+    df = frame(spark, "s struct<x: int, deep: struct<z: int>>, a int, r struct<y: int>", ((1, (2,)), 3, (4,)))
+    flat = flatten_structs(df)
+    assert flat.columns == ["a", "r_y", "s_x", "s_deep_z"]
+    assert flat.collect()[0] == Row(a=3, r_y=4, s_x=1, s_deep_z=2)
+
+
+def test_null_struct_gives_null_leaves(spark):
+    assert rows(flatten_structs(frame(spark, "s struct<x: int>, a int", (None, 1)))) == [{"a": 1, "s_x": None}]
+
+
+def test_empty_and_null_arrays_keep_their_row(spark):
+    df = frame(spark, "id int, items array<struct<v: int>>", (1, [(10,), (11,)]), (2, []), (3, None))
+    assert rows(flatten(df)) == [
+        {"id": 1, "items_v": 10}, {"id": 1, "items_v": 11}, {"id": 2, "items_v": None}, {"id": 3, "items_v": None},
+    ]
+
+
+def test_nested_arrays_and_arrays_of_arrays(spark):
+    df = frame(
+        spark, "results array<struct<id: int, lines: array<struct<links: array<int>>>>>, grid array<array<int>>",
+        ([(1, [([7, 8],), ([],)])], [[1], [2]]),
+    )
+    flat = flatten(df)
+    assert set(flat.columns) == {"grid", "results_id", "results_lines_links"}
+    assert flat.count() == 3 * 2
+
+
+def test_sibling_arrays_multiply_inside_a_document(spark):
+    df = frame(spark, "a array<int>, b array<string>", ([1, 2], ["x", "y", "z"]), ([], ["w"]))
+    assert flatten(df).count() == 6 + 1
+
+
+def test_document_without_array(spark):
+    df = frame(spark, "s struct<x: int>", ((1,),))
+    assert flatten(df).columns == ["s_x"]
+    assert flatten(df, always=False).columns == ["s"]
+
+
+def test_array_that_only_appears_inside_a_struct(spark):
+    df = frame(spark, "s struct<items: array<int>>", (([1, 2],),))
+    assert rows(flatten(df)) == [{"s_items": 1}, {"s_items": 2}]
+
+
+def test_map_passes_through(spark):
+    df = frame(spark, "m map<string, int>, a array<int>", ({"k": 1}, [1]))
+    assert rows(flatten(df)) == [{"m": {"k": 1}, "a": 1}]
+
+
+def test_names_with_dots_and_ticks(spark):
+    df = frame(spark, "`a.b` struct<`c``d`: int>", ((5,),))
+    assert rows(flatten(df)) == [{"a.b_c`d": 5}]
+
+
+def test_name_collision_is_reported_or_numbered(spark):
+    df = frame(spark, "a struct<b_c: int>, a_b struct<c: int>", ((1,), (2,)))
+    with pytest.raises(SpecError):
+        flatten(df)
+    assert set(flatten(df, on_collision="suffix").columns) == {"a_b_c", "a_b_c_2"}
+
+
+def test_collision_by_case_follows_the_session(spark):
+    df = frame(spark, "s struct<x: int>, S_X int", ((1,), 2))
+    with pytest.raises(SpecError):
+        flatten(df)
+
+
+def test_leaf_names(spark):
+    df = frame(spark, "a struct<b: struct<c: int>>, items array<struct<d: int>>", (((1,),), [(2,), (3,)]))
+    assert rows(flatten(df, naming="leaf")) == [{"c": 1, "d": 2}, {"c": 1, "d": 3}]
+
+
+def test_leaf_name_collision(spark):
+    df = frame(spark, "a struct<id: int>, b struct<id: int>", ((1,), (2,)))
+    with pytest.raises(SpecError):
+        flatten(df, naming="leaf")
+    assert flatten(df, naming="leaf", on_collision="suffix").columns == ["id", "id_2"]
+
+
+def test_unwanted_arrays_are_not_exploded(spark):
+    df = frame(
+        spark, "results array<struct<id: int, lines: array<struct<v: int>>>>, other array<int>",
+        ([(1, [(1,), (2,)]), (2, None)], [1, 2, 3]),
+    )
+    pruned = flatten(df, wanted=["results_id"])
+    assert rows(pruned) == [{"results_id": 1}, {"results_id": 2}]
+    assert rows(pruned.distinct()) == rows(flatten(df).select("results_id").distinct())
+    assert pruned._jdf.queryExecution().optimizedPlan().toString().count("Generate") == 1
+
+
+def test_wanted_names_that_do_not_exist_keep_the_rows(spark):
+    df = frame(spark, "a int", (1,), (2,))
+    assert flatten(df, wanted=["zzz"]).count() == 2
+
+
+def test_separate_arrays(spark):
+    df = frame(
+        spark, "id int, a array<struct<v: int>>, b array<string>", (1, [(5,), (6,)], ["x"]), (2, None, []),
+    )
+    tables = flatten_separately(df, ["id"])
+    assert rows(tables[""]) == [{"id": 1}, {"id": 2}]
+    assert rows(tables["a"]) == [{"id": 1, "a_position": 0, "a_v": 5}, {"id": 1, "a_position": 1, "a_v": 6}]
+    assert rows(tables["b"]) == [{"id": 1, "b_position": 0, "b": "x"}]
+
+
+def test_schema_pruning():
+    schema = StructType.fromDDL("a struct<x: int, y: int>, r array<struct<id: int, l: array<struct<v: int>>>>, m int")
+    assert prune_schema(schema, ["a_y", "r_id"]).simpleString() == "struct<a:struct<y:int>,r:array<struct<id:int>>>"
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.lists(st.integers(0, 9), max_size=3), st.lists(st.integers(0, 9), max_size=3)), min_size=1, max_size=5))
+def test_row_count_is_the_product_of_lengths(spark, documents):
+    df = frame(spark, "id int, a array<int>, s struct<b: array<int>>", *[
+        (i, a, (b,)) for i, (a, b) in enumerate(documents)
+    ])
+    flat = flatten(df)
+    assert flat.count() == sum(max(1, len(a)) * max(1, len(b)) for a, b in documents)
+    assert set(flat.columns) == {"_".join(path) for path, _ in leaf_paths(df.schema)}
