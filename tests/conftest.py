@@ -46,4 +46,4 @@ def write_file(tmp_path):
 
 def rows(df):
     """Rows as dictionaries, in an order that does not depend on the plan."""
-    return sorted((row.asDict(recursive=True) for row in df.collect()), key=lambda row: json.dumps(row, default=str))
+    return sorted((row.asDict(recursive=True) for row in df.collect()), key=lambda row: json.dumps(row, default=str, sort_keys=True))

@@ -1,0 +1,108 @@
+import glob
+from datetime import datetime, timedelta, timezone
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidegate.operators.quality import FLAG
+from tidegate.operators.shape import SNAPSHOT_KEYS
+from tidegate.sinks import audit
+from tidegate.sinks import files as sink
+
+
+def flagged(spark, *data):
+    return spark.createDataFrame(list(data), f"id int, {FLAG} boolean")
+
+
+def test_load_is_split_counted_and_replaced(spark, folder):
+    root = folder()
+    first = sink.write_load(flagged(spark, (1, False), (2, False), (3, True)), root, "007", FLAG)
+    assert sink.count_load(spark, first) == {"loaded": 2, "quarantined": 1}
+    sink.write_load(flagged(spark, (4, False)), root, "008", FLAG)
+    assert rows(sink.read_loads(spark, root)) == [{"id": 1}, {"id": 2}, {"id": 4}]
+    assert rows(sink.read_loads(spark, root, "quarantined")) == [{"id": 3}]
+    assert rows(sink.read_loads(spark, root, load_id="007")) == [{"id": 1}, {"id": 2}]
+    # A repeated load replaces both kinds of rows.
+    sink.write_load(flagged(spark, (9, False)), root, "007", FLAG)
+    assert rows(sink.read_loads(spark, root)) == [{"id": 4}, {"id": 9}]
+    assert sink.count_load(spark, first) == {"loaded": 1, "quarantined": 0}
+
+
+def test_empty_load(spark, folder):
+    root = folder()
+    path = sink.write_load(flagged(spark), root, "none", FLAG)
+    assert sink.count_load(spark, path) == {"loaded": 0, "quarantined": 0}
+    assert sink.read_loads(spark, root, schema="id int").count() == 0
+
+
+@pytest.mark.parametrize("load_id", ["", "a/b", "../up", "a b", ".hidden"])
+def test_load_ids_are_folder_names(load_id):
+    with pytest.raises(ValueError):
+        sink.load_folder("/x", load_id)
+
+
+def test_dated_layout(spark, folder):
+    path = folder()
+    df = spark.createDataFrame([(1, "2024-01-31"), (2, "2024-02-01")], "id int, d string").withColumn("d", F.to_date("d"))
+    sink.write_dated(df, path, F.col("d"))
+    names = sorted(name[len(path):] for name in glob.glob(f"{path}/*/*/*/*"))
+    assert names == [
+        "/import_year=2024/import_month=01/import_day=31/import_date=20240131",
+        "/import_year=2024/import_month=02/import_day=01/import_date=20240201",
+    ]
+    assert rows(spark.read.parquet(path).where("import_date = 20240201").select("id")) == [{"id": 2}]
+    other = folder()
+    sink.write_dated(df, other, F.col("d"), SNAPSHOT_KEYS)
+    assert len(glob.glob(f"{other}/snapshot_year=2024/*/*/snapshot_date=*")) == 2
+
+
+def test_only_touched_partitions_are_replaced(spark, folder):
+    path = folder()
+    sink.write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string"), path, partition_by=["p"])
+    sink.overwrite_partitions(spark.createDataFrame([(3, "b")], "id int, p string"), path, ["p"])
+    assert rows(spark.read.parquet(path)) == [{"id": 1, "p": "a"}, {"id": 3, "p": "b"}]
+
+
+def test_partitions_can_be_rewritten_from_themselves(spark, folder):
+    path = folder()
+    sink.write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string"), path, partition_by=["p"])
+    doubled = spark.read.parquet(path).where("p = 'a'").withColumn("id", F.col("id") * 2)
+    sink.overwrite_partitions(doubled, path, ["p"])
+    assert rows(spark.read.parquet(path)) == [{"id": 2, "p": "a"}, {"id": 2, "p": "b"}]
+
+
+def test_csv_with_header(spark, folder):
+    path = folder()
+    sink.write_csv(spark.range(10).repartition(3), path, single_file=True)
+    assert len(glob.glob(f"{path}/*.csv")) == 1
+    assert spark.read.csv(path, header=True).count() == 10
+    many = folder()
+    sink.write_csv(spark.range(10).repartition(3), many)
+    assert len(glob.glob(f"{many}/*.csv")) == 3
+
+
+def test_table_append(spark):
+    spark.sql("DROP TABLE IF EXISTS tidegate_appended")
+    try:
+        sink.append_table(spark.range(2), "tidegate_appended")
+        sink.append_table(spark.range(3), "tidegate_appended")
+        assert spark.table("tidegate_appended").count() == 5
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tidegate_appended")
+
+
+def test_audit_log_and_latest_state(spark, folder):
+    path, start = folder(), datetime(2024, 9, 15, 23, 59, 58, tzinfo=timezone.utc)
+    for job in ("j1", "j2"):
+        audit.append_audit(audit.audit_row(spark, job, "PAYMENT", audit.STARTED, "in", start, start), path)
+    end = start + timedelta(seconds=5)
+    done = audit.audit_row(spark, "j1", "PAYMENT", audit.COMPLETED, "in", start, end, 5, 3, 2, "bad/")
+    audit.append_audit(done, path)
+    audit.append_audit(done, path)
+    latest = {row.job_id: row for row in audit.latest_state(audit.read_audit(spark, path)).collect()}
+    assert set(latest) == {"j1", "j2"}
+    assert latest["j2"].status == "STARTED" and latest["j2"].total_record_count == 0
+    row = latest["j1"]
+    assert (row.status, row.total_record_count, row.load_record_count, row.error_record_count) == ("COMPLETED", 5, 3, 2)
+    assert (row.job_start_time, row.job_end_time, row.dq_file_path) == ("20240915235958", "20240916000003", "bad/")

@@ -1,0 +1,83 @@
+from dataclasses import replace
+
+import pytest
+from conftest import rows
+from test_plans import PAGES, page
+
+from tidegate.plans import ingest as plans
+from tidegate.sinks import audit
+from tidegate.sinks import files as sink
+from tidegate.spec import SpecError
+from tidegate.specs import SET_A
+from tidegate.streaming.dedup import drop_stream_duplicates
+from tidegate.streaming.ingest import read_stream, start_ingest
+
+INVOICE = SET_A["invoice"]
+
+
+def run(spark, spec, source, out, checkpoint, token=None, **options):
+    documents = read_stream(spark, spec, source, token=token, files_per_batch=1)
+    start_ingest(documents, spec, out, checkpoint, load_date="2024-09-15", **options).awaitTermination()
+
+
+def test_stream_equals_batch_and_takes_each_file_once(spark, write_file, folder):
+    out, checkpoint, log = folder(), folder(), folder()
+    source = f"{write_file.folder}/in"
+    write_file("in/Invoices_a.json", PAGES[:1])
+    write_file("in/other.json", [page("zz", {"id": "99", "invoiceNumber": "n"})])
+    run(spark, INVOICE, source, out, checkpoint, token="Invoices", audit=log)
+    write_file("in/b_INVOICES.json", PAGES[1:])
+    run(spark, INVOICE, source, out, checkpoint, token="Invoices", audit=log)
+    run(spark, INVOICE, source, out, checkpoint, token="Invoices", audit=log)
+
+    batch = folder()
+    plans.ingest(spark, INVOICE, [f"{source}/Invoices_a.json", f"{source}/b_INVOICES.json"], "j", batch, load_date="2024-09-15")
+    for status in (sink.LOADED, sink.QUARANTINED):
+        assert rows(sink.read_loads(spark, out, status).drop("job_id")) == rows(sink.read_loads(spark, batch, status).drop("job_id"))
+    states = audit.latest_state(audit.read_audit(spark, log)).collect()
+    assert {row.job_id: row.status for row in states} == {"invoice_0": "COMPLETED", "invoice_1": "COMPLETED"}
+
+
+def test_repeated_batch_replaces_its_rows(spark, write_file, folder):
+    out = folder()
+    write_file("in/a.json", PAGES)
+    for _ in range(2):
+        run(spark, INVOICE, f"{write_file.folder}/in", out, folder())
+    assert sink.read_loads(spark, out).count() == 3
+
+
+def test_delimited_stream(spark, write_file, folder):
+    out = folder()
+    spec = replace(SET_A["trizetto_payments"], input_schema="PaymentIdentifier string, OrgIdentifier string")
+    write_file("in/p.txt", "PaymentIdentifier|OrgIdentifier\n1|o\n2|\n")
+    run(spark, spec, f"{write_file.folder}/in", out, folder())
+    assert [row.pay_id for row in sink.read_loads(spark, out).collect()] == ["1"]
+
+
+def test_stream_needs_a_schema(spark):
+    with pytest.raises(SpecError):
+        read_stream(spark, SET_A["trizetto_claims"], "/tmp")
+
+
+@pytest.mark.parametrize("salts", [0, 4])
+def test_duplicates_across_files(spark, write_file, folder, salts):
+    for name in ("a", "b", "c"):
+        write_file(f"d/{name}.json", [{"k": n % 3, "v": n % 2} for n in range(20)])
+    source, out = f"{write_file.folder}/d", folder()
+    stream = spark.readStream.schema("k int, v int").option("maxFilesPerTrigger", 1).json(source)
+    (
+        drop_stream_duplicates(stream, salts=salts).writeStream.format("parquet").option("path", out)
+        .option("checkpointLocation", folder()).trigger(availableNow=True).start().awaitTermination()
+    )
+    assert rows(spark.read.parquet(out)) == rows(spark.read.json(source).select("k", "v").distinct())
+
+
+def test_duplicates_within_a_watermark(spark, write_file, folder):
+    write_file("w/a.json", [{"k": 1, "t": "2024-01-01T00:00:00"}, {"k": 1, "t": "2024-01-01T00:01:00"}, {"k": 2, "t": "2024-01-01T00:02:00"}])
+    out = folder()
+    stream = spark.readStream.schema("k int, t timestamp").json(f"{write_file.folder}/w")
+    (
+        drop_stream_duplicates(stream, ["k"], event_time="t", within="1 hour").writeStream.format("parquet")
+        .option("path", out).option("checkpointLocation", folder()).trigger(availableNow=True).start().awaitTermination()
+    )
+    assert rows(spark.read.parquet(out).select("k")) == [{"k": 1}, {"k": 2}]
