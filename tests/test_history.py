@@ -120,18 +120,50 @@ def test_load_equals_merge_and_is_idempotent(spark, before, day, partition):
     assert tuples(read_history(spark, path).select(*columns)) == merged
 
 
-def test_cut_off_load_is_finished_by_the_next_run(spark, before, day):
-    """Changes are written, the table is not: the rerun applies what was written."""
+@pytest.mark.parametrize("step", ["changes", "parts", "table"])
+def test_cut_off_load_is_finished_by_the_next_run(spark, before, day, step, monkeypatch):
+    """The run stops after a step; the same run again gives the whole table."""
     from tidegate.plans import history_load as plan
 
+    class Stop(Exception):
+        pass
+
+    def stop(*args, **kwargs):
+        raise Stop
+
     spec = HistorySpec(KEYS, VALUE, partition_column="k")
     path, export = new_folder(spark, "history"), new_folder(spark, "export")
     create_history(before, path, spec)
-    plan.write_changes(spark, ops.grouped_sum(day, KEYS, VALUE), path, spec, DAY, f"{export}/load=job_1")
+    following = {"changes": "write_parts", "parts": "overwrite_partitions", "table": "leave_mark"}[step]
+    with monkeypatch.context() as patched:
+        patched.setattr(plan, following, stop)
+        with pytest.raises(Stop):
+            load_history(spark, day, path, spec, DAY, "job_1", export)
     load_history(spark, day, path, spec, DAY, "job_1", export)
-    assert tuples(read_history(spark, path).where("flag_del = 'N'").select("k", "v")) == sorted(
-        [("same", 1.0), ("moved", 2.5), ("gone", 3.0), ("blank", None), ("new", 4.0), (None, 9.0)], key=str
-    )
+    columns = [name.split()[0] for name in TABLE.split(", ")]
+    assert tuples(read_history(spark, path).select(*columns)) == tuples(ops.merge_history(day, before, KEYS, VALUE, DAY))
+
+
+def test_late_rerun_does_not_undo_a_newer_load(spark, before):
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    create_history(before, path, spec)
+    load_history(spark, stage(spark, ("same", "x", 5.0)), path, spec, "2024-09-15", "d1", export)
+    load_history(spark, stage(spark, ("same", "x", 6.0)), path, spec, "2024-09-16", "d2", export)
+    load_history(spark, stage(spark, ("same", "x", 5.0)), path, spec, "2024-09-15", "d1", export)
+    current = read_history(spark, path).where("flag_del = 'N' AND k = 'same'")
+    assert [row.v for row in current.collect()] == [6.0]
+
+
+def test_publishing_to_a_database(spark, before, day):
+    from unittest.mock import MagicMock
+
+    from tidegate.plans.history_load import publish_changes
+
+    database, written = MagicMock(), {}
+    database.write.side_effect = lambda df, table, mode: written.update({table: (mode, df.count())})
+    publish_changes(ops.history_changes(day, before, KEYS, VALUE, DAY), database, "daily", "work")
+    assert written == {"work": ("overwrite", 1), "daily": ("append", 3)}
 
 
 def test_empty_stage_leaves_the_history_unchanged(spark, before):

@@ -123,6 +123,23 @@ def test_database_options():
     assert db.write_options("t", "overwrite", 4)["truncate"] == "true"
 
 
+def test_database_reads_and_writes_pass_their_options(spark):
+    """No database is started for tests: only what Spark is asked for is looked at."""
+    from unittest.mock import MagicMock
+
+    db, session, df = Database("jdbc:test:x", {"driver": "d"}), MagicMock(), MagicMock()
+    loaded = session.read.format.return_value.options
+    db.table(session, "t")
+    db.query(session, "SELECT 1")
+    assert [call.kwargs for call in loaded.call_args_list] == [
+        {"url": "jdbc:test:x", "driver": "d", "dbtable": "t"}, {"url": "jdbc:test:x", "driver": "d", "query": "SELECT 1"},
+    ]
+    db.write(df, "t", "overwrite", connections=2)
+    writer = df.write.format.return_value.options
+    assert writer.call_args.kwargs["truncate"] == "true" and writer.call_args.kwargs["numPartitions"] == "2"
+    writer.return_value.mode.assert_called_once_with("overwrite")
+
+
 def test_query_parameters_are_values(spark):
     spark.range(3).createOrReplaceTempView("numbers")
     got = read_query(spark, "SELECT id FROM numbers WHERE cast(id AS string) = :n", n="2' OR '1'='1")

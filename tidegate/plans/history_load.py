@@ -5,23 +5,25 @@ column, expired rows by the load that closed them. A load therefore reads only
 current rows, rewrites only the parts its keys live in, and never touches the
 archive of expired rows.
 
-The changes are written first. Applying them is a function of that written set
-which removes by key before it adds, so a load that was cut off can be run again
-under the same id without losing or doubling a version.
+A load goes in steps, each written in full before the next: the changes, the
+parts as they will be, the parts in the table, a mark. Run again under the same
+id, it goes on at the first step that is not complete and reads nothing that a
+later step may have replaced, so a cut-off load loses and doubles no version.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.operators import history as ops
 from tidegate.operators.flatten import quoted
 from tidegate.operators.shape import CURRENT_FLAG
-from tidegate.session import path_exists
-from tidegate.sinks.files import check_load_id
+from tidegate.session import leave_mark, path_exists
+from tidegate.sinks.files import check_load_id, overwrite_partitions
+from tidegate.sources.database import Database
 from tidegate.spec import HistorySpec
 
 PART = "part"
@@ -48,21 +50,15 @@ def part_column(spec: HistorySpec) -> Column:
 def create_history(rows: DataFrame, path: str, spec: HistorySpec) -> None:
     """Write a first history from rows that have their version columns."""
     part = F.when(F.col("flag_del") == CURRENT_FLAG, part_column(spec)).otherwise(F.lit("initial"))
-    _write_parts(rows.withColumn(PART, part), path)
+    overwrite_partitions(
+        rows.withColumn(PART, part).hint("rebalance", F.col("flag_del"), F.col(PART)), path, ["flag_del", PART]
+    )
 
 
 def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PART)
 
 
-def _write_parts(rows: DataFrame, path: str) -> None:
-    (
-        rows.hint("rebalance", F.col("flag_del"), F.col(PART))
-        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("flag_del", PART).parquet(path)
-    )
-
-
 def write_changes(
     spark: SparkSession, stage: DataFrame, path: str, spec: HistorySpec, run_date: str, folder: str
 ) -> None:
@@ -83,8 +79,10 @@ def write_changes(
     )
 
 
-def apply_changes(spark: SparkSession, path: str, spec: HistorySpec, changes: DataFrame, job_id: str) -> None:
-    """Rewrite the parts that changed; repeating it gives the same table."""
+def write_parts(
+    spark: SparkSession, path: str, spec: HistorySpec, changes: DataFrame, job_id: str, folder: str
+) -> None:
+    """Write the touched parts as they will be: rows of changed keys out, their new versions in."""
     added = changes.where(F.col("change").isin("new", "updated")).withColumn(PART, part_column(spec))
     closed = changes.where(F.col("change") == "expired").withColumn(PART, F.lit(f"load-{job_id}"))
     current = spark.read.parquet(path).where(F.col("flag_del") == CURRENT_FLAG)
@@ -97,8 +95,11 @@ def apply_changes(spark: SparkSession, path: str, spec: HistorySpec, changes: Da
     keys = added.select(*[quoted((key,)) for key in spec.keys])
     kept = current.alias("h").join(keys.alias("a"), ops.same_key(spec.keys, "h", "a", spec.key_style), "left_anti")
     columns = current.columns
-    _write_parts(
-        kept.unionByName(added.select(*columns)).unionByName(closed.select(*columns)), path
+    rewritten = kept.unionByName(added.select(*columns)).unionByName(closed.select(*columns))
+    (
+        rewritten.hint("rebalance", F.col("flag_del"), F.col(PART))
+        .write.mode("overwrite").option("partitionOverwriteMode", "static")
+        .partitionBy("flag_del", PART).parquet(f"{folder}/parts")
     )
 
 
@@ -110,22 +111,42 @@ def load_history(
     run_date: str,
     job_id: str,
     export: str,
-    totals: Callable[[DataFrame], DataFrame] | None = None,
 ) -> HistoryResult:
-    """Merge a stage slice (one row per key, or rows to be summed) into the history at ``path``.
+    """Merge a stage slice into the history at ``path``; stage rows of one key are summed.
 
     New, updated and expired rows stay under ``export`` for readers downstream.
+    Loads of one table run one after the other.
     """
     spec.validate()
     folder = f"{export.rstrip('/')}/load={check_load_id(job_id)}"
-    summed = totals(stage) if totals else ops.grouped_sum(stage, spec.keys, spec.value)
+    totals = ops.grouped_sum(stage, spec.keys, spec.value)
     if not path_exists(spark, f"{folder}/changes/_SUCCESS"):
-        write_changes(spark, summed, path, spec, run_date, folder)
-    schema = summed.schema.add("flag_del", "string").add("last_updt_dt", "string").add("change", "string")
-    changes = spark.read.schema(schema).parquet(f"{folder}/changes")
+        write_changes(spark, totals, path, spec, run_date, folder)
+    changes = read_changes(spark, totals, folder)
     counts = {row["change"]: row["count"] for row in changes.groupBy("change").count().collect()}
-    if counts:
-        apply_changes(spark, path, spec, changes, job_id)
+    if counts and not path_exists(spark, f"{folder}/applied"):
+        if not path_exists(spark, f"{folder}/parts/_SUCCESS"):
+            write_parts(spark, path, spec, changes, job_id, folder)
+        overwrite_partitions(spark.read.parquet(f"{folder}/parts"), path, ["flag_del", PART])
+        leave_mark(spark, f"{folder}/applied")
     return HistoryResult(
         job_id, f"{folder}/changes", counts.get("new", 0), counts.get("updated", 0), counts.get("expired", 0)
     )
+
+
+def read_changes(spark: SparkSession, totals: DataFrame, folder: str) -> DataFrame:
+    schema = StructType(totals.schema.fields)
+    for name in ("flag_del", "last_updt_dt", "change"):
+        schema.add(name, "string")
+    return spark.read.schema(schema).parquet(f"{folder}/changes")
+
+
+def publish_changes(changes: DataFrame, database: Database, table: str, work_table: str) -> None:
+    """Bring a run's changes to a history table in a database.
+
+    New versions are appended. Expired ones replace the rows of a work table, from
+    which one joined UPDATE in the database closes them all, instead of one per row.
+    """
+    added = changes.where(F.col("change").isin("new", "updated")).drop("change")
+    database.write(changes.where(F.col("change") == "expired").drop("change"), work_table, "overwrite")
+    database.write(added, table, "append")

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidegate.operators import quality, shape
-from tidegate.operators.flatten import flatten, prune_schema
+from tidegate.operators.flatten import flatten, prune_schema, quoted
 from tidegate.session import path_matches
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
@@ -85,11 +85,10 @@ def shape_rows(
         tenants = shape.file_tenants(links, spec.tenant_column, spec.tenant_pattern, spec.tenant_target)
         rows = shape.add_file_tenant(rows, tenants, link)
     rows = shape.drop_duplicates(rows.drop(*working))
-    targets = [spec.renames.get(name, name) for name in spec.columns]
-    added = [name for name in rows.columns if name not in targets]
-    lineage = {name: F.col(name).alias(spec.renames.get(name, name)) for name in stamped}
-    rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped)
-    rows = rows.select(*[lineage.get(c, F.col(spec.renames.get(c, c))) for c in spec.columns], *added)
+    tenant = [name for name in rows.columns if name not in spec.targets]
+    stamps = {name: spec.renames.get(name, name) for name in stamped}
+    rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped).transform(shape.rename, stamps)
+    rows = rows.select(*[quoted((name,)) for name in (*spec.targets, *tenant)])
     return quality.flag_missing(rows, _present(spec, rows))
 
 

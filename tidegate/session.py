@@ -74,6 +74,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def leave_mark(spark: SparkSession, path: str) -> None:
+    """An empty file that says a step is done."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, True).close()
+
+
 def path_matches(spark: SparkSession, pattern: str) -> bool:
     """Whether a glob pattern names any file or folder."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
