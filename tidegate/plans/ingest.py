@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidegate.operators import quality, shape
-from tidegate.operators.flatten import flatten, prune_schema, quoted
+from tidegate.operators.flatten import flatten, prune_schema
 from tidegate.session import path_matches
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
@@ -65,17 +65,15 @@ def shape_rows(
     documents = raw
     if spec.format != "delimited":
         raw = flatten(documents, wanted=spec.wanted | set(working))
-    # Lineage that is equal for all rows is added after the duplicate drop, to keep it out of the shuffle.
+    # Lineage and padding are equal for all rows: they come after the duplicate drop, out of its shuffle.
     stamped = [name for name in spec.columns if name in LINEAGE]
     if file_name is None and "file_name" in stamped:
         raw = raw.withColumn("file_name", F.col(shape.SOURCE_FILE))
         stamped.remove("file_name")
+    found = [name for name in spec.columns if name not in stamped and shape.resolve_name(raw, name) is not None]
     extra = ([spec.tenant_column] if spec.tenant_column else []) + working
-    rows = (
-        shape.pad_and_project(raw, [c for c in spec.columns if c not in stamped], extra, spec.missing_value)
-        .transform(shape.cast_declared, spec.casts)
-        .transform(shape.rename, spec.renames)
-    )
+    rows = shape.pad_and_project(raw, found, extra).transform(shape.cast_declared, spec.casts)
+    rows = shape.rename(rows, {name: spec.renames.get(name, name) for name in (*found, *extra)})
     link = spec.renames.get(spec.tenant_column, spec.tenant_column)
     if link in rows.columns and spec.tenant_scope == "row":
         rows = shape.add_tenant(rows, link, spec.tenant_pattern, spec.tenant_target)
@@ -88,8 +86,9 @@ def shape_rows(
     tenant = [name for name in rows.columns if name not in spec.targets]
     stamps = {name: spec.renames.get(name, name) for name in stamped}
     rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped).transform(shape.rename, stamps)
-    rows = rows.select(*[quoted((name,)) for name in (*spec.targets, *tenant)])
-    return quality.flag_missing(rows, _present(spec, rows))
+    rows = shape.pad_and_project(rows, spec.targets, tenant, spec.missing_value)
+    absent = {spec.renames.get(name, name): kind for name, kind in spec.casts.items() if name not in found}
+    return quality.flag_missing(shape.cast_declared(rows, absent), _present(spec, rows))
 
 
 def _present(spec: DatasetSpec, rows: DataFrame) -> list[str]:

@@ -231,7 +231,7 @@ def validate_rules(t: Tables) -> DataFrame:
     schema = (
         "results array<struct<id: string, invoiceNumber: string, customerRef: struct<customer: string>>>"
     )
-    texts = docs.as_json(t.orders.select(F.array(F.struct(
+    texts = docs.as_json(spread(t.orders).select(F.array(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string")).alias("invoiceNumber"),
         F.struct(
