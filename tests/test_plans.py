@@ -1,4 +1,5 @@
 import json
+import re
 from dataclasses import replace
 
 import pytest
@@ -166,8 +167,9 @@ def test_run_dataset_and_mixed_folder(spark, write_file, folder):
     assert {name: (r.loaded, r.rejected) for name, r in results.items()} == {
         "invoice": (4, 2), "trizetto_payments": (1, 1), "supplier": (0, 0),
     }
-    assert plans.run_dataset(spark, invoice, "j", folder()).loaded == 3
-    assert plans.run_dataset(spark, f"{write_file.folder}/in/readme.txt", "j", folder()) is None
+    assert plans.run_dataset(spark, invoice, folder(), "j").loaded == 3
+    assert re.fullmatch(r"Invoices_\d{14}_[0-9a-f]{6}", plans.run_dataset(spark, invoice, folder()).job_id)
+    assert plans.run_dataset(spark, f"{write_file.folder}/in/readme.txt", folder()) is None
 
 
 def test_export_flat_csv(spark, write_file, folder):

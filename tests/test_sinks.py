@@ -9,6 +9,7 @@ from tidegate.operators.quality import FLAG
 from tidegate.operators.shape import SNAPSHOT_KEYS
 from tidegate.sinks import audit
 from tidegate.sinks import files as sink
+from tidegate.sources.partitions import rows_after
 
 
 def flagged(spark, *data):
@@ -51,12 +52,22 @@ def test_dated_layout(spark, folder):
         "/import_year=2024/import_month=01/import_day=31/import_date=20240131",
         "/import_year=2024/import_month=02/import_day=01/import_date=20240201",
     ]
-    assert rows(spark.read.parquet(path).where("import_date = 20240201").select("id")) == [{"id": 2}]
+    later = rows_after(spark.read.parquet(path), "20240131")
+    assert rows(later.select("id")) == [{"id": 2}]
+    assert "PartitionFilters: [isnotnull(import_date" in later._jdf.queryExecution().executedPlan().toString()
     other = folder()
     sink.write_dated(df, other, F.col("d"), SNAPSHOT_KEYS)
     assert len(glob.glob(f"{other}/snapshot_year=2024/*/*/snapshot_date=*")) == 2
 
 
+def test_folder_of_a_day():
+    from datetime import date
+
+    assert sink.dated_folder("raw/x", date(2024, 2, 1)) == (
+        "raw/x/import_year=2024/import_month=02/import_day=01/import_date=20240201/"
+    )
+
+
 def test_only_touched_partitions_are_replaced(spark, folder):
     path = folder()
     sink.write_parquet(spark.createDataFrame([(1, "a"), (2, "b")], "id int, p string"), path, partition_by=["p"])

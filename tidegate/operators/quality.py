@@ -61,10 +61,10 @@ def check_rules(df: DataFrame, rules: Sequence[RuleSpec], output: str = "violate
 
 def count_violations(df: DataFrame, rules: Sequence[RuleSpec]) -> DataFrame:
     """Rows per rule that break it, rules without a violation included: one pass, one small result."""
-    counts = df.agg(*[F.count_if(rule_condition(rule)).alias(str(rule.rule_id)) for rule in rules])
+    counts = df.agg(*[F.count_if(rule_condition(rule)).alias(f"rule_{n}") for n, rule in enumerate(rules)])
     pairs = F.array(*[
-        F.struct(F.lit(rule.rule_id).cast("bigint").alias("rule_id"), F.col(f"`{rule.rule_id}`").alias("violations"))
-        for rule in rules
+        F.struct(F.lit(rule.rule_id).cast("bigint").alias("rule_id"), F.col(f"rule_{n}").alias("violations"))
+        for n, rule in enumerate(rules)
     ])
     return counts.select(F.inline(pairs))
 

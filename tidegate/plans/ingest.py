@@ -7,8 +7,10 @@ footers of the files just written, so they hold even if tasks were run twice.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -162,19 +164,25 @@ def load_rows(
     return LoadResult(job_id, folder, loaded + rejected, loaded, rejected, quarantine)
 
 
+def new_job_id(name: str, moment: datetime | None = None) -> str:
+    """A job id no other run has: dataset name, start time, random suffix."""
+    return f"{name}_{audit_log.compact(moment or audit_log.now())}_{uuid.uuid4().hex[:6]}"
+
+
 def run_dataset(
     spark: SparkSession,
     path: str,
-    job_id: str,
     output: str,
+    job_id: str | None = None,
     specs: Mapping[str, DatasetSpec] = SET_A,
     **options,
 ) -> LoadResult | None:
     """Load one file or folder as the dataset its name stands for; None where no dataset fits."""
-    name = spec_name(route_token(path))
-    if name is None:
+    token = route_token(path)
+    if token is None:
         return None
-    return ingest(spark, specs[name].repaired(), path, job_id, f"{output}/{name}", **options)
+    name = spec_name(token)
+    return ingest(spark, specs[name].repaired(), path, job_id or new_job_id(token), f"{output}/{name}", **options)
 
 
 def run_folder(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -36,6 +37,12 @@ def write_dated(
     write_parquet(dated.hint("rebalance", F.col(keys[-1])), path, mode, keys)
 
 
+def dated_folder(prefix: str, day: date, keys: Sequence[str] = IMPORT_KEYS) -> str:
+    """The folder of one day in a dated layout."""
+    layouts = ("%Y", "%m", "%d", "%Y%m%d")
+    return f"{prefix.rstrip('/')}/" + "".join(f"{key}={day.strftime(layout)}/" for key, layout in zip(keys, layouts))
+
+
 def overwrite_partitions(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Replace the partitions that occur in ``df`` and leave all others alone."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(path)

@@ -23,5 +23,10 @@ def folders_after(paths: DataFrame, path_column: str, after: str | int) -> DataF
     )
 
 
+def rows_after(dated: DataFrame, after: str | int, column: str = "import_date") -> DataFrame:
+    """Rows of a dated layout that are later than ``after``; older folders are not listed for reading."""
+    return dated.where(F.col(column).try_cast("int") > F.lit(int(after)))
+
+
 def list_folders_after(spark: SparkSession, root: Paths, after: str | int) -> DataFrame:
     return folders_after(list_files(spark, root), "path", after)

@@ -11,6 +11,7 @@ from tidegate.session import new_folder, spread
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
+from tidegate.sources.partitions import rows_after
 from tidegate.spec import RuleSpec
 from tidegate.specs import SET_A
 from tidegate.workload import documents as docs
@@ -58,6 +59,17 @@ def partitioned_write_read(t: Tables) -> DataFrame:
     return t.spark.read.schema(schema).parquet(folder)
 
 
+@query("incremental_rows", """
+    SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS import_date FROM events WHERE ts >= TIMESTAMP '2024-01-21'
+""")
+def incremental_rows(t: Tables) -> DataFrame:
+    """Rows of the dated folders that are newer than the last one taken."""
+    folder = new_folder(t.spark, "events-dated")
+    sink.write_dated(t.events.select("event_id", "ts"), folder, F.col("ts"))
+    dated = t.spark.read.schema("event_id bigint, import_date int").parquet(folder)
+    return rows_after(dated, "20240120").select("event_id", "import_date")
+
+
 @query("partition_overwrite", """
     SELECT event_id, event_type, strftime(ts, '%Y-%m-%d') AS day FROM events
     WHERE ts < TIMESTAMP '2024-01-16' OR event_type = 'error'

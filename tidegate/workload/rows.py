@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate import functions as fn
 from tidegate.operators import quality, shape
+from tidegate.session import new_folder
 from tidegate.sources.database import read_query
+from tidegate.sources.files import read_json, with_source
 from tidegate.sources.partitions import folders_after
 from tidegate.sources.routing import add_route
+from tidegate.sources.rules import read_rules, rules_from_frame
 from tidegate.spec import RuleSpec
 from tidegate.workload.registry import Tables, query
 
@@ -77,6 +82,19 @@ def tenant_from_link(t: Tables) -> DataFrame:
     return shape.add_tenant(t.pages.select("page_id", "url"), "url")
 
 
+@query("tenant_of_file", """
+    SELECT event_id, event_type AS company_id FROM events
+""")
+def tenant_of_file(t: Tables) -> DataFrame:
+    """One id per file, from its first row; a file holds the events of one type."""
+    folder = new_folder(t.spark, "events-by-type")
+    link = F.concat(F.lit("/companies/"), "event_type", F.lit("/"), F.col("user_id").cast("string"))
+    t.events.select("event_id", "event_type", link.alias("link")).write.partitionBy("event_type").json(folder)
+    raw = with_source(read_json(t.spark, f"{folder}/*", "event_id bigint, link string"), ordered=True)
+    tenants = shape.file_tenants(raw, "link")
+    return shape.add_file_tenant(raw, tenants, "link").select("event_id", "company_id")
+
+
 @query("import_date_parts", """
     SELECT o_orderkey, strftime(o_orderdate, '%Y%m%d') AS import_date, strftime(o_orderdate, '%d') AS import_day,
            strftime(o_orderdate, '%m') AS import_month, strftime(o_orderdate, '%Y') AS import_year
@@ -147,7 +165,12 @@ RULES = [
     UNION ALL SELECT 4, count(*) FILTER (c_custkey IS NULL) FROM {CUSTOMERS}
 """)
 def rule_violations(t: Tables) -> DataFrame:
-    return quality.count_violations(_customers(t), RULES)
+    """Rules come from a written rule document."""
+    folder = new_folder(t.spark, "rules")
+    rules = [{"rule_id": r.rule_id, "rule_type": r.rule_type, "columns": list(r.columns)} for r in RULES]
+    document = json.dumps({"dq_id": 1, "rules": rules}, indent=1)
+    t.spark.range(1).select(F.lit(document).alias("value")).write.text(folder)
+    return quality.count_violations(_customers(t), rules_from_frame(read_rules(t.spark, folder)))
 
 
 @query("rule_check_rows", f"""
