@@ -1,5 +1,4 @@
 import pytest
-from conftest import rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from tidegate.operators import history as ops

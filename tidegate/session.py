@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,9 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Stream state of many keys belongs on disk, not in the executors' heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # Loads write two folders per task: both stay open, so rows need no sort by folder.
     "spark.sql.maxConcurrentOutputFileWriters": "8",
 }
@@ -46,9 +50,12 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="tidegate-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
+
+
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tidegate-")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -30,10 +30,9 @@ def stream_ingest(t: Tables) -> DataFrame:
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
     output, checkpoint = new_folder(t.spark, "distinct"), new_folder(t.spark, "checkpoint")
-    rows = (
-        t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.folder)
-        .select("user_id", "event_type")
-    )
+    # The pattern names the table whether it is one file or a folder of files.
+    table = f"{t.folder.rstrip('/')}/events.parquet*"
+    rows = t.spark.readStream.schema(t.events.schema).parquet(table).select("user_id", "event_type")
     (
         drop_stream_duplicates(rows, salts=8).writeStream.format("parquet").option("path", output)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
