@@ -196,6 +196,30 @@ def test_several_days(spark):
     ]
 
 
+def test_decimal_sums_do_not_depend_on_row_order(spark):
+    amounts = [0.1] * 10 + [1e9, 0.2, -1e9] * 7
+    spec = HistorySpec(KEYS, VALUE, value_type="decimal(28,10)")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    first = ops.grouped_sum(stage(spark, *[("a", "x", v) for v in amounts]), KEYS, VALUE, spec.value_type)
+    create_history(ops.mark_current(first), path, spec)
+    for n, order in enumerate((amounts[::-1], sorted(amounts))):
+        rows = stage(spark, *[("a", "x", v) for v in order]).repartition(3)
+        result = load_history(spark, rows, path, spec, DAY, f"job_{n}", export)
+        assert (result.new, result.updated, result.expired) == (0, 0, 0)
+
+
+def test_daily_balance_from_the_first_load_on(spark):
+    from tidegate.specs import DAILY_BALANCE
+
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    schema = "company_name string, level_name string, acc_id string, acc_name string, bal_dt string, bal_amt double"
+    day = spark.createDataFrame([("c", "l", "1", None, "2024-09-15", 1.5), ("c", "l", "1", None, "2024-09-15", 2.0)], schema)
+    assert load_history(spark, day, path, DAILY_BALANCE, DAY, "first", export).new == 1
+    result = load_history(spark, day.withColumn("bal_amt", day.bal_amt + 1), path, DAILY_BALANCE, DAY, "second", export)
+    assert (result.new, result.updated, result.expired) == (0, 1, 1)
+    assert tuples(read_history(spark, path).selectExpr("CAST(bal_amt AS DOUBLE)", "flag_del")) == [(3.5, "Y"), (5.5, "N")]
+
+
 @pytest.mark.parametrize("bad", [
     HistorySpec((), "v"), HistorySpec(("k", "k"), "v"), HistorySpec(("k",), "k"),
     HistorySpec(("k",), "v", key_style="fuzzy"), HistorySpec(("k",), "v", partition_column="z"),

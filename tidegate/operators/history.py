@@ -24,9 +24,14 @@ def load_slice(df: DataFrame, load_date: str | Column, column: str = "file_load_
     return df.where(F.col(column) == (load_date if isinstance(load_date, Column) else F.lit(load_date)))
 
 
-def grouped_sum(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Sum of ``value`` per key, null keys grouped together. Rows are summed map-side before the shuffle."""
-    return df.groupBy(*[quoted((key,)) for key in keys]).agg(F.sum(quoted((value,))).alias(value))
+def grouped_sum(df: DataFrame, keys: Sequence[str], value: str, value_type: str | None = None) -> DataFrame:
+    """Sum of ``value`` per key, null keys grouped together. Rows are summed map-side before the shuffle.
+
+    With a ``value_type`` values are summed as that type and the sum has it too.
+    """
+    amount = quoted((value,))
+    total = F.sum(amount) if value_type is None else F.sum(amount.cast(value_type)).cast(value_type)
+    return df.groupBy(*[quoted((key,)) for key in keys]).agg(total.alias(value))
 
 
 def same_key(keys: Sequence[str], left: str, right: str, style: str = "null_safe") -> Column:

@@ -16,17 +16,18 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidegate.operators import history as ops
 from tidegate.operators.flatten import quoted
 from tidegate.operators.shape import CURRENT_FLAG
-from tidegate.session import leave_mark, path_exists
+from tidegate.session import leave_mark, path_exists, path_matches
 from tidegate.sinks.files import check_load_id, overwrite_partitions
 from tidegate.sources.database import Database
 from tidegate.spec import HistorySpec
 
 PART = "part"
+WRITTEN = ("flag_del", "last_updt_dt", "change")
 MAX_LISTED_PARTS = 5_000
 
 
@@ -59,6 +60,17 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).drop(PART)
 
 
+def _stored(spark: SparkSession, path: str, columns: StructType) -> DataFrame:
+    """The table with its part column; before the first load, a table without rows."""
+    if path_matches(spark, f"{path.rstrip('/')}/flag_del=*"):
+        return spark.read.parquet(path)
+    return spark.createDataFrame([], _with_strings(columns, "last_updt_dt", "flag_del", PART))
+
+
+def _with_strings(columns: StructType, *names: str) -> StructType:
+    return StructType([*columns.fields, *(StructField(name, StringType()) for name in names)])
+
+
 def write_changes(
     spark: SparkSession, stage: DataFrame, path: str, spec: HistorySpec, run_date: str, folder: str
 ) -> None:
@@ -71,7 +83,7 @@ def write_changes(
     stage.write.mode("overwrite").parquet(totals_path)
     totals = spark.read.schema(stage.schema).parquet(totals_path)
     changes = ops.history_changes(
-        totals, read_history(spark, path), spec.keys, spec.value, run_date, spec.key_style
+        totals, _stored(spark, path, stage.schema), spec.keys, spec.value, run_date, spec.key_style
     )
     (
         changes.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -85,7 +97,8 @@ def write_parts(
     """Write the touched parts as they will be: rows of changed keys out, their new versions in."""
     added = changes.where(F.col("change").isin("new", "updated")).withColumn(PART, part_column(spec))
     closed = changes.where(F.col("change") == "expired").withColumn(PART, F.lit(f"load-{job_id}"))
-    current = spark.read.parquet(path).where(F.col("flag_del") == CURRENT_FLAG)
+    columns = StructType([field for field in changes.schema.fields if field.name not in WRITTEN])
+    current = _stored(spark, path, columns).where(F.col("flag_del") == CURRENT_FLAG)
     parts = added.select(PART).distinct()
     listed = [row[PART] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
     if len(listed) <= MAX_LISTED_PARTS:
@@ -94,8 +107,8 @@ def write_parts(
         current = current.join(parts, PART, "left_semi")
     keys = added.select(*[quoted((key,)) for key in spec.keys])
     kept = current.alias("h").join(keys.alias("a"), ops.same_key(spec.keys, "h", "a", spec.key_style), "left_anti")
-    columns = current.columns
-    rewritten = kept.unionByName(added.select(*columns)).unionByName(closed.select(*columns))
+    versions = added.unionByName(closed).select(*[quoted((name,)) for name in current.columns])
+    rewritten = kept.unionByName(versions)
     (
         rewritten.hint("rebalance", F.col("flag_del"), F.col(PART))
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -119,7 +132,7 @@ def load_history(
     """
     spec.validate()
     folder = f"{export.rstrip('/')}/load={check_load_id(job_id)}"
-    totals = ops.grouped_sum(stage, spec.keys, spec.value)
+    totals = ops.grouped_sum(stage, spec.keys, spec.value, spec.value_type)
     if not path_exists(spark, f"{folder}/changes/_SUCCESS"):
         write_changes(spark, totals, path, spec, run_date, folder)
     changes = read_changes(spark, totals, folder)
@@ -135,10 +148,7 @@ def load_history(
 
 
 def read_changes(spark: SparkSession, totals: DataFrame, folder: str) -> DataFrame:
-    schema = StructType(totals.schema.fields)
-    for name in ("flag_del", "last_updt_dt", "change"):
-        schema.add(name, "string")
-    return spark.read.schema(schema).parquet(f"{folder}/changes")
+    return spark.read.schema(_with_strings(totals.schema, *WRITTEN)).parquet(f"{folder}/changes")
 
 
 def publish_changes(changes: DataFrame, database: Database, table: str, work_table: str) -> None:

@@ -133,10 +133,16 @@ class RuleSpec:
 
 @dataclass(frozen=True)
 class HistorySpec:
-    """A versioned table: key columns, the compared value, and how it is laid out."""
+    """A versioned table: key columns, the compared value, and how it is laid out.
+
+    ``value_type`` is what values are summed and compared as. A sum of doubles
+    depends on row order in its last digits, which would count as a change; a
+    decimal type makes it exact.
+    """
 
     keys: tuple[str, ...]
     value: str
+    value_type: str | None = None
     key_style: str = "null_safe"
     partition_column: str | None = None
     stage_query: str | None = None

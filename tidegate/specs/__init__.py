@@ -74,6 +74,7 @@ MONTHLY_INVOICE = replace(SET_A["invoice"], name="monthly_invoice", table="STG_I
 DAILY_BALANCE = HistorySpec(
     keys=declared.DAILY_KEYS,
     value=declared.DAILY_VALUE,
+    value_type="decimal(28,10)",
     partition_column="bal_dt",
     stage_table=declared.DAILY_STAGE_TABLE,
     history_table=declared.DAILY_HISTORY_TABLE,

@@ -29,8 +29,7 @@ LINE_CHARGES = """
     FROM ({LINE_CHARGES})
 """)
 def flatten_order_docs(t: Tables) -> DataFrame:
-    texts = docs.as_json(docs.pages(docs.line_rows(t)))
-    return flatten(docs.parsed(texts, docs.LINE_PAGE).drop("page"))
+    return flatten(docs.parsed(docs.as_json(docs.order_documents(t)), docs.LINE_PAGE))
 
 
 @query("flatten_structs", """
