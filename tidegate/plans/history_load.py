@@ -21,7 +21,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from tidegate.operators import history as ops
 from tidegate.operators.flatten import quoted
 from tidegate.operators.shape import CURRENT_FLAG
-from tidegate.session import leave_mark, path_exists, path_matches
+from tidegate.session import leave_mark, path_exists, path_matches, sized_shuffles
 from tidegate.sinks.files import check_load_id, overwrite_partitions
 from tidegate.sources.database import Database
 from tidegate.spec import HistorySpec
@@ -80,15 +80,17 @@ def write_changes(
     from their files, and Spark broadcasts them only below its own threshold.
     """
     totals_path = f"{folder}/totals"
-    stage.write.mode("overwrite").parquet(totals_path)
+    with sized_shuffles(stage):
+        stage.write.mode("overwrite").parquet(totals_path)
     totals = spark.read.schema(stage.schema).parquet(totals_path)
     changes = ops.history_changes(
         totals, _stored(spark, path, stage.schema), spec.keys, spec.value, run_date, spec.key_style
     )
-    (
-        changes.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("change").parquet(f"{folder}/changes")
-    )
+    with sized_shuffles(changes):
+        (
+            changes.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("change").parquet(f"{folder}/changes")
+        )
 
 
 def write_parts(
@@ -109,11 +111,12 @@ def write_parts(
     kept = current.alias("h").join(keys.alias("a"), ops.same_key(spec.keys, "h", "a", spec.key_style), "left_anti")
     versions = added.unionByName(closed).select(*[quoted((name,)) for name in current.columns])
     rewritten = kept.unionByName(versions)
-    (
-        rewritten.hint("rebalance", F.col("flag_del"), F.col(PART))
-        .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("flag_del", PART).parquet(f"{folder}/parts")
-    )
+    with sized_shuffles(rewritten):
+        (
+            rewritten.hint("rebalance", F.col("flag_del"), F.col(PART))
+            .write.mode("overwrite").option("partitionOverwriteMode", "static")
+            .partitionBy("flag_del", PART).parquet(f"{folder}/parts")
+        )
 
 
 def load_history(

@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 
 from tidegate.operators import quality, shape
 from tidegate.operators.flatten import flatten, prune_schema
-from tidegate.session import path_matches
+from tidegate.session import path_matches, sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
@@ -150,7 +150,8 @@ def load_rows(
             audit_log.append_audit(row, audit)
 
     record(audit_log.STARTED)
-    folder = sink.write_load(rows, output, job_id, quality.FLAG)
+    with sized_shuffles(rows):
+        folder = sink.write_load(rows, output, job_id, quality.FLAG)
     counts = sink.count_load(spark, folder)
     loaded, rejected = counts[sink.LOADED], counts[sink.QUARANTINED]
     if table is not None and loaded:

@@ -5,13 +5,14 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings every session of this library relies on. Partition counts are left to
-# the cluster: adaptive execution merges small shuffle partitions and splits
-# skewed ones, so a high static count is safe.
+# Settings every session of this library relies on. The number of shuffle partitions
+# is the cluster's; loads raise it to fit their input (see sized_shuffles).
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -26,6 +27,12 @@ SESSION_SETTINGS = {
 }
 
 
+FEW_SPLITS = 8
+PARTITION_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 50_000
+UNKNOWN_SIZE = 2**62
+
+
 def build_session(app: str = "tidegate", master: str | None = None, **settings: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -67,13 +74,39 @@ def new_folder(spark: SparkSession, label: str) -> str:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with fewer splits than cores out to all cores.
+    """Deal the rows of a scan with very few splits out to all cores.
 
-    For input that cannot be split (one row group, a compressed or multi-line
-    file) in front of costly row work. A scan with splits enough is left alone.
+    For small input that cannot be split (one row group, a compressed or
+    multi-line file) in front of costly row work. A scan of ``FEW_SPLITS`` or more
+    is left alone, so what is shuffled is at most a few split sizes.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Size of the files a frame reads, as far as Spark knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < UNKNOWN_SIZE)
+
+
+@contextmanager
+def sized_shuffles(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> Iterator[None]:
+    """Raise the number of shuffle partitions to what the frame's input needs, for one write.
+
+    Adaptive execution merges and splits partitions but does not start with more
+    than the setting. The setting is never lowered, and is put back afterwards.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(name)
+    needed = min(input_bytes(df) // partition_bytes, MOST_PARTITIONS)
+    try:
+        if needed > int(before):
+            conf.set(name, str(needed))
+        yield
+    finally:
+        conf.set(name, before)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
