@@ -220,9 +220,35 @@ def test_daily_balance_from_the_first_load_on(spark):
     assert tuples(read_history(spark, path).selectExpr("CAST(bal_amt AS DOUBLE)", "flag_del")) == [(3.5, "Y"), (5.5, "N")]
 
 
+def test_joined_text_keys_close_the_version_they_match(spark):
+    """The old version has its null in another column than the one that replaces it."""
+    spec = HistorySpec(KEYS, VALUE, key_style="concat")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    create_history(table(spark, ("a", None, 1.0, "N", "9999-12-31"), ("b", "x", 5.0, "N", "9999-12-31")), path, spec)
+    result = load_history(spark, stage(spark, (None, "a", 2.0)), path, spec, DAY, "j", export)
+    assert (result.new, result.updated, result.expired) == (0, 1, 1)
+    columns = [name.split()[0] for name in TABLE.split(", ")]
+    assert tuples(read_history(spark, path).select(*columns)) == sorted([
+        ("a", None, 1.0, "Y", DAY), (None, "a", 2.0, "N", "9999-12-31"), ("b", "x", 5.0, "N", "9999-12-31"),
+    ], key=str)
+
+
+def test_types_of_the_table_stay(spark):
+    """Sums come as decimals, the table holds doubles."""
+    spec = HistorySpec(KEYS, VALUE, value_type="decimal(28,10)", partition_column="k")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    create_history(table(spark, ("a", "x", 0.3, "N", "9999-12-31"), ("b", "x", 1.0, "N", "9999-12-31")), path, spec)
+    day = stage(spark, ("a", "x", 0.1), ("a", "x", 0.2), ("b", "x", 1.5))
+    result = load_history(spark, day, path, spec, DAY, "j", export)
+    assert (result.new, result.updated, result.expired) == (0, 1, 1)
+    got = read_history(spark, path)
+    assert dict(got.dtypes)["v"] == "double"
+    assert tuples(got.select("k", "v", "flag_del")) == [("a", 0.3, "N"), ("b", 1.0, "Y"), ("b", 1.5, "N")]
+
+
 @pytest.mark.parametrize("bad", [
     HistorySpec((), "v"), HistorySpec(("k", "k"), "v"), HistorySpec(("k",), "k"),
-    HistorySpec(("k",), "v", key_style="fuzzy"), HistorySpec(("k",), "v", partition_column="z"),
+    HistorySpec(("k",), "v", key_style="fuzzy"), HistorySpec(("k",), "v", key_style="concat", partition_column="k"), HistorySpec(("k",), "v", partition_column="z"),
 ])
 def test_wrong_specs(bad):
     with pytest.raises(SpecError):

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.functions import concat_key
 from tidegate.operators.flatten import quoted
@@ -49,6 +50,11 @@ def same_key(keys: Sequence[str], left: str, right: str, style: str = "null_safe
     return reduce(lambda one, other: one & other, pairs)
 
 
+def conform(df: DataFrame, schema: StructType) -> DataFrame:
+    """The columns of a schema, in its order and types."""
+    return df.select(*[quoted((field.name,)).cast(field.dataType).alias(field.name) for field in schema.fields])
+
+
 def current_rows(history: DataFrame) -> DataFrame:
     return history.where(F.col("flag_del") == CURRENT_FLAG)
 
@@ -115,7 +121,7 @@ def history_changes(
     version, closed. Stage keys are unique (see :func:`grouped_sum`).
     """
     columns = stage.columns
-    current = current_rows(history).select(*[quoted((name,)) for name in columns])
+    current = conform(current_rows(history), stage.schema)
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
     end = F.lit(OPEN_END)
     differs = changed(quoted(("new", value)), quoted(("old", value)), null_aware) == "YES"
@@ -135,7 +141,7 @@ def new_rows(stage: DataFrame, history: DataFrame, keys: Sequence[str], key_styl
 
 
 def _changed_pairs(stage, history, keys, value, key_style, null_aware) -> DataFrame:
-    current = current_rows(history).select(*[quoted((name,)) for name in stage.columns])
+    current = conform(current_rows(history), stage.schema)
     pairs = compare_rows(stage, current, keys, key_style)
     return pairs.where(changed(quoted(("new", value)), quoted(("old", value)), null_aware) == "YES")
 
@@ -167,7 +173,7 @@ def merge_history(
     columns = stage.columns
     day = run_date if isinstance(run_date, Column) else F.lit(run_date)
     end = F.lit(OPEN_END)
-    current = current_rows(history).select(*[quoted((name,)) for name in columns])
+    current = conform(current_rows(history), stage.schema)
     pairs = (
         stage.withColumn("__staged", F.lit(True)).alias("s")
         .join(current.withColumn("__known", F.lit(True)).alias("h"), same_key(keys, "s", "h", key_style), "full")

@@ -96,20 +96,23 @@ def write_changes(
 def write_parts(
     spark: SparkSession, path: str, spec: HistorySpec, changes: DataFrame, job_id: str, folder: str
 ) -> None:
-    """Write the touched parts as they will be: rows of changed keys out, their new versions in."""
-    added = changes.where(F.col("change").isin("new", "updated")).withColumn(PART, part_column(spec))
-    closed = changes.where(F.col("change") == "expired").withColumn(PART, F.lit(f"load-{job_id}"))
+    """Write the touched parts as they will be: expired versions out, new ones in."""
+    placed = changes.withColumn(PART, part_column(spec))
+    expired = placed.where(F.col("change") == "expired")
+    added = placed.where(F.col("change") != "expired")
+    closed = expired.withColumn(PART, F.lit(f"load-{job_id}"))
     columns = StructType([field for field in changes.schema.fields if field.name not in WRITTEN])
     current = _stored(spark, path, columns).where(F.col("flag_del") == CURRENT_FLAG)
-    parts = added.select(PART).distinct()
+    parts = placed.select(PART).distinct()
     listed = [row[PART] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
     if len(listed) <= MAX_LISTED_PARTS:
         current = current.where(F.col(PART).isin(listed))
     else:
         current = current.join(parts, PART, "left_semi")
-    keys = added.select(*[quoted((key,)) for key in spec.keys])
-    kept = current.alias("h").join(keys.alias("a"), ops.same_key(spec.keys, "h", "a", spec.key_style), "left_anti")
-    versions = added.unionByName(closed).select(*[quoted((name,)) for name in current.columns])
+    # An expired row carries the keys of the version it closes, so they are compared one by one in any key style.
+    keys = expired.select(*[quoted((key,)) for key in spec.keys])
+    kept = current.alias("h").join(keys.alias("e"), ops.same_key(spec.keys, "h", "e"), "left_anti")
+    versions = ops.conform(added.unionByName(closed), current.schema)
     rewritten = kept.unionByName(versions)
     with sized_shuffles(rewritten):
         (

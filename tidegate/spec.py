@@ -161,6 +161,8 @@ class HistorySpec:
             found.append(f"key_style {self.key_style!r} is neither 'null_safe' nor 'concat'")
         if self.partition_column is not None and self.partition_column not in self.keys:
             found.append(f"partition column {self.partition_column!r} is not a key")
+        if self.partition_column is not None and self.key_style == "concat":
+            found.append("joined-text keys can match over partitions; use no partition column with key_style 'concat'")
         return found
 
     def validate(self) -> HistorySpec:
