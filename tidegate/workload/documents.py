@@ -8,6 +8,7 @@ make a page large.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tidegate.session import spread
 from tidegate.workload.registry import Tables
@@ -20,7 +21,7 @@ def as_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct("*")).alias("value"))
 
 
-def parsed(texts: DataFrame, schema: str) -> DataFrame:
+def parsed(texts: DataFrame, schema: str | StructType) -> DataFrame:
     return texts.select(F.from_json("value", schema).alias("document")).select("document.*")
 
 

@@ -157,8 +157,9 @@ def ingest_json_quarantined(t: Tables) -> DataFrame:
 @query("ingest_plan", f"SELECT *, invoice_no IS NULL AS null_check_result FROM ({INVOICES})")
 def ingest_plan(t: Tables) -> DataFrame:
     """The load's plan over documents held as text, without its write."""
-    documents = docs.parsed(docs.as_json(docs.invoice_documents(t)), SET_A["invoice"].input_schema)
-    return plans.shape_rows(documents, SET_A["invoice"], "job_1", "in/invoices.json", LOAD_DATE)
+    spec = SET_A["invoice"]
+    documents = docs.parsed(docs.as_json(docs.invoice_documents(t)), plans.scan_schema(spec))
+    return plans.shape_rows(documents, spec, "job_1", "in/invoices.json", LOAD_DATE)
 
 
 def payment_rows(t: Tables) -> DataFrame:
