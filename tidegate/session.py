@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,6 +30,8 @@ FEW_SPLITS = 8
 PARTITION_BYTES = 256 * 1024 * 1024
 MOST_PARTITIONS = 50_000
 UNKNOWN_SIZE = 2**62
+RUN_ID = uuid.uuid4().hex
+_run_folders: set[str] = set()
 
 
 def build_session(app: str = "tidegate", master: str | None = None, **settings: str) -> SparkSession:
@@ -66,11 +67,16 @@ def _local_root() -> str:
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A path below the shared folder that no other run uses; removed when the driver ends."""
-    path = f"{shared_root(spark)}/tidegate-{os.getpid()}/{label}-{uuid.uuid4().hex[:12]}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    """A path below the shared folder that no other run uses."""
+    run = f"{shared_root(spark)}/tidegate-{RUN_ID}"
+    if run not in _run_folders:
+        # Made first: Hadoop only notes a folder for removal at the driver's end if it exists.
+        hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(run)
+        system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+        system.mkdirs(hadoop_path)
+        system.deleteOnExit(hadoop_path)
+        _run_folders.add(run)
+    return f"{run}/{label}-{uuid.uuid4().hex[:12]}"
 
 
 def spread(df: DataFrame) -> DataFrame:
