@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, token_files
+from tidegate.llm import byte_bpe, chat, token_files, warc
 from tidegate.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +24,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "warc")
+    planned = warc.plan_records(table(spark, sf_dir, "pages"))
+    manifest = warc.store_manifest(warc.write_warc(planned, f"{folder}/archives"), folder)
+    records = warc.read_warc(manifest)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
@@ -44,3 +53,13 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    own = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    turns = turns.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
+    typed = turns.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
+    return chat.read_back(chat.format_chat(typed))
