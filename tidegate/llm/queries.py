@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, token_files, warc
+from tidegate.llm import byte_bpe, chat, language, token_files, warc
 from tidegate.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,3 +63,17 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turns.unionByName(spark.createDataFrame(own, "conv_id long, turn long, role string, text string"))
     typed = turns.select("conv_id", "turn", "role", chat.text_part(F.col("text")).alias("parts"))
     return chat.read_back(chat.format_chat(typed))
+
+
+def remainder(column: str, modulus: int) -> Column:
+    """crc32 of an id's text, modulo."""
+    return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % modulus
+
+
+@query
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 5) == 0
+    identify = language.predictor(language.fit(docs.where(~held_out)))
+    found = docs.select("doc_id", held_out.alias("held_out"), identify("text").alias("found"))
+    return found.select("doc_id", "held_out", "found.*")
