@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, language, token_files, warc
+from tidegate.llm import byte_bpe, chat, language, quality, token_files, warc
+from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -77,3 +78,12 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     identify = language.predictor(language.fit(docs.where(~held_out)))
     found = docs.select("doc_id", held_out.alias("held_out"), identify("text").alias("found"))
     return found.select("doc_id", "held_out", "found.*")
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    store = storage(docs, "quality")
+    stats = store(quality.measure(docs), "stats")
+    judged = quality.judge(stats, store)
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
