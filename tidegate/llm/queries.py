@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, language, quality, token_files, warc
+from tidegate.llm import byte_bpe, chat, decontaminate, language, quality, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document that holds a benchmark item."""
+    docs = table(spark, sf_dir, "documents")
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark"), storage(docs, "leaks"))
+    return decontaminate.leaking_documents(leaks).drop("text_hash")
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
