@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, decontaminate, language, quality, token_files, warc
+from tidegate.llm import byte_bpe, chat, decontaminate, language, near_dups, quality, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -42,6 +42,12 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+@query
+def op4_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near_dups.find_classes(docs, storage(docs, "near")).select("doc_id", "class_id", "class_size")
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "tokens")
