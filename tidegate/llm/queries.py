@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, decontaminate, language, near_dups, quality, token_files, warc
+from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, quality, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -33,6 +33,47 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaking_documents(leaks).drop("text_hash")
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = line_dedup.dedup_lines(docs, storage(docs, "lines"))
+    return found.select("doc_id", "n_lines", "n_deleted", "kept", F.md5("text").alias("text_md5"))
+
+
+SQL["op2_line_dedup"] = """
+WITH split AS (
+  SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents
+), numbered AS (
+  SELECT doc_id, unnest(lines) AS raw, generate_subscripts(lines, 1) AS line_no FROM split
+), full_lines AS (
+  SELECT doc_id, line_no, trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line,
+         row_number() OVER (PARTITION BY doc_id ORDER BY line_no) AS pos
+  FROM numbered WHERE trim(raw, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) <> ''
+), pairs AS (
+  SELECT *, lead(line) OVER (PARTITION BY doc_id ORDER BY pos) AS next_line FROM full_lines
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) AS nth,
+         row_number() OVER (PARTITION BY line, next_line ORDER BY doc_id, pos) AS nth_pair
+  FROM pairs
+), copied AS (
+  SELECT doc_id, line_no FROM ranked WHERE nth > 1 AND length(line) >= 20
+  UNION SELECT doc_id, line_no FROM ranked WHERE next_line IS NOT NULL AND nth_pair > 1
+  UNION SELECT r.doc_id, n.line_no FROM ranked r JOIN full_lines n ON n.doc_id = r.doc_id AND n.pos = r.pos + 1
+        WHERE r.next_line IS NOT NULL AND r.nth_pair > 1
+), rebuilt AS (
+  SELECT a.doc_id, string_agg(a.raw, chr(10) ORDER BY a.line_no) FILTER (WHERE c.line_no IS NULL) AS text,
+         count(c.line_no) AS n_deleted
+  FROM numbered a LEFT JOIN copied c ON c.doc_id = a.doc_id AND c.line_no = a.line_no GROUP BY a.doc_id
+), counts AS (
+  SELECT doc_id, count(*) AS n_lines FROM full_lines GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n.n_lines, 0) AS n_lines, coalesce(r.n_deleted, 0) AS n_deleted,
+       coalesce(r.n_deleted, 0) = 0 OR r.n_deleted < n.n_lines AS kept,
+       CASE WHEN coalesce(r.n_deleted, 0) = 0 THEN md5(d.text) ELSE md5(coalesce(r.text, '')) END AS text_md5
+FROM documents d LEFT JOIN rebuilt r ON r.doc_id = d.doc_id LEFT JOIN counts n ON n.doc_id = d.doc_id
+"""
+
+
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
