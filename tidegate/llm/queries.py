@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, quality, token_files, warc
+from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, pitman_yor, quality, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -142,3 +142,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = store(quality.measure(docs), "stats")
     judged = quality.judge(stats, store)
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
+@query
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = (remainder("doc_id", 7) == 2).alias("held_out")
+    return pitman_yor.score_documents(docs.select("doc_id", held_out, "text"), new_folder(spark, "scores"))
