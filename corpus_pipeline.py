@@ -1,4 +1,9 @@
-"""The corpus pipeline: stages over documents, each written and read again before the next."""
+"""The corpus pipeline: stages over documents, each written and read again before the next.
+
+Every stage takes what its predecessor kept and returns rows with the columns of documents; the
+last returns ids. Rows that repeat (same id and text) are one document throughout. A stage works
+by the id and the text's hash, so ids that are null or not unique are no matter.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +11,68 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe
+from tidegate.llm import byte_bpe, decontaminate, language, line_dedup, near_dups
+from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is clear: texts without a letter and ambiguous ones go.
+
+    The classifier learns from all rows that name a language; the language itself is no input of a
+    verdict and is left as it stands.
+    """
+    identify = language.predictor(language.fit(docs.select("lang", "text")))
+    judged = docs.withColumn("_found", identify("text"))
+    clear = (F.col("_found.lang_pred") != language.UNKNOWN) & ~F.col("_found.ambiguous")
+    return judged.where(clear).select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without later copies of repeated line runs; documents that were copies as a whole go. ``n_chars`` follows the text."""
+    found = line_dedup.dedup_lines(docs, storage(docs, "lines")).where("kept")
+    if "n_chars" in docs.columns:
+        found = found.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return found.select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates."""
+    store = storage(docs, "near")
+    return near_dups.keep_one(docs, store(near_dups.find_classes(docs.select("doc_id", "text"), store), "classes"))
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    store = storage(docs, "leaks")
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    leaks = store(decontaminate.find_leaks(docs.select("doc_id", "text"), benchmark, store), "leaks")
+    return decontaminate.remove_leaks(docs, leaks)
+
+
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of what is left."""
-    return byte_bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    """Ids of what is left, digested, and whether they decode to the text again."""
+    vocabulary = public_tokenizers.path(VOCABULARY)
+    encoded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
+    decoded = byte_bpe.decode(encoded, vocabulary, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("tokens", tokens),
+    ("language", languages),
+    ("line_dedup", lines),
+    ("near_dups", near_duplicates),
+    ("decontaminate", benchmark_leaks),
+    ("byte_bpe", tokens),
 ]
 
+#: SQL cannot express the learned classifier, the similarity classes or the ids: the stages are tested against brute force.
 ORACLE_SQL: str | None = None
 
 
