@@ -42,6 +42,7 @@ TAIL = 0.9999
 VARIANCE_FLOOR = (0.0025, 0.0016, 0.02, 0.02, 0.0025, 0.0025)
 MIN_GROUP = 60
 PERCENTILE_ACCURACY = 10_000
+SALTS = 32  # parts in which the rows of one group meet its estimate
 
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 FEATURES = ("f_word_length", "f_symbols", "f_dup_lines", "f_repeats", "f_upper", "f_signs")
@@ -151,7 +152,14 @@ def assign_groups(stats: DataFrame) -> DataFrame:
         (F.col("source").isNull() & ~small).cast("int").alias("no_source"),
     ).withColumn("group", F.concat_ws("\u0001", "group_lang", "group_source", "no_lang", "no_source"))
     same = F.col("lang").eqNullSafe(F.col("l")) & F.col("source").eqNullSafe(F.col("s"))
-    return passed.join(placed.select("l", "s", "group"), same).drop("l", "s")
+    salt = F.pmod(F.xxhash64("doc_id", *FEATURES), F.lit(SALTS)).cast("int")
+    return passed.join(placed.select("l", "s", "group"), same).drop("l", "s").withColumn("salt", salt)
+
+
+def with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Rows beside their group's estimate. A group's rows are dealt out, and sums over it come back through a map-side aggregate."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt")
+    return rows.join(estimates.select("*", salts), ["group", "salt"]).drop("salt")
 
 
 def squared_distance() -> Column:
@@ -168,7 +176,7 @@ def first_estimates(rows: DataFrame) -> DataFrame:
     """Medians, and median absolute deviations on the diagonal, of every group."""
     median = lambda x: F.percentile_approx(x, 0.5, PERCENTILE_ACCURACY)
     centers = rows.groupBy("group").agg(F.count("*").alias("n"), F.array(*[median(f) for f in FEATURES]).alias("center"))
-    spread = rows.join(centers, "group").groupBy("group").agg(
+    spread = with_estimates(rows, centers).groupBy("group").agg(
         F.first("n").alias("n"),
         F.first("center").alias("center"),
         F.array(*[median(F.abs(F.col(f) - F.col("center")[i])) for i, f in enumerate(FEATURES)]).alias("mad"),
@@ -183,16 +191,16 @@ def concentrate(rows: DataFrame, estimates: DataFrame) -> DataFrame:
 
     The covariance is scaled so that the group's median distance is that of a normal vector.
     """
-    placed = rows.join(estimates.drop("n"), "group").withColumn("d2", squared_distance())
+    placed = with_estimates(rows, estimates.drop("n")).withColumn("d2", squared_distance())
     limits = placed.groupBy("group").agg(F.percentile_approx("d2", COVERAGE, PERCENTILE_ACCURACY).alias("limit"))
-    near = placed.join(limits, "group").where("d2 <= limit")
+    near = with_estimates(rows, estimates.join(limits, "group")).where(squared_distance() <= F.col("limit"))
     sums = [F.avg(f).alias(f"m{i}") for i, f in enumerate(FEATURES)]
     sums += [F.covar_pop(FEATURES[i], FEATURES[j]).alias(f"c{i}_{j}") for i in range(P) for j in range(i + 1)]
     found = near.groupBy("group").agg(F.count("*").alias("n_near"), *sums)
     raw = found.mapInPandas(_invert, "`group` string, center array<double>, precision array<double>")
     sizes = estimates.select("group", "n")
     raw = raw.join(sizes, "group")
-    spread = rows.join(raw, "group").withColumn("d2", squared_distance())
+    spread = with_estimates(rows, raw).withColumn("d2", squared_distance())
     scale = spread.groupBy("group").agg(F.percentile_approx("d2", 0.5, PERCENTILE_ACCURACY).alias("median"))
     usual = chi_square_quantile(0.5, P)
     # Never sharper than estimated: with the floor, the median distance of a very even group is near 0.
@@ -228,7 +236,7 @@ def judge(stats: DataFrame, store: Callable[[DataFrame, str], DataFrame], steps:
     for step in range(1, steps + 1):
         estimates = store(concentrate(rows, estimates), f"estimates-{step}")
     limit = chi_square_quantile(tail, P)
-    judged = rows.join(estimates, "group").select("*", squared_distance().alias("d2"))
+    judged = with_estimates(rows, estimates).select("*", squared_distance().alias("d2"))
     verdict = judged.withColumn("kept", (F.col("n") < MIN_GROUP) | (F.col("d2") <= limit))
     verdict = verdict.withColumn("distance", F.sqrt(F.greatest("d2", F.lit(0.0)))).select(*stats.columns, "distance", "kept")
     failed = stats.where("base_failed").withColumns({"distance": F.lit(None).cast("double"), "kept": F.lit(False)})
