@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm import byte_bpe, decontaminate, language, line_dedup, near_dups
-from tidegate.llm.store import storage
+from tidegate.llm.store import storage, unused
 from tidegate.session import new_folder
 
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -27,16 +27,19 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict and is left as it stands.
     """
     identify = language.predictor(language.fit(docs.select("lang", "text")))
-    judged = docs.withColumn("_found", identify("text"))
-    clear = (F.col("_found.lang_pred") != language.UNKNOWN) & ~F.col("_found.ambiguous")
+    (found,) = unused(docs, "found")
+    judged = docs.withColumn(found, identify("text"))
+    clear = (F.col(f"{found}.lang_pred") != language.UNKNOWN) & ~F.col(f"{found}.ambiguous")
     return judged.where(clear).select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without later copies of repeated line runs; documents that were copies as a whole go. ``n_chars`` follows the text."""
-    found = line_dedup.dedup_lines(docs, storage(docs, "lines")).where("kept")
+    reports = n_lines, n_deleted, kept = tuple(unused(docs, "n_lines", "n_deleted", "kept"))
+    found = line_dedup.dedup_lines(docs, storage(docs, "lines"), reports=reports).where(F.col(kept))
     if "n_chars" in docs.columns:
-        found = found.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+        length = F.when(F.col(n_deleted) > 0, F.length("text")).otherwise(F.col("n_chars"))
+        found = found.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return found.select(*docs.columns)
 
 

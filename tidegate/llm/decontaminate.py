@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.store import unused
 from tidegate.llm.words import windows, words_of
 
 MIN_MATCH = 5
@@ -261,6 +262,7 @@ def leaking_documents(leaks: DataFrame) -> DataFrame:
 
 def remove_leaks(docs: DataFrame, leaks: DataFrame) -> DataFrame:
     """Documents without those that leak."""
-    bad = leaks.select(F.col("doc_id").alias("_leak_doc"), F.col("text_hash").alias("_leak_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_leak_doc")) & (F.xxhash64("text") == F.col("_leak_hash"))
+    doc, text_hash = unused(docs, "leak_doc", "leak_hash")
+    bad = leaks.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text_hash)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(bad[doc]) & (F.xxhash64(docs["text"]) == bad[text_hash])
     return docs.join(bad, same, "left_anti")

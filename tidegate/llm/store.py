@@ -21,3 +21,13 @@ def storage(df: DataFrame, label: str) -> Callable[[DataFrame, str], DataFrame]:
         return spark.read.schema(frame.schema).parquet(path)
 
     return store
+
+
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that the frame does not have, for what is joined to it."""
+    taken, out = {name.lower() for name in df.columns}, []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        out.append(stem)
+    return out
