@@ -165,8 +165,10 @@ def test_run_dataset_and_mixed_folder(spark, write_file, folder):
     write_file("in/readme.txt", "nothing")
     results = plans.run_folder(spark, f"{write_file.folder}/in", "j", folder())
     assert {name: (r.loaded, r.rejected) for name, r in results.items()} == {
-        "invoice": (4, 2), "trizetto_payments": (1, 1), "supplier": (0, 0),
+        "invoice": (4, 2), "trizetto_payments": (1, 1), "unrouted": (0, 1),
     }
+    listed = spark.read.parquet(results["unrouted"].folder).collect()
+    assert [row.path.rsplit("/", 1)[1] for row in listed] == ["readme.txt"]
     assert plans.run_dataset(spark, invoice, folder(), "j").loaded == 3
     assert re.fullmatch(r"Invoices_\d{14}_[0-9a-f]{6}", plans.run_dataset(spark, invoice, folder()).job_id)
     assert plans.run_dataset(spark, f"{write_file.folder}/in/readme.txt", folder()) is None

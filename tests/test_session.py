@@ -19,7 +19,7 @@ def test_shuffles_fit_the_input_for_one_write(spark, folder):
     with session.sized_shuffles(df):
         assert shuffles(spark) == before
     with pytest.raises(KeyError), session.sized_shuffles(df, partition_bytes=1):
-        assert shuffles(spark) == session.MOST_PARTITIONS
+        assert shuffles(spark) == session.input_bytes(df)
         raise KeyError
     assert shuffles(spark) == before
 
@@ -32,12 +32,6 @@ def test_both_sides_of_a_join_count_and_unknown_sizes_do_not(spark, folder):
     assert session.input_bytes(spark.createDataFrame([(1,)], "id int")) < session.UNKNOWN_SIZE
 
 
-def test_spread_only_deals_out_few_splits(spark):
-    assert session.spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    many = spark.range(0, 100, 1, 16)
-    assert session.spread(many) is many
-
-
 def test_folders_are_below_the_shared_one_and_differ(spark):
     one, other = session.new_folder(spark, "x"), session.new_folder(spark, "x")
     assert one != other and one.startswith(session.shared_root(spark))

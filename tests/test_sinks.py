@@ -96,9 +96,14 @@ def test_csv_with_header(spark, folder):
 def test_table_append(spark):
     spark.sql("DROP TABLE IF EXISTS tidegate_appended")
     try:
-        sink.append_table(spark.range(2), "tidegate_appended")
-        sink.append_table(spark.range(3), "tidegate_appended")
-        assert spark.table("tidegate_appended").count() == 5
+        for load, n in (("a", 2), ("b", 3), ("a", 4)):
+            sink.append_table(spark.range(n), "tidegate_appended", load)
+        counts = {row.load: row["count"] for row in spark.table("tidegate_appended").groupBy("load").count().collect()}
+        assert counts == {"a": 4, "b": 3}
+        spark.sql("DROP TABLE tidegate_appended")
+        spark.range(1).write.saveAsTable("tidegate_appended")
+        with pytest.raises(ValueError):
+            sink.append_table(spark.range(1), "tidegate_appended", "a")
     finally:
         spark.sql("DROP TABLE IF EXISTS tidegate_appended")
 

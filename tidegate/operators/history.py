@@ -25,13 +25,22 @@ def load_slice(df: DataFrame, load_date: str | Column, column: str = "file_load_
     return df.where(F.col(column) == (load_date if isinstance(load_date, Column) else F.lit(load_date)))
 
 
-def grouped_sum(df: DataFrame, keys: Sequence[str], value: str, value_type: str | None = None) -> DataFrame:
+def grouped_sum(
+    df: DataFrame, keys: Sequence[str], value: str, value_type: str | None = None, key_style: str = "null_safe"
+) -> DataFrame:
     """Sum of ``value`` per key, null keys grouped together. Rows are summed map-side before the shuffle.
 
-    With a ``value_type`` values are summed as that type and the sum has it too.
+    With a ``value_type`` values are summed as that type and the sum has it too. In
+    the ``concat`` key style keys that join to one text are one key; it is written
+    as the first of them in column order.
     """
     amount = quoted((value,))
     total = F.sum(amount) if value_type is None else F.sum(amount.cast(value_type)).cast(value_type)
+    if key_style == "concat":
+        first = F.min(F.struct(*[quoted((key,)) for key in keys]))
+        joined = df.groupBy(concat_key([quoted((key,)) for key in keys]).alias("__text"))
+        sums = joined.agg(first.alias("__keys"), total.alias("__total"))
+        return sums.select("__keys.*", F.col("__total").alias(value))
     return df.groupBy(*[quoted((key,)) for key in keys]).agg(total.alias(value))
 
 
@@ -118,7 +127,9 @@ def history_changes(
 
     ``new``: a stage row without a current version. ``updated``: a stage row
     whose value differs from the current version. ``expired``: that current
-    version, closed. Stage keys are unique (see :func:`grouped_sum`).
+    version, closed. Stage keys are unique (see :func:`grouped_sum`, with the same
+    key style). Should several current versions join to one text, each is closed
+    once and the new version is added once.
     """
     columns = stage.columns
     current = conform(current_rows(history), stage.schema)
@@ -133,7 +144,8 @@ def history_changes(
             _version("old", columns, EXPIRED_FLAG, day, "expired"),
         ))
     )
-    return pairs.select(F.inline(versions))
+    changes = pairs.select(F.inline(versions))
+    return changes.distinct() if key_style == "concat" else changes
 
 
 def new_rows(stage: DataFrame, history: DataFrame, keys: Sequence[str], key_style: str = "null_safe") -> DataFrame:
@@ -192,4 +204,5 @@ def merge_history(
         .otherwise(F.array(_version("old", columns, CURRENT_FLAG, end, "kept")))
     )
     archive = history.where(F.col("flag_del") != CURRENT_FLAG)
-    return pairs.select(F.inline(versions)).drop("change").unionByName(archive)
+    merged = pairs.select(F.inline(versions))
+    return (merged.distinct() if key_style == "concat" else merged).drop("change").unionByName(archive)

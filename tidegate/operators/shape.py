@@ -20,6 +20,8 @@ OPEN_END = "9999-12-31"
 # Working columns that the readers add and the loaders drop again.
 SOURCE_FILE = "__source_file"
 SOURCE_ORDER = "__source_order"
+# Text of a record that could not be parsed, or of the values that do not fit their types.
+CORRUPT = "corrupt_record"
 
 
 def resolve_name(df: DataFrame, name: str) -> str | None:
@@ -72,6 +74,23 @@ def pad_and_project(
     return df.select(*chosen)
 
 
+def settle_types(df: DataFrame, types: Mapping[str, str], corrupt: str = CORRUPT) -> DataFrame:
+    """Cast text columns to their types; values that do not fit become null and are kept as text in ``corrupt``.
+
+    A record that is corrupt as a whole keeps its own text.
+    """
+    loose = [name for name, kind in df.dtypes if kind == "string" and types.get(name, "string") != "string"]
+    if not loose:
+        return df
+    cast = {name: quoted((name,)).try_cast(types[name]) for name in loose}
+    odd = [F.when(quoted((name,)).isNotNull() & cast[name].isNull(), F.struct(F.lit(name).alias("key"), quoted((name,)).alias("value")))
+           for name in loose]
+    found = F.filter(F.array(*odd), lambda pair: pair.isNotNull())
+    text = F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found)))
+    whole = [F.col(corrupt)] if corrupt in df.columns else []
+    return df.withColumns({corrupt: F.coalesce(*whole, text), **cast})
+
+
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:
     """Rename in order; names the frame does not have are ignored."""
     return df.withColumnsRenamed({old: new for old, new in names.items() if old != new})

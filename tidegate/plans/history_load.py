@@ -28,7 +28,6 @@ from tidegate.spec import HistorySpec
 
 PART = "part"
 WRITTEN = ("flag_del", "last_updt_dt", "change")
-MAX_LISTED_PARTS = 5_000
 
 
 @dataclass(frozen=True)
@@ -104,11 +103,8 @@ def write_parts(
     columns = StructType([field for field in changes.schema.fields if field.name not in WRITTEN])
     current = _stored(spark, path, columns).where(F.col("flag_del") == CURRENT_FLAG)
     parts = placed.select(PART).distinct()
-    listed = [row[PART] for row in parts.limit(MAX_LISTED_PARTS + 1).collect()]
-    if len(listed) <= MAX_LISTED_PARTS:
-        current = current.where(F.col(PART).isin(listed))
-    else:
-        current = current.join(parts, PART, "left_semi")
+    # Parts are folders, which a scan lists on the driver anyway: naming them prunes it to the touched ones.
+    current = current.where(F.col(PART).isin([row[PART] for row in parts.collect()]))
     # An expired row carries the keys of the version it closes, so they are compared one by one in any key style.
     keys = expired.select(*[quoted((key,)) for key in spec.keys])
     kept = current.alias("h").join(keys.alias("e"), ops.same_key(spec.keys, "h", "e"), "left_anti")
@@ -138,7 +134,7 @@ def load_history(
     """
     spec.validate()
     folder = f"{export.rstrip('/')}/load={check_load_id(job_id)}"
-    totals = ops.grouped_sum(stage, spec.keys, spec.value, spec.value_type)
+    totals = ops.grouped_sum(stage, spec.keys, spec.value, spec.value_type, spec.key_style)
     if not path_exists(spark, f"{folder}/changes/_SUCCESS"):
         write_changes(spark, totals, path, spec, run_date, folder)
     changes = read_changes(spark, totals, folder)

@@ -13,21 +13,24 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tidegate.operators import quality, shape
 from tidegate.operators.flatten import flatten, prune_schema
-from tidegate.session import path_matches, sized_shuffles
+from tidegate.session import sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
-from tidegate.sources.files import Paths, read_delimited, read_json, read_json_multiline, with_source
-from tidegate.sources.routing import ROUTES, route_token, routed_to, spec_name, token_glob
+from tidegate.sources.files import Paths, list_files, literal_path, read_delimited, read_json, read_json_multiline, with_source
+from tidegate.sources.routing import ROUTES, add_route, key_below, route_token, spec_name
 from tidegate.sources.rules import read_rules, rules_from_frame
 from tidegate.spec import LINEAGE, DatasetSpec, RuleSpec
 from tidegate.specs import SET_A
 
 
+UNROUTED = "unrouted"
+
+
 @dataclass(frozen=True)
 class LoadResult:
     job_id: str
@@ -36,6 +39,7 @@ class LoadResult:
     loaded: int
     rejected: int
     quarantine_path: str
+    corrupt: int = 0
 
 
 def scan_schema(spec: DatasetSpec) -> str | StructType | None:
@@ -45,10 +49,49 @@ def scan_schema(spec: DatasetSpec) -> str | StructType | None:
     return prune_schema(StructType.fromDDL(spec.input_schema), spec.wanted)
 
 
+def as_text(kind: DataType) -> DataType:
+    """The type with every value as text, so that parsing loses none."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(field.name, as_text(field.dataType)) for field in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(as_text(kind.elementType))
+    if isinstance(kind, MapType):
+        return MapType(kind.keyType, as_text(kind.valueType))
+    return StringType()
+
+
+def file_schema(spec: DatasetSpec) -> str | StructType | None:
+    """How files are parsed: JSON values as text, and a column for the text of records that cannot be parsed."""
+    schema = scan_schema(spec)
+    if not isinstance(schema, StructType):
+        return schema
+    return StructType([*as_text(schema).fields, StructField(shape.CORRUPT, StringType())])
+
+
+def file_options(spec: DatasetSpec) -> dict[str, str]:
+    """Reader options that go with :func:`file_schema`."""
+    keeps = isinstance(scan_schema(spec), StructType)
+    return {"columnNameOfCorruptRecord": shape.CORRUPT} if keeps else {}
+
+
+def declared_types(spark: SparkSession, spec: DatasetSpec) -> dict[str, str]:
+    """Types of the spec's flattened source columns, where its schema says them."""
+    schema = scan_schema(spec)
+    if not isinstance(schema, StructType):
+        return {}
+    flat = flatten(spark.createDataFrame([], schema), wanted=set(spec.wanted))
+    named = ((name, shape.resolve_name(flat, name)) for name in spec.columns)
+    kinds = dict(flat.dtypes)
+    return {name: kinds[found] for name, found in named if found is not None}
+
+
 def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) -> DataFrame:
-    """The spec's files as they are, with their file name (and row order where the tenant needs it)."""
+    """The spec's files as they are, with their file name (and row order where the tenant needs it).
+
+    With an input schema nothing a file holds is lost in parsing: see :func:`file_schema`.
+    """
     readers = {"delimited": read_delimited, "json": read_json, "json_multiline": read_json_multiline}
-    raw = readers[spec.format](spark, path, scan_schema(spec), **options)
+    raw = readers[spec.format](spark, path, file_schema(spec), **file_options(spec), **options)
     return with_source(raw, ordered=spec.tenant_scope == "file")
 
 
@@ -62,19 +105,25 @@ def shape_rows(
     """Raw rows to distinct staging rows with their check flag.
 
     ``file_name`` is one text for all rows; without it each row names its own file.
+    Rows of a corrupt record, and rows with values that do not fit their types, are
+    flagged and keep the text in ``corrupt_record``.
     """
     working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER) if name in raw.columns]
+    kept = [shape.CORRUPT] if shape.CORRUPT in raw.columns else []
     documents = raw
     if spec.format != "delimited":
-        raw = flatten(documents, wanted=spec.wanted | set(working))
+        raw = flatten(documents, wanted=spec.wanted | {*working, *kept})
     # Lineage and padding are equal for all rows: they come after the duplicate drop, out of its shuffle.
     stamped = [name for name in spec.columns if name in LINEAGE]
     if file_name is None and "file_name" in stamped:
         raw = raw.withColumn("file_name", F.col(shape.SOURCE_FILE))
         stamped.remove("file_name")
     found = [name for name in spec.columns if name not in stamped and shape.resolve_name(raw, name) is not None]
-    extra = ([spec.tenant_column] if spec.tenant_column else []) + working
-    rows = shape.pad_and_project(raw, found, extra).transform(shape.cast_declared, spec.casts)
+    extra = ([spec.tenant_column] if spec.tenant_column else []) + working + kept
+    rows = shape.pad_and_project(raw, found, extra)
+    if kept:
+        rows = shape.settle_types(rows, declared_types(raw.sparkSession, spec))
+    rows = shape.cast_declared(rows, spec.casts)
     rows = shape.rename(rows, {name: spec.renames.get(name, name) for name in (*found, *extra)})
     link = spec.renames.get(spec.tenant_column, spec.tenant_column)
     if link in rows.columns and spec.tenant_scope == "row":
@@ -90,7 +139,12 @@ def shape_rows(
     rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped).transform(shape.rename, stamps)
     rows = shape.pad_and_project(rows, spec.targets, tenant, spec.missing_value)
     absent = {spec.renames.get(name, name): kind for name, kind in spec.casts.items() if name not in found}
-    return quality.flag_missing(shape.cast_declared(rows, absent), _present(spec, rows))
+    checked = quality.flag_missing(shape.cast_declared(rows, absent), _present(spec, rows))
+    if not kept:
+        return checked
+    names = [name for name in checked.columns if name not in kept]
+    names[len(spec.targets):len(spec.targets)] = kept
+    return checked.withColumn(quality.FLAG, F.col(quality.FLAG) | F.col(shape.CORRUPT).isNotNull()).select(*names)
 
 
 def _present(spec: DatasetSpec, rows: DataFrame) -> list[str]:
@@ -111,7 +165,7 @@ def ingest(
     load_date: str | None = None,
     table: str | None = None,
     database: Database | None = None,
-    only: Column | None = None,
+    source_path: str | None = None,
 ) -> LoadResult:
     """Load files into ``output``, and from there into a table where one is named.
 
@@ -119,11 +173,9 @@ def ingest(
     """
     spec.validate()
     raw = read_raw(spark, spec, path)
-    if only is not None:
-        raw = raw.where(only)
     return load_rows(
         spark, shape_rows(raw, spec, job_id, file_name, load_date), job_id, output,
-        audit=audit, description=description or spec.name, source_path=str(path), table=table, database=database,
+        audit=audit, description=description or spec.name, source_path=source_path or str(path), table=table, database=database,
     )
 
 
@@ -159,10 +211,11 @@ def load_rows(
         if database is not None:
             database.write(good, table)
         else:
-            sink.append_table(good, table)
+            sink.append_table(good, table, job_id)
     quarantine = sink.quarantine_folder(output, job_id) if rejected else ""
     record(audit_log.COMPLETED, total=loaded + rejected, loaded=loaded, rejected=rejected, dq_path=quarantine)
-    return LoadResult(job_id, folder, loaded + rejected, loaded, rejected, quarantine)
+    corrupt = sink.count_corrupt(spark, quarantine) if rejected and shape.CORRUPT in rows.columns else 0
+    return LoadResult(job_id, folder, loaded + rejected, loaded, rejected, quarantine, corrupt)
 
 
 def new_job_id(name: str, moment: datetime | None = None) -> str:
@@ -194,19 +247,28 @@ def run_folder(
     specs: Mapping[str, DatasetSpec] = SET_A,
     **options,
 ) -> dict[str, LoadResult]:
-    """Load a folder of mixed files and subfolders, each dataset in one plan over its own files.
+    """Load a folder of mixed files, at any depth, each dataset in one plan over its own files.
 
-    The path pattern keeps other datasets' files out of the scan; the route test
-    settles paths that hold more than one token.
+    A file is routed by its whole path below the folder. Files that no dataset
+    takes are listed below ``<output>/unrouted`` and counted as rejected in the
+    result of that name, so none is left out unseen. Only paths are read for
+    routing; the driver holds them, as it does for every file scan.
     """
+    files = add_route(list_files(spark, folder).withColumn("key", key_below(folder, F.col("path"))), "key")
+    found: dict[str | None, list[str]] = {}
+    for row in files.select("path", "spec").toLocalIterator():
+        found.setdefault(row["spec"], []).append(row["path"])
     results = {}
-    for token, name in ROUTES:
-        pattern = token_glob(folder, token)
-        if path_matches(spark, pattern):
+    for _, name in ROUTES:
+        if name in found:
             results[name] = ingest(
-                spark, specs[name].repaired(), pattern, job_id, f"{output}/{name}",
-                only=routed_to(token, folder, F.col(shape.SOURCE_FILE)), **options,
+                spark, specs[name].repaired(), [literal_path(path) for path in sorted(found[name])], job_id,
+                f"{output}/{name}", source_path=folder, **options,
             )
+    if None in found:
+        place = sink.load_folder(f"{output}/{UNROUTED}", job_id)
+        spark.createDataFrame([(path,) for path in sorted(found[None])], "path string").write.mode("overwrite").parquet(place)
+        results[UNROUTED] = LoadResult(job_id, place, len(found[None]), 0, len(found[None]), place)
     return results
 
 

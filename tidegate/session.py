@@ -26,9 +26,7 @@ SESSION_SETTINGS = {
 }
 
 
-FEW_SPLITS = 8
 PARTITION_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 50_000
 UNKNOWN_SIZE = 2**62
 RUN_ID = uuid.uuid4().hex
 _run_folders: set[str] = set()
@@ -44,7 +42,9 @@ def build_session(app: str = "tidegate", master: str | None = None, **settings:
 
 
 def is_local(spark: SparkSession) -> bool:
-    return spark.conf.get("spark.master", "").startswith("local")
+    """Whether every executor runs in this process; a local cluster has processes of its own."""
+    master = spark.conf.get("spark.master", "")
+    return master == "local" or master.startswith("local[")
 
 
 def shared_root(spark: SparkSession) -> str:
@@ -79,17 +79,6 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{run}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Deal the rows of a scan with very few splits out to all cores.
-
-    For small input that cannot be split (one row group, a compressed or
-    multi-line file) in front of costly row work. A scan of ``FEW_SPLITS`` or more
-    is left alone, so what is shuffled is at most a few split sizes.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < min(cores, FEW_SPLITS) else df
-
-
 def input_bytes(df: DataFrame) -> int:
     """Size of the files a frame reads, as far as Spark knows it."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -106,7 +95,7 @@ def sized_shuffles(df: DataFrame, partition_bytes: int = PARTITION_BYTES) -> Ite
     """
     conf, name = df.sparkSession.conf, "spark.sql.shuffle.partitions"
     before = conf.get(name)
-    needed = min(input_bytes(df) // partition_bytes, MOST_PARTITIONS)
+    needed = input_bytes(df) // partition_bytes
     try:
         if needed > int(before):
             conf.set(name, str(needed))

@@ -9,9 +9,10 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidegate.operators.shape import IMPORT_KEYS, date_parts
+from tidegate.operators.shape import CORRUPT, IMPORT_KEYS, date_parts
 
 LOADED, QUARANTINED = "loaded", "quarantined"
+LOAD = "load"
 
 
 def check_load_id(load_id: str) -> str:
@@ -53,8 +54,20 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     (df.coalesce(1) if single_file else df).write.mode(mode).options(header=True, **options).csv(path)
 
 
-def append_table(df: DataFrame, table: str, mode: str = "append") -> None:
-    df.write.mode(mode).saveAsTable(table)
+def append_table(df: DataFrame, table: str, load_id: str) -> None:
+    """Rows of one load into a catalog table, as its partition ``load``.
+
+    The partition is replaced as a whole, so a load that is run again is in the
+    table once. A table that was made without this partition is refused.
+    """
+    spark, load = df.sparkSession, check_load_id(load_id)
+    if not spark.catalog.tableExists(table):
+        df.limit(0).withColumn(LOAD, F.lit(load)).write.partitionBy(LOAD).format("parquet").saveAsTable(table)
+    known = spark.table(table).columns
+    if LOAD not in known:
+        raise ValueError(f"table {table} has no column {LOAD!r}, so a repeated load could not be told from a new one")
+    rows = df.select(*[name for name in known if name != LOAD])
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({LOAD} = '{load}') SELECT * FROM {{rows}}", rows=rows)
 
 
 def load_folder(root: str, load_id: str) -> str:
@@ -94,7 +107,13 @@ def read_loads(
         fields = schema if isinstance(schema, str) else schema.toDDL()
         reader = reader.schema(f"{fields}, load_status string")
     rows = reader.parquet(root if load_id is None else load_folder(root, load_id))
-    return rows.where(F.col("load_status") == status).drop("load", "load_status")
+    rows = rows.where(F.col("load_status") == status).drop("load", "load_status")
+    return rows.drop(CORRUPT) if status == LOADED else rows
+
+
+def count_corrupt(spark: SparkSession, folder: str) -> int:
+    """Quarantined rows that keep the text of what could not be parsed; only that column is read."""
+    return spark.read.schema(f"{CORRUPT} string").parquet(folder).where(F.col(CORRUPT).isNotNull()).count()
 
 
 def count_load(spark: SparkSession, folder: str) -> dict[str, int]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
@@ -84,6 +85,11 @@ def read_csv(spark: SparkSession, path: Paths, schema: Schema = None, **options)
     return read_delimited(spark, path, schema, separator=",", **options)
 
 
+def literal_path(path: str) -> str:
+    """A path in which no character stands for a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def list_files(spark: SparkSession, root: Paths, glob: str | None = None) -> DataFrame:
     """Paths of all files below a folder, as rows; file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)

@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.shape import SOURCE_FILE
-from tidegate.plans.ingest import load_rows, scan_schema, shape_rows
+from tidegate.plans.ingest import file_options, file_schema, load_rows, shape_rows
+from tidegate.sources.database import Database
 from tidegate.sources.files import with_source
 from tidegate.sources.routing import routed_to, token_glob
 from tidegate.spec import DatasetSpec, SpecError
@@ -30,7 +31,7 @@ def read_stream(
     """
     if spec.input_schema is None:
         raise SpecError(f"dataset {spec.name!r} has no input schema, which a stream needs")
-    reader = spark.readStream.schema(scan_schema(spec))
+    reader = spark.readStream.schema(file_schema(spec)).options(**file_options(spec))
     path = folder if token is None else token_glob(folder, token)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -53,16 +54,26 @@ def start_ingest(
     job_prefix: str | None = None,
     audit: str | None = None,
     load_date: str | Column | None = None,
+    table: str | None = None,
+    database: Database | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Run each micro-batch through the batch load under the id ``<prefix>_<batch>``."""
+    """Run each micro-batch through the batch load under the id ``<prefix>_<batch>``.
+
+    With a ``table`` each batch is also brought there; a batch that is repeated
+    replaces its own rows. Duplicates are dropped within a batch; across batches
+    see :func:`tidegate.streaming.dedup.drop_stream_duplicates`.
+    """
     spec.validate()
     prefix = job_prefix or spec.name
 
     def load(batch: DataFrame, batch_id: int) -> None:
         job_id = f"{prefix}_{batch_id}"
         rows = shape_rows(batch, spec, job_id, load_date=load_date)
-        load_rows(batch.sparkSession, rows, job_id, output, audit=audit, description=spec.name, source_path=prefix)
+        load_rows(
+            batch.sparkSession, rows, job_id, output,
+            audit=audit, description=spec.name, source_path=prefix, table=table, database=database,
+        )
 
     return (
         documents.writeStream.foreachBatch(load)

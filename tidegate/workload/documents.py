@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from tidegate.session import spread
 from tidegate.workload.registry import Tables
 
 PAGE_BITS = 8
@@ -48,7 +47,7 @@ def charges() -> Column:
 
 def order_documents(t: Tables) -> DataFrame:
     """One ledger document per line, its charges nested in its result. Made row by row, without a shuffle."""
-    return spread(t.lineitem).select(F.array(F.struct(
+    return t.lineitem.select(F.array(F.struct(
         F.struct(
             F.col("l_orderkey").alias("id"), F.struct(F.col("l_linenumber").alias("number")).alias("line")
         ).alias("order"),
@@ -71,7 +70,7 @@ LINE_DOCUMENT = (
 
 def line_documents(t: Tables) -> DataFrame:
     """One document per line with two sibling arrays: its charges, and its two status marks."""
-    return spread(t.lineitem).select(
+    return t.lineitem.select(
         F.struct(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("number")).alias("order"),
         charges().alias("charges"),
         F.array("l_returnflag", "l_linestatus").alias("marks"),
@@ -101,7 +100,7 @@ def invoice_documents(t: Tables) -> DataFrame:
         ).alias("lines"),
     )
     link = F.concat(F.lit("/companies/"), F.col("o_custkey").cast("string"), F.lit("/orders"))
-    return spread(t.orders).select(
+    return t.orders.select(
         F.struct(F.struct(link.alias("href")).alias("self")).alias("_links"),
         F.array(result).alias("results"),
     )

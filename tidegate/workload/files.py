@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, functions as F
 
 from tidegate.functions import iso_date
 from tidegate.operators import quality
+from tidegate.operators.shape import CORRUPT
 from tidegate.plans import ingest as plans
-from tidegate.session import new_folder, spread
+from tidegate.session import new_folder
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
@@ -140,7 +143,7 @@ def _load_invoices(t: Tables, status: str) -> DataFrame:
         t.spark, SET_A["invoice"], _write_invoices(t), "job_1", root,
         file_name="in/invoices.json", load_date=LOAD_DATE, audit=new_folder(t.spark, "audit"),
     )
-    return sink.read_loads(t.spark, root, status)
+    return sink.read_loads(t.spark, root, status).drop(CORRUPT)
 
 
 @query("ingest_json_good", f"SELECT * FROM ({INVOICES}) WHERE invoice_no IS NOT NULL")
@@ -154,6 +157,34 @@ def ingest_json_quarantined(t: Tables) -> DataFrame:
     return _load_invoices(t, sink.QUARANTINED)
 
 
+@query("ingest_corrupt", """
+    SELECT count(*) AS total, count(*) FILTER (o_orderkey % 10 NOT IN (3, 4) AND o_orderstatus <> 'P') AS loaded,
+           count(*) FILTER (o_orderkey % 10 IN (3, 4) OR o_orderstatus = 'P') AS rejected,
+           count(*) FILTER (o_orderkey % 10 IN (3, 4)) AS corrupt,
+           count(*) FILTER (o_orderkey % 10 = 3) AS broken, count(*) FILTER (o_orderkey % 10 = 4) AS misfits
+    FROM orders
+""")
+def ingest_corrupt(t: Tables) -> DataFrame:
+    """Lines that break off and amounts that are no numbers: quarantined with their text, and counted."""
+    texts = docs.as_json(docs.invoice_documents(t))
+    key = F.regexp_extract("value", '"id":"(\\d+)"', 1).cast("long") % 10
+    odd = (
+        F.when(key == 3, F.expr("substring(value, 1, length(value) - 5)"))
+        .when(key == 4, F.regexp_replace("value", '"totalAmount":([0-9]+)[.]?', '"totalAmount":"$1,x'))
+        .otherwise(F.col("value"))
+    )
+    odd = F.when(key == 4, F.regexp_replace(odd, '("totalAmount":"[^",]*,x[0-9E]*)', '$1"')).otherwise(odd)
+    folder, root = new_folder(t.spark, "invoices"), new_folder(t.spark, "staging")
+    texts.select(odd.alias("value")).write.text(folder)
+    result = plans.ingest(t.spark, SET_A["invoice"], folder, "job_1", root, load_date=LOAD_DATE)
+    bad = sink.read_loads(t.spark, root, sink.QUARANTINED)
+    counts = [F.lit(getattr(result, name)).cast("long").alias(name) for name in ("total", "loaded", "rejected", "corrupt")]
+    return bad.agg(
+        F.count(F.when(F.col(CORRUPT).startswith('{"_links"'), 1)).alias("broken"),
+        F.count(F.when(F.col(CORRUPT).startswith('{"results_totalAmount"'), 1)).alias("misfits"),
+    ).select(*counts, "broken", "misfits")
+
+
 @query("ingest_plan", f"SELECT *, invoice_no IS NULL AS null_check_result FROM ({INVOICES})")
 def ingest_plan(t: Tables) -> DataFrame:
     """The load's plan over documents held as text, without its write."""
@@ -164,7 +195,7 @@ def ingest_plan(t: Tables) -> DataFrame:
 
 def payment_rows(t: Tables) -> DataFrame:
     """Payment lines; returned ones have no organisation."""
-    return spread(t.lineitem).select(
+    return t.lineitem.select(
         F.col("l_orderkey").alias("PaymentIdentifier"),
         F.col("l_linenumber").alias("ClaimIdentifier"),
         F.when(F.col("l_returnflag") != "R", F.col("l_suppkey")).alias("OrgIdentifier"),
@@ -235,6 +266,35 @@ def run_dataset(t: Tables) -> DataFrame:
     return counts[0].unionByName(counts[1])
 
 
+@query("run_folder_nested", """
+    SELECT 'invoice' AS dataset, count(*) FILTER (o_orderstatus <> 'P') AS loaded,
+           count(*) FILTER (o_orderstatus = 'P') AS rejected FROM orders
+    UNION ALL SELECT 'unrouted', 0, 2
+""")
+def run_folder_nested(t: Tables) -> DataFrame:
+    """Files at three depths, routed by a folder's or a file's name, and files of no dataset, which are counted."""
+    folder, root = new_folder(t.spark, "landing"), new_folder(t.spark, "staging")
+    texts = docs.as_json(docs.invoice_documents(t)).withColumn("lot", F.abs(F.xxhash64("value")) % 3)
+    for lot, place in enumerate(("Invoices_1.json", "2024/invoices_2", "INVOICES_dir/sub/x")):
+        texts.where(F.col("lot") == lot).select("value").write.text(f"{folder}/{place}")
+    for place in ("notes", "2024/other"):
+        t.nation.select("n_name").coalesce(1).write.text(f"{folder}/{place}")
+    results = plans.run_folder(t.spark, folder, "job_1", root, load_date=LOAD_DATE)
+    rows = [(name, result.loaded, result.rejected) for name, result in results.items()]
+    return t.spark.createDataFrame(rows, "dataset string, loaded long, rejected long")
+
+
+@query("table_append_rerun", f"SELECT c_custkey, segment, balance FROM {CUSTOMERS} WHERE NOT (segment IS NULL OR balance IS NULL)")
+def table_append_rerun(t: Tables) -> DataFrame:
+    """The same load twice: the table has its rows once."""
+    table = f"appended_{os.path.basename(new_folder(t.spark, 'table')).replace('-', '_')}"
+    rows = quality.flag_missing(_customers(t), ["segment", "balance"])
+    root = new_folder(t.spark, "customers")
+    for _ in range(2):
+        plans.load_rows(t.spark, rows, "job_1", root, table=table)
+    return t.spark.table(table).drop(sink.LOAD)
+
+
 @query("validate_rules", """
     SELECT id, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '1,2'
                     WHEN o_orderstatus = 'P' THEN '1' WHEN o_orderpriority = '5-LOW' THEN '2' ELSE '' END AS broken
@@ -244,7 +304,7 @@ def validate_rules(t: Tables) -> DataFrame:
     schema = (
         "results array<struct<id: string, invoiceNumber: string, customerRef: struct<customer: string>>>"
     )
-    texts = docs.as_json(spread(t.orders).select(F.array(F.struct(
+    texts = docs.as_json(t.orders.select(F.array(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string")).alias("invoiceNumber"),
         F.struct(

@@ -149,6 +149,39 @@ def scd2_concat_key(t: Tables) -> DataFrame:
     return as_double(ops.unknown_rows(stage_totals(t), history_before(t), KEYS, "concat"))
 
 
+COLLIDING_SQL = """
+    SELECT o_custkey AS customer, o_orderstatus AS state, bool_or(o_orderkey % 2 = 1) AS odd,
+           sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
+    FROM orders GROUP BY ALL
+"""
+
+
+@query("scd2_merged_concat", f"""
+    SELECT customer, CASE WHEN NOT odd THEN state END AS first_state, CASE WHEN odd THEN state END AS second_state,
+           CAST(amount AS DOUBLE) AS amount, 'N' AS flag_del, '9999-12-31' AS last_updt_dt FROM ({COLLIDING_SQL})
+    UNION ALL
+    SELECT customer, state, NULL, CAST(amount - 1 AS DOUBLE), 'Y', '{RUN_DATE}' FROM ({COLLIDING_SQL}) WHERE state = 'F'
+""")
+def scd2_merged_concat(t: Tables) -> DataFrame:
+    """Keys that differ by column but join to one text: one current row and one expired row for each text."""
+    keys = ("customer", "first_state", "second_state")
+    even = F.col("o_orderkey") % 2 == 0
+    rows = t.orders.select(
+        F.col("o_custkey").alias("customer"),
+        F.when(even, F.col("o_orderstatus")).alias("first_state"),
+        F.when(~even, F.col("o_orderstatus")).alias("second_state"),
+        F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
+    )
+    stage = ops.grouped_sum(rows, keys, VALUE, key_style="concat")
+    state = F.coalesce("first_state", "second_state")
+    history = stage.where(state == "F").select(
+        "customer", state.alias("first_state"), F.lit(None).cast("string").alias("second_state"),
+        (F.col("amount") - 1).cast(stage.schema["amount"].dataType).alias("amount"),
+        F.lit("N").alias("flag_del"), F.lit("9999-12-31").alias("last_updt_dt"),
+    )
+    return as_double(ops.merge_history(stage, history, keys, VALUE, RUN_DATE, "concat"))
+
+
 @query("compare_amounts", f"""
     SELECT s.customer, s.priority, s.state,
            CASE WHEN s.amount <> h.amount THEN 'YES' ELSE 'NO' END AS is_due_amt_updated

@@ -19,10 +19,10 @@ from tidegate.workload.registry import Tables, query
     SELECT * EXCLUDE (job_id, file_name) FROM ({INVOICES}) WHERE invoice_no IS NOT NULL
 """)
 def stream_ingest(t: Tables) -> DataFrame:
-    """Written documents taken up as a stream of files, in batches of a few files each."""
+    """Written documents taken up as a stream of files, with no limit on a batch."""
     spec = replace(SET_A["invoice"], columns=tuple(c for c in SET_A["invoice"].columns if c != "file_name"))
     root, checkpoint = new_folder(t.spark, "staging"), new_folder(t.spark, "checkpoint")
-    documents = read_stream(t.spark, spec, _write_invoices(t), files_per_batch=16)
+    documents = read_stream(t.spark, spec, _write_invoices(t))
     start_ingest(documents, spec, root, checkpoint, load_date=LOAD_DATE).awaitTermination()
     return sink.read_loads(t.spark, root).drop("job_id")
 
@@ -34,7 +34,7 @@ def stream_dedup(t: Tables) -> DataFrame:
     table = f"{t.folder.rstrip('/')}/events.parquet*"
     rows = t.spark.readStream.schema(t.events.schema).parquet(table).select("user_id", "event_type")
     (
-        drop_stream_duplicates(rows, salts=8).writeStream.format("parquet").option("path", output)
+        drop_stream_duplicates(rows, salts=int(t.spark.conf.get("spark.sql.shuffle.partitions"))).writeStream.format("parquet").option("path", output)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
     )
     return t.spark.read.schema("user_id bigint, event_type string").parquet(output).select(F.col("user_id"), "event_type")
