@@ -14,7 +14,7 @@ from tidegate.session import new_folder
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
-from tidegate.sources.partitions import rows_after
+from tidegate.sources.partitions import list_folders_after, rows_after
 from tidegate.spec import RuleSpec
 from tidegate.specs import SET_A
 from tidegate.workload import documents as docs
@@ -295,22 +295,67 @@ def table_append_rerun(t: Tables) -> DataFrame:
     return t.spark.table(table).drop(sink.LOAD)
 
 
-@query("validate_rules", """
-    SELECT id, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '1,2'
-                    WHEN o_orderstatus = 'P' THEN '1' WHEN o_orderpriority = '5-LOW' THEN '2' ELSE '' END AS broken
-    FROM (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus, o_orderpriority FROM orders)
-""")
-def validate_rules(t: Tables) -> DataFrame:
-    schema = (
-        "results array<struct<id: string, invoiceNumber: string, customerRef: struct<customer: string>>>"
-    )
-    texts = docs.as_json(t.orders.select(F.array(F.struct(
+RULED = "results array<struct<id: string, invoiceNumber: string, customerRef: struct<customer: string>>>"
+
+
+def _ruled_documents(t: Tables) -> DataFrame:
+    """One document per order, as text; orders in process have no number, low-priority ones no customer."""
+    return docs.as_json(t.orders.select(F.array(F.struct(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey").cast("string")).alias("invoiceNumber"),
         F.struct(
             F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_custkey").cast("string")).alias("customer")
         ).alias("customerRef"),
     )).alias("results")))
+
+
+@query("validate_rules", """
+    SELECT id, CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '1,2'
+                    WHEN o_orderstatus = 'P' THEN '1' WHEN o_orderpriority = '5-LOW' THEN '2' ELSE '' END AS broken
+    FROM (SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus, o_orderpriority FROM orders)
+""")
+def validate_rules(t: Tables) -> DataFrame:
     rules = [RuleSpec(1, ("invoiceNumber",)), RuleSpec(2, ("customer",))]
-    checked = plans.check_documents(docs.parsed(texts, schema), rules)
+    checked = plans.check_documents(docs.parsed(_ruled_documents(t), RULED), rules)
     return checked.select("id", F.array_join("violated_rules", ",").alias("broken"))
+
+
+@query("validate_report", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS id,
+           CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN '[1,1]' ELSE '[1]' END AS violated_rules
+    FROM orders WHERE o_orderstatus = 'P' OR o_orderpriority = '5-LOW'
+""")
+def validate_report(t: Tables) -> DataFrame:
+    """The whole check: two rule documents that share a rule id, the documents, and the report read back."""
+    folder, output = new_folder(t.spark, "ruled"), new_folder(t.spark, "report")
+    _ruled_documents(t).write.text(f"{folder}/documents")
+    one = '{{"dq_id": {0}, "rules": [{{"rule_id": 1, "rule_type": "not null", "name": "n", "columns": ["{1}"]}}]}}'
+    texts = [(one.format(10, "invoiceNumber"),), (one.format(20, "customer"),)]
+    t.spark.createDataFrame(texts, "value string").repartition(2).write.text(f"{folder}/rules")
+    result = plans.validate_files(t.spark, f"{folder}/documents", f"{folder}/rules", "job_1", output, schema=RULED)
+    return read_csv(t.spark, result.folder).select("id", "violated_rules")
+
+
+@query("audit_of_load", f"""
+    SELECT 'job_1' AS job_id, 'COMPLETED' AS status, count(*) AS total_record_count,
+           count(*) FILTER (segment IS NOT NULL AND balance IS NOT NULL) AS load_record_count,
+           count(*) FILTER (segment IS NULL OR balance IS NULL) AS error_record_count
+    FROM {CUSTOMERS}
+""")
+def audit_of_load(t: Tables) -> DataFrame:
+    """The states a load leaves in the audit log, read back: the latest of the job."""
+    root, log = new_folder(t.spark, "customers"), new_folder(t.spark, "audit")
+    rows = quality.flag_missing(_customers(t), ["segment", "balance"])
+    plans.load_rows(t.spark, rows, "job_1", root, audit=log)
+    latest = audit_log.latest_state(audit_log.read_audit(t.spark, log))
+    return latest.select("job_id", "status", "total_record_count", "load_record_count", "error_record_count")
+
+
+@query("folders_listed_after", """
+    SELECT count(DISTINCT ts::DATE) AS folders FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INT) > 20240115
+""")
+def folders_listed_after(t: Tables) -> DataFrame:
+    """Folders of written files that are newer than a day, from their listing alone."""
+    folder = new_folder(t.spark, "events-dated")
+    sink.write_dated(t.events.select("event_id", "ts"), folder, F.col("ts"))
+    return list_folders_after(t.spark, folder, 20240115).agg(F.count("*").alias("folders"))

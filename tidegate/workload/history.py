@@ -205,3 +205,27 @@ def history_load(t: Tables) -> DataFrame:
     create_history(history_before(t), path, spec)
     load_history(t.spark, stage_rows(t), path, spec, RUN_DATE, "day_20240915", export)
     return as_double(read_history(t.spark, path))
+
+
+@query("history_export", f"""
+    SELECT 'new' AS change, {COLUMNS} FROM ({NEW_SQL}) UNION ALL SELECT 'updated', {COLUMNS} FROM ({UPDATED_SQL})
+    UNION ALL SELECT 'expired', {COLUMNS} FROM ({EXPIRED_SQL})
+""")
+def history_export(t: Tables) -> DataFrame:
+    """What a load leaves for readers downstream, read back from its folder."""
+    spec = HistorySpec(KEYS, VALUE, partition_column="state")
+    path, export = new_folder(t.spark, "history"), new_folder(t.spark, "changes")
+    create_history(history_before(t), path, spec)
+    result = load_history(t.spark, stage_rows(t), path, spec, RUN_DATE, "day_20240915", export)
+    return as_double(t.spark.read.parquet(result.changes_path))
+
+
+@query("history_empty_slice", f"SELECT {COLUMNS} FROM ({HISTORY_SQL})")
+def history_empty_slice(t: Tables) -> DataFrame:
+    """A stage slice without rows changes nothing."""
+    spec = HistorySpec(KEYS, VALUE, partition_column="state")
+    path, export = new_folder(t.spark, "history"), new_folder(t.spark, "changes")
+    create_history(history_before(t), path, spec)
+    none = stage_rows(t).where(F.col("customer") < 0)
+    load_history(t.spark, none, path, spec, RUN_DATE, "day_20240915", export)
+    return as_double(read_history(t.spark, path))
