@@ -8,6 +8,7 @@ from tidegate.operators import history as ops
 from tidegate.plans.history_load import create_history, load_history, read_history
 from tidegate.session import new_folder
 from tidegate.spec import HistorySpec
+from tidegate.specs import DAILY_BALANCE
 from tidegate.workload.registry import Tables, query
 
 KEYS = ("customer", "priority", "state")
@@ -207,6 +208,43 @@ def history_load(t: Tables) -> DataFrame:
     return as_double(read_history(t.spark, path))
 
 
+BALANCE_SQL = """
+    SELECT o_orderstatus AS company_name, o_orderpriority AS level_name, CAST(o_custkey % 50 AS VARCHAR) AS acc_id,
+           CAST(NULL AS VARCHAR) AS acc_name, strftime(o_orderdate, '%Y-%m-01') AS bal_dt,
+           sum(CAST(o_totalprice AS DECIMAL(18,2))) AS old_amt,
+           sum(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS new_amt
+    FROM orders GROUP BY ALL
+"""
+
+
+@query("history_daily_balance", f"""
+    SELECT company_name, level_name, acc_id, acc_name, bal_dt, CAST(new_amt AS DOUBLE) AS bal_amt, 'N' AS flag_del,
+           '9999-12-31' AS last_updt_dt FROM ({BALANCE_SQL})
+    UNION ALL
+    SELECT company_name, level_name, acc_id, acc_name, bal_dt, CAST(old_amt AS DOUBLE), 'Y', '2024-09-16'
+    FROM ({BALANCE_SQL}) WHERE company_name = 'O'
+""")
+def history_daily_balance(t: Tables) -> DataFrame:
+    """The declared daily balance over two days: orders in process come on the second, open ones change."""
+    path, export = new_folder(t.spark, "balance"), new_folder(t.spark, "changes")
+    open_order = F.col("o_orderstatus") == "O"
+    amount = F.col("o_totalprice").cast("decimal(18,2)")
+    rows = t.orders.select(
+        F.col("o_orderstatus").alias("company_name"),
+        F.col("o_orderpriority").alias("level_name"),
+        (F.col("o_custkey") % 50).cast("string").alias("acc_id"),
+        F.lit(None).cast("string").alias("acc_name"),
+        F.date_format("o_orderdate", "yyyy-MM-01").alias("bal_dt"),
+        amount.alias("bal_amt"),
+        (amount + F.when(open_order, 1).otherwise(0)).alias("later"),
+    )
+    first = rows.where("company_name <> 'P'").drop("later")
+    second = rows.drop("bal_amt").withColumnRenamed("later", "bal_amt")
+    for day, stage in (("2024-09-15", first), ("2024-09-16", second)):
+        load_history(t.spark, stage, path, DAILY_BALANCE, day, f"day_{day}", export)
+    return read_history(t.spark, path).withColumn("bal_amt", F.col("bal_amt").cast("double"))
+
+
 @query("history_export", f"""
     SELECT 'new' AS change, {COLUMNS} FROM ({NEW_SQL}) UNION ALL SELECT 'updated', {COLUMNS} FROM ({UPDATED_SQL})
     UNION ALL SELECT 'expired', {COLUMNS} FROM ({EXPIRED_SQL})
