@@ -158,6 +158,18 @@ def test_file_tenant_lookup_reads_only_links(spark, write_file):
     assert plan.count("Generate explode") == 1
 
 
+def test_nothing_is_lost_in_parsing(spark, write_file, folder):
+    good, misfit = json.dumps(page("c1", {"id": "1", "invoiceNumber": "n", "totalAmount": 1.5})), page("c1", {"id": "2", "invoiceNumber": "n", "totalAmount": "12,5"})
+    path, out = write_file("i.json", "\n".join([good, json.dumps(misfit), good[:-4]])), folder()
+    for spec in (INVOICE, replace(INVOICE, required=())):
+        result = plans.ingest(spark, spec, path, "j", out)
+        assert (result.loaded, result.rejected, result.corrupt) == (1, 2, 2)
+        bad = sorted((row.corrupt_record for row in sink.read_loads(spark, out, sink.QUARANTINED).collect()), key=len)
+        assert bad == ['{"results_totalAmount":"12,5"}', good[:-4]]
+        loaded = sink.read_loads(spark, out)
+        assert "corrupt_record" not in loaded.columns and loaded.first().total_amt == 1.5
+
+
 def test_run_dataset_and_mixed_folder(spark, write_file, folder):
     invoice = write_file("in/sub_invoices/part.json", PAGES)
     write_file("in/tpspayments_1.txt", "PaymentIdentifier|OrgIdentifier\n1|o\n2|\n")

@@ -46,6 +46,17 @@ def test_repeated_batch_replaces_its_rows(spark, write_file, folder):
     assert sink.read_loads(spark, out).count() == 3
 
 
+def test_repeated_batch_is_in_the_table_once(spark, write_file, folder):
+    write_file("in/a.json", PAGES)
+    spark.sql("DROP TABLE IF EXISTS tidegate_streamed")
+    try:
+        for _ in range(2):
+            run(spark, INVOICE, f"{write_file.folder}/in", folder(), folder(), table="tidegate_streamed")
+        assert spark.table("tidegate_streamed").count() == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS tidegate_streamed")
+
+
 def test_delimited_stream(spark, write_file, folder):
     out = folder()
     spec = replace(SET_A["trizetto_payments"], input_schema="PaymentIdentifier string, OrgIdentifier string")
