@@ -14,10 +14,13 @@ which all components are filled are never drawn.
 
 Copies (equal word sequences) become one node before anything is compared. Nodes that agree in a
 band of ROWS components meet in a bucket; 28 bands of 4 miss a pair of similarity 0.8 with a
-probability of 4e-7. In a bucket nodes are not compared all with all: ROUNDS times every node is
-verified against one leader, drawn anew each time, and joined to its component where the overlap
-reaches the threshold. After that, pairs of a bucket that are still in different components are
-all verified, the exact rest. Components are the classes.
+probability of 4e-7. In a bucket nodes are not compared all with all. First every node is
+verified against one leader, and joined to its component where the overlap reaches the threshold.
+For buckets that still hold several components, the runs that no other node of theirs has are
+counted: they bound every overlap a node can have, exactly. In the next rounds the node with the
+least share of such runs leads, which in a group of altered copies is their original. After that,
+pairs of a bucket that are still in different components and within the bound are all verified,
+the exact rest. Components are the classes.
 
 Defined results: texts that are null or have no word are alone in their class; repeated rows are
 in one class; ties are no matter, a class is named after its smallest id. Null ids are ordinary
@@ -31,16 +34,17 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.components import connected_components
+from tidegate.llm.store import unused
 from tidegate.llm.words import Words, mix, shingles, unit, words_of
 
 THRESHOLD = 0.8
 BANDS, ROWS = 28, 4
 SIZE = BANDS * ROWS
-ROUNDS = 3
+ROUNDS = 2
 BOUND = 5.0  # a text's components are all filled by its first bound with a probability of 1 - exp(-BOUND)
 
 _LEVEL = np.uint64(0xD6E8FEB86659FD93)
@@ -190,17 +194,50 @@ def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
     return rows.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
 
 
-def _close(threshold: float):
-    """Weights so different that the overlap cannot reach the threshold are not compared."""
-    return F.least("weight", "other_weight") >= F.lit(threshold) * F.greatest("weight", "other_weight")
+def _close(threshold: float) -> Column:
+    """Whether the overlap can reach the threshold: runs a node has alone are in the union only."""
+    most = F.least(F.col("weight") - F.col("alone"), F.col("other_weight") - F.col("other_alone"))
+    return most * F.lit(1 + threshold) + F.lit(1e-9) >= F.lit(threshold) * (F.col("weight") + F.col("other_weight"))
 
 
-def leader_pairs(members: DataFrame, turn: int, threshold: float) -> DataFrame:
-    """Every member of a bucket beside one leader of another component; leaders change with ``turn``."""
-    lot = F.struct(F.xxhash64("node", F.lit(turn)).alias("lot"), F.col("node").alias("n"), F.col("weight").alias("w"), F.col("label").alias("l"))
+def weights_alone(texts: DataFrame) -> DataFrame:
+    """(id, alone): how many of a node's runs no other of these nodes has. ``id`` is a hash of the node; nodes with none are left out."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("id").to_numpy(zero_copy_only=False)
+            for words in words_of(batch.column("text")):
+                text, runs, count = multiset(*shingles(words))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(runs.view(np.int64)), pa.array(ids[text + words.first]), pa.array(count.astype(np.int64))], names=["run", "id", "times"]
+                )
+
+    rows = texts.select(F.xxhash64("node").alias("id"), "text").mapInArrow(run, "run long, id long, times long")
+    # With one row to a run, its minimum is the row.
+    single = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("times").alias("times")).where("n = 1")
+    return single.groupBy("id").agg(F.sum("times").alias("alone"))
+
+
+def open_members(members: DataFrame, labels: DataFrame, texts: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Members of buckets that hold several components, with the weight they have alone among those."""
+    placed = _labelled(members, labels)
+    several = placed.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
+    rows = store(placed.join(several, "bucket", "left_semi").select("bucket", "node", "weight"), "open")
+    nodes = rows.select("node").distinct()
+    alone = weights_alone(texts.join(nodes, "node", "left_semi"))
+    # Where two nodes should share an id, nothing is known of them.
+    sole = nodes.groupBy(F.xxhash64("node").alias("id")).agg(F.count("*").alias("n"), F.min("node").alias("node")).where("n = 1")
+    found = sole.join(alone, "id").select("node", "alone")
+    return store(rows.join(found, "node", "left").withColumn("alone", F.coalesce("alone", F.lit(0))), "open-alone")
+
+
+def leader_pairs(members: DataFrame, turn: int, threshold: float, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Every member of a bucket beside one leader of another component: the one with the least share of runs alone, then by lot."""
+    share = F.col("alone") / F.col("weight")
+    lot = F.struct(share, F.xxhash64("node", F.lit(turn)), F.col("node").alias("n"), F.col("weight").alias("w"), F.col("alone").alias("x"), F.col("label").alias("l"))
     leaders = members.groupBy("bucket").agg(F.min(lot).alias("lead"), F.min("label").alias("a"), F.max("label").alias("b"))
-    leaders = leaders.where("a <> b").select("bucket", F.col("lead.n").alias("other"), F.col("lead.w").alias("other_weight"), F.col("lead.l").alias("other_label"))
-    return _pairs(members.join(leaders, "bucket"), threshold)
+    names = {"n": "other", "w": "other_weight", "x": "other_alone", "l": "other_label"}
+    leaders = leaders.where("a <> b").select("bucket", *[F.col(f"lead.{k}").alias(v) for k, v in names.items()])
+    return _pairs(members.join(store(leaders, f"leaders-{turn}"), "bucket"), threshold)
 
 
 def rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
@@ -210,7 +247,8 @@ def rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
     open_ = largest.where("labels > 1").select("bucket", F.col("top.label").alias("top"))
     placed = members.join(open_, "bucket")
     few = placed.where("label <> top").select(
-        "bucket", F.col("node").alias("other"), F.col("weight").alias("other_weight"), F.col("label").alias("other_label")
+        "bucket", F.col("node").alias("other"), F.col("weight").alias("other_weight"),
+        F.col("alone").alias("other_alone"), F.col("label").alias("other_label"),
     )
     return _pairs(placed.join(few, "bucket"), threshold)
 
@@ -236,7 +274,8 @@ def find_classes(
     nodes = signed.where("node IS NOT NULL").groupBy("node").agg(first)
     rows = nodes.select("node", F.col("first.weight").alias("weight"), F.posexplode("first.bands").alias("band", "key"))
     banded = rows.select("node", "weight", F.xxhash64("band", "key").alias("bucket"))
-    shared = banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n")
+    # Tables with a row for each bucket or class are stored before they are joined, so that Spark can split a large one.
+    shared = store(banded.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "buckets")
     members = store(banded.join(shared, "bucket", "left_semi"), "members")
 
     # The texts of nodes that share a bucket; all verifying reads them from here.
@@ -247,9 +286,12 @@ def find_classes(
     texts = store(source.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
     labels, links, tested = None, None, None
+    open_ = members.withColumn("alone", F.lit(0).cast("long"))
     for turn in range(rounds + 1):
-        placed = _labelled(members, labels)
-        pairs = leader_pairs(placed, turn, threshold) if turn < rounds else rest_pairs(placed, threshold)
+        if turn == 1:
+            open_ = open_members(members, labels, texts, store)
+        placed = _labelled(open_, labels)
+        pairs = leader_pairs(placed, turn, threshold, store) if turn < rounds else rest_pairs(placed, threshold)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = store(pairs, f"pairs-{turn}")
@@ -257,15 +299,16 @@ def find_classes(
         tested = pairs if tested is None else tested.unionByName(pairs)
         links = found if links is None else links.unionByName(found)
         labels = connected_components(links, store, f"components-{turn}")
-    return name_classes(signed, labels)
+    return name_classes(signed, labels, store)
 
 
-def name_classes(signed: DataFrame, labels: DataFrame) -> DataFrame:
+def name_classes(signed: DataFrame, labels: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """Every row beside the smallest row of its class."""
     placed = _labelled(signed.select("doc_id", "text_hash", "node"), labels)
     classes = placed.where("label IS NOT NULL").groupBy("label").agg(
         F.min(F.struct("doc_id", "text_hash")).alias("first"), F.count("*").alias("class_size")
     )
-    named = placed.join(classes, "label", "left")
+    named = placed.join(store(classes, "class-names"), "label", "left")
     alone = F.col("label").isNull()
     return named.select(
         "doc_id",
@@ -279,6 +322,7 @@ def name_classes(signed: DataFrame, labels: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """The first document of every class. Repeated rows of it are one document."""
     gone = classes.where(~(F.col("doc_id").eqNullSafe(F.col("class_id")) & (F.col("text_hash") == F.col("first_hash"))))
-    gone = gone.select(F.col("doc_id").alias("_gone_doc"), F.col("text_hash").alias("_gone_hash")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_gone_doc")) & (F.xxhash64("text") == F.col("_gone_hash"))
+    doc, text_hash = unused(docs, "gone_doc", "gone_hash")
+    gone = gone.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(text_hash)).distinct()
+    same = docs["doc_id"].cast("long").eqNullSafe(gone[doc]) & (F.xxhash64(docs["text"]) == gone[text_hash])
     return docs.join(gone, same, "left_anti")
