@@ -77,7 +77,8 @@ FROM documents d LEFT JOIN rebuilt r ON r.doc_id = d.doc_id LEFT JOIN counts n O
 @query
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "warc")
-    planned = warc.plan_records(table(spark, sf_dir, "pages"))
+    pages = table(spark, sf_dir, "pages")
+    planned = warc.plan_records(pages, storage(pages, "warc-plan"))
     manifest = warc.store_manifest(warc.write_warc(planned, f"{folder}/archives"), folder)
     records = warc.read_warc(manifest)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

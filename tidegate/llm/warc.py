@@ -18,7 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from datetime import datetime, timezone
 
 import pyarrow as pa
@@ -62,11 +62,13 @@ def sha1_base32(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def plan_records(pages: DataFrame) -> DataFrame:
+def plan_records(pages: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Rows of (page_id, url, payload, refers_to); ``refers_to`` is null for a response.
 
     The winner of a digest is a ``max`` that shrinks where pages are read; only digests and ids
-    are shuffled for it. Digests that occur once need no decision and drop out.
+    are shuffled for it. Digests that occur once need no decision and drop out. The winners are
+    stored (``store`` writes a frame to the shared folder and reads it back), so that the join can
+    split a payload that makes up a large part of the pages.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -74,7 +76,7 @@ def plan_records(pages: DataFrame) -> DataFrame:
         F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"),
     ).withColumn("digest", F.unhex(F.sha1("payload")))
     winners = rows.groupBy("digest").agg(F.max("page_id").alias("winner"), F.count("*").alias("copies"))
-    winners = winners.where("copies > 1 AND winner IS NOT NULL").drop("copies")
+    winners = store(winners.where("copies > 1 AND winner IS NOT NULL").drop("copies"), "winners")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("winner")), F.col("winner"))
     return rows.join(winners, "digest", "left").select("page_id", "url", "payload", refers.alias("refers_to"))
 
@@ -135,7 +137,8 @@ def read_warc(files: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFrame:
     ranges = files.select(
         "file", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))).alias("begin")
     )
-    dealt = ranges.repartition(F.xxhash64("file", "begin"))
+    # A range is a row here but split_bytes of work: the number is set, or Spark would merge the few rows into one task.
+    dealt = ranges.repartition(max(1, ranges.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([
