@@ -31,6 +31,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.store import unused
+
 MIN_LINES = 2
 MIN_CHARS = 20
 BLANKS = " \t\u000b\f\r"
@@ -105,23 +107,29 @@ def sort_suffixes(docs: DataFrame, store: Callable[[DataFrame, str], DataFrame],
         ranks.append(store(pairs.join(classes, ["r1", "r2"]).select(*PLACE, "rank"), f"ranks-{level}"))
 
 
-def later_copies(ranked: DataFrame, *keys: str) -> DataFrame:
-    """Places that share their class (the columns ``keys``) with an earlier place."""
-    first = ranked.groupBy(*keys).agg(F.min(F.struct(*PLACE)).alias("first"))
+def later_copies(ranked: DataFrame, store: Callable[[DataFrame, str], DataFrame], name: str, *keys: str) -> DataFrame:
+    """Places that share their class (the columns ``keys``) with an earlier place.
+
+    The first places, a row for each class, are stored before they are joined: the join then reads
+    plain rows on both sides, and Spark can split a class that holds a large part of them.
+    """
+    first = store(ranked.groupBy(*keys).agg(F.min(F.struct(*PLACE)).alias("first")), f"first-{name}")
     return ranked.join(first, list(keys)).where(~F.struct(*PLACE).eqNullSafe(F.col("first"))).select(*PLACE)
 
 
-def copied_places(levels: SuffixLevels, min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS) -> DataFrame:
+def copied_places(
+    levels: SuffixLevels, store: Callable[[DataFrame, str], DataFrame], min_lines: int = MIN_LINES, min_chars: int = MIN_CHARS
+) -> DataFrame:
     """(doc, hash, pos) of every line in a later copy: runs of min_lines lines, and single lines of min_chars characters."""
-    single = later_copies(levels.lines.where(F.col("chars") >= min_chars), "rank")
-    top = min_lines.bit_length() - 1
     if min_lines < 2:
-        return later_copies(levels.lines, "rank")
+        return later_copies(levels.lines, store, "line", "rank")
+    single = later_copies(levels.lines.where(F.col("chars") >= min_chars), store, "line", "rank")
+    top = min_lines.bit_length() - 1
     if top >= len(levels.ranks):
         return single
     ranks, rest = levels.ranks[top], min_lines - (1 << top)
     # Two windows of 2^top lines that overlap make up a depth between the doublings.
-    runs = later_copies(_ahead(ranks, rest), "r1", "r2") if rest else later_copies(ranks, "rank")
+    runs = later_copies(_ahead(ranks, rest), store, "run", "r1", "r2") if rest else later_copies(ranks, store, "run", "rank")
     covered = runs.select("doc", "hash", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.lit(min_lines - 1))).alias("pos"))
     return single.unionByName(covered).distinct()
 
@@ -133,30 +141,34 @@ def dedup_lines(
     min_chars: int = MIN_CHARS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    reports: tuple[str, str, str] = ("n_lines", "n_deleted", "kept"),
 ) -> DataFrame:
-    """The rows with their text less later copies, and ``n_lines``, ``n_deleted``, ``kept`` (columns of these names are replaced).
+    """The rows with their text less later copies, and three reports: lines, deleted lines, whether the document is kept.
+
+    Columns that have the name of a report are replaced.
 
     ``store(frame, name)`` writes a frame to the shared folder and reads it back.
     """
     levels = sort_suffixes(docs.select(id_col, text_col), store, id_col, text_col)
-    places = copied_places(levels, min_lines, min_chars).select(*[F.col(c).alias(f"_{c}") for c in PLACE])
+    places = copied_places(levels, store, min_lines, min_chars).select(*[F.col(c).alias(f"_{c}") for c in PLACE])
     same = F.col("doc").eqNullSafe(F.col("_doc")) & (F.col("hash") == F.col("_hash")) & (F.col("pos") == F.col("_pos"))
     gone = levels.lines.join(places, same, "left_semi").groupBy("doc", "hash").agg(F.array_sort(F.collect_list("line_no")).alias("_gone"))
-    gone = gone.select(F.col("doc").alias("_doc"), F.col("hash").alias("_hash"), "_gone")
-
-    docs = docs.drop("n_lines", "n_deleted", "kept")
-    here = docs[id_col].eqNullSafe(F.col("_doc")) & (F.xxhash64(docs[text_col]) == F.col("_hash"))
+    docs = docs.drop(*reports)
+    n_lines, n_deleted, kept = reports
+    doc, text_hash, lost = unused(docs, "copied_doc", "copied_hash", "copied_lines")
+    gone = gone.select(F.col("doc").alias(doc), F.col("hash").alias(text_hash), F.col("_gone").alias(lost))
+    here = docs[id_col].eqNullSafe(gone[doc]) & (F.xxhash64(docs[text_col]) == gone[text_hash])
     joined = docs.join(gone, here, "left")
     lines = split_lines(F.col(text_col))
-    n_lines = F.coalesce(F.size(F.filter(lines, lambda x: _trimmed(x) != "")), F.lit(0))
-    n_deleted = F.coalesce(F.size("_gone"), F.lit(0))
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(F.array_join(without(lines, F.col("_gone")), "\n"))
+    hit = F.col(lost).isNotNull()
+    full = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(F.filter(lines, lambda x: _trimmed(x) != "")))
     counted = joined.withColumns({
-        "n_lines": F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(n_lines).cast("long"),
-        "n_deleted": F.when(F.col("_gone").isNull(), F.lit(0)).otherwise(n_deleted).cast("long"),
+        n_lines: full.cast("long"),
+        n_deleted: F.when(hit, F.size(lost)).otherwise(F.lit(0)).cast("long"),
     })
-    kept = (F.col("n_deleted") == 0) | (F.col("n_deleted") < F.col("n_lines"))
-    return counted.withColumns({"kept": kept, text_col: text}).select(*docs.columns, "n_lines", "n_deleted", "kept")
+    left = (F.col(n_deleted) == 0) | (F.col(n_deleted) < F.col(n_lines))
+    text = F.when(hit, F.array_join(without(lines, F.col(lost)), "\n")).otherwise(F.col(text_col))
+    return counted.withColumns({kept: left, text_col: text}).select(*docs.columns, *reports)
 
 
 def without(values: Column, gone: Column) -> Column:
