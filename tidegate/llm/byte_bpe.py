@@ -13,6 +13,7 @@ where they are read: no shuffle, one record batch in memory.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -82,7 +83,7 @@ class Codec:
         flat = [byte_characters(match.encode("utf-8")) for cut in cuts for match in cut]
         ids = iter(self.processor.encode(flat, out_type=int, num_threads=1) if flat else [])
         for cut in cuts:
-            yield np.array([i for _ in cut for i in next(ids)], "<u4").tobytes()
+            yield array("I", [i for _ in cut for i in next(ids)]).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         return self.pieces.encode(texts)

@@ -1,61 +1,68 @@
 """Whole texts to token ids through a bounded cache of text pieces.
 
-A byte-level BPE works inside pre-tokens, and a blank in front of a word always opens one.
-So a text may be cut in front of its single blanks (and behind its single line ends), each
-piece be encoded once and the ids be strung together: same ids, a fraction of the work.
-Texts in which a blank stands between or after other white space are encoded in one piece.
+A byte-level BPE works inside pre-tokens. A single blank in front of a word always opens one, and
+a single line end between words is one by itself. So where all white space of a text is of that
+kind, its words are encoded once each and the ids strung together: same ids, a fraction of the
+work. Any other text is encoded in one piece.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterable
 
-CACHED_PIECES = 150_000
-_UNSAFE = re.compile(r"\s \s|\s \Z")
-_SPACE = re.compile(r"\s")
+CACHED_PIECES = 500_000
+CUT = "\0"
+_SIGNS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_TOGETHER = ("  ", " \n", "\n ", "\n\n", CUT)
 
 
 class PieceEncoder:
-    """Ids of texts as bytes. ``encode_pieces`` gives the id bytes of each of a list of pieces."""
+    """Ids of texts as bytes. ``encode_pieces`` gives the id bytes of each of a list of texts."""
 
     def __init__(self, encode_pieces: Callable[[list[str]], Iterable[bytes]], cached: int = CACHED_PIECES):
         self.encode_pieces, self.cached = encode_pieces, cached
-        self.known: dict[str, bytes] = {}
+        self.fixed = {"": b"", "\n": next(iter(encode_pieces(["\n"])))}
+        self.known = dict(self.fixed)
+        self.signs = dict(zip(_SIGNS, encode_pieces(list(_SIGNS)), strict=True))
 
     @staticmethod
-    def cut(text: str) -> list[str]:
-        """Pieces that make up the text and can be encoded apart."""
-        if _UNSAFE.search(text):
-            return [text]
-        first, *rest = text.split(" ")
-        out = [first] if first else []
-        for word in rest:
-            out.append(" " + word)
-        if "\n" not in text:
-            return out
-        lines: list[str] = []
-        for piece in out:
-            if "\n" not in piece:
-                lines.append(piece)
-                continue
-            a, *more = piece.split("\n")
-            # Only a line end with no other white space beside it may be followed by a cut.
-            if all(more) and len(a) > (a[:1] == " ") and not any(_SPACE.search(x) for x in (a[1:], *more)):
-                lines.append(a)
-                for x in more:
-                    lines += ["\n", x]
-            else:
-                lines.append(piece)
-        return lines
+    def cut(text: str) -> list[str] | None:
+        """Words with their leading blank, and line ends; None if the text cannot be cut so."""
+        for pair in _TOGETHER:
+            if pair in text:
+                return None
+        if "\n" in text:
+            text = text.replace("\n", "\0\n\0")
+        return text.replace(" ", "\0 ").split(CUT)
+
+    def _learn(self, words: list[str]) -> None:
+        """Encode words that are not known. A single sign behind letters is a pre-token of its own."""
+        known, signs = self.known, self.signs
+        signed = [w for w in words if w[-1] in signs and w[:-1].lstrip(" ").isalpha()]
+        whole = {*words}.difference(signed)
+        whole.update(b for b in {w[:-1] for w in signed} if b not in known)
+        fresh = list(whole)
+        if fresh:
+            known.update(zip(fresh, self.encode_pieces(fresh), strict=True))
+        known.update((w, known[w[:-1]] + signs[w[-1]]) for w in signed)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known = self.known
+        known, get = self.known, self.known.get
         cuts = [self.cut(text) for text in texts]
-        new = list({piece for cut in cuts for piece in cut if piece not in known})
-        if new:
-            known.update(zip(new, self.encode_pieces(new), strict=True))
-        out = [b"".join([known[piece] for piece in cut]) for cut in cuts]
+        found = [None if cut is None else list(map(get, cut)) for cut in cuts]
+        gaps = [[] if ids is None else [k for k, x in enumerate(ids) if x is None] for ids in found]
+        new = {cut[k] for cut, own in zip(cuts, gaps, strict=True) for k in own}
+        # A piece with white space of another kind is not kept, and its texts are encoded as a whole.
+        self._learn([p for p in new if len(p.split()) == 1 and not p[-1].isspace() and not p.lstrip(" ")[0].isspace()])
+        for i, own in enumerate(gaps):
+            for k in own:
+                ids = get(cuts[i][k])
+                if ids is None:
+                    found[i] = None
+                    break
+                found[i][k] = ids
+        out = [next(iter(self.encode_pieces([text]))) if ids is None else b"".join(ids) for text, ids in zip(texts, found, strict=True)]
         if len(known) > self.cached:
             known.clear()
+            known.update(self.fixed)
         return out

@@ -19,6 +19,7 @@ from __future__ import annotations
 import os
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
@@ -50,17 +51,21 @@ MANIFEST = T.StructType([
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, bytes, bytes]:
     """Ids by rank, control bytes and data bytes of a run of ids."""
-    seen, back, count = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.lexsort((seen, -count))
-    rank_of = np.empty(len(seen), "<u4")
-    rank_of[order] = np.arange(len(seen))
-    ranks = rank_of[back]
-    size = 1 + (ranks > 0xFF) + (ranks > 0xFFFF).astype(int) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) < size[:, None]]
+    count = np.bincount(ids)
+    seen = np.flatnonzero(count)
+    by_rank = seen[np.lexsort((seen, -count[seen]))]
+    rank_of = np.zeros(len(count), "<u4")
+    rank_of[by_rank] = np.arange(len(seen))
+    ranks = rank_of[ids]
+    size = np.ones(len(ranks), np.uint8)
+    for limit in (0xFF, 0xFFFF, 0xFFFFFF):
+        if len(seen) > limit:
+            size += ranks > limit
+    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4, dtype=np.uint8) < size[:, None]]
     codes = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     codes[:len(ranks)] = size - 1
     control = (codes.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(axis=1, dtype=np.uint8)
-    return seen[order].astype("<u4"), control.tobytes(), data.tobytes()
+    return by_rank.astype("<u4"), control.tobytes(), data.tobytes()
 
 
 def unpack(by_rank: np.ndarray, control: np.ndarray, data: np.ndarray, n: int) -> np.ndarray:
@@ -104,20 +109,45 @@ def read_shard(path: str) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(d) if k else None for d, k in zip(doc_ids, known, strict=True)], lengths, ids
 
 
-@lru_cache(maxsize=2)
-def _encoder(vocabulary: str) -> PieceEncoder:
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def byte_alphabet() -> dict[int, str]:
+    """The characters a byte-level vocabulary writes bytes with: printable Latin-1 as itself, the rest from U+0100 on."""
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in plain)
+    return {b: chr(b) for b in plain} | {b: chr(0x100 + i) for i, b in enumerate(rest)}
+
+
+class _TokenizerPieces:
+    """Ids of text pieces by a tokenizers file.
+
+    A piece that is one pre-token for certain (letters, with a leading blank or none) goes straight
+    to the tokenizer's model.
+    """
 
-    tokenizer = Tokenizer.from_file(vocabulary)
-    tokenizer.encode_special_tokens = True
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
 
-    def encode(texts: list[str]) -> Iterator[bytes]:
-        for a in range(0, len(texts), 20_000):
-            for found in tokenizer.encode_batch_fast(texts[a:a + 20_000], add_special_tokens=False):
-                yield np.array(found.ids, "<u4").tobytes()
+        self.tokenizer = Tokenizer.from_file(vocabulary)
+        self.tokenizer.encode_special_tokens = True
+        self.alphabet = byte_alphabet()
+        self.split = self.tokenizer.model.tokenize
 
-    return PieceEncoder(encode)
+    def pretoken(self, text: str) -> list[int]:
+        return [token.id for token in self.split(text.encode("utf-8").decode("latin-1").translate(self.alphabet))]
+
+    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+        for text in texts:
+            if (text[1:] if text[:1] == " " else text).isalpha():
+                ids = self.pretoken(text)
+            else:
+                ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+            yield array("I", ids).tobytes()
+
+
+@lru_cache(maxsize=2)
+def _encoder(vocabulary: str) -> PieceEncoder:
+    """One encoder for each worker process, kept between its tasks."""
+    return PieceEncoder(_TokenizerPieces(vocabulary))
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID, shard_ids: int = SHARD_IDS) -> DataFrame:
@@ -180,8 +210,8 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         T.StructField("ids_crc32", T.LongType()),
         T.StructField("ids", T.BinaryType()),
     ])
-    # One file to a task: a file is the unit of reading, and there are as many as the data fills.
-    return placed.select("file", "before").repartition(F.xxhash64("file")).mapInArrow(_read_files, schema)
+    # A file is a row here but a task's work: the number is set, or Spark would merge the few rows into one task.
+    return placed.select("file", "before").repartition(max(1, manifest.count())).mapInArrow(_read_files, schema)
 
 
 def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
