@@ -96,7 +96,7 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     written = token_files.write_token_files(docs, f"{folder}/files", public_tokenizers.path("byte_bpe_50k.json"))
     manifest = token_files.store_manifest(written, folder)
-    return token_files.read_token_files(manifest).drop("ids")
+    return token_files.read_token_files(manifest, with_ids=False)
 
 
 @query

@@ -195,8 +195,10 @@ def _writer(folder: str, vocabulary: str, end_id: int, shard_ids: int) -> Callab
     return run
 
 
-def read_token_files(manifest: DataFrame) -> DataFrame:
-    """A row for each document of the files: doc_id, start, n_tokens, ids_crc32, ids (little-endian unsigned 32-bit).
+def read_token_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
+    """A row for each document of the files: doc_id, start, n_tokens, ids_crc32, and its ids (little-endian unsigned 32-bit).
+
+    ``with_ids=False`` leaves the ids out, for readers that want only places and checksums.
 
     ``start`` counts the ids of all documents before it, over all files. The running total is
     taken over the manifest, which has a row for each file, not over documents.
@@ -208,27 +210,33 @@ def read_token_files(manifest: DataFrame) -> DataFrame:
         T.StructField("start", T.LongType()),
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids_crc32", T.LongType()),
-        T.StructField("ids", T.BinaryType()),
+        *([T.StructField("ids", T.BinaryType())] if with_ids else []),
     ])
     # A file is a row here but a task's work: the number is set, or Spark would merge the few rows into one task.
-    return placed.select("file", "before").repartition(max(1, manifest.count())).mapInArrow(_read_files, schema)
-
-
-def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for file, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist(), strict=True):
-            doc_ids, lengths, ids = read_shard(file)
-            ends = np.cumsum(lengths)
-            starts = ends - lengths
-            for a in range(0, len(doc_ids), 2000):
-                own = [ids[i:j].tobytes() for i, j in zip(starts[a:a + 2000], ends[a:a + 2000], strict=True)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(doc_ids[a:a + 2000], pa.int64()),
-                    pa.array(starts[a:a + 2000] + before, pa.int64()),
-                    pa.array(lengths[a:a + 2000], pa.int64()),
-                    pa.array([zlib.crc32(x) for x in own], pa.int64()),
-                    pa.array(own, pa.binary()),
-                ], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"])
+    return placed.select("file", "before").repartition(max(1, manifest.count())).mapInArrow(_reader(with_ids), schema)
+
+
+def _reader(with_ids: bool) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from _read_files(batch, with_ids)
+    return run
+
+
+def _read_files(batch: pa.RecordBatch, with_ids: bool) -> Iterator[pa.RecordBatch]:
+    for file, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist(), strict=True):
+        doc_ids, lengths, ids = read_shard(file)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        for a in range(0, len(doc_ids), 2000):
+            own = [ids[i:j].tobytes() for i, j in zip(starts[a:a + 2000], ends[a:a + 2000], strict=True)]
+            yield pa.RecordBatch.from_arrays([
+                pa.array(doc_ids[a:a + 2000], pa.int64()),
+                pa.array(starts[a:a + 2000] + before, pa.int64()),
+                pa.array(lengths[a:a + 2000], pa.int64()),
+                pa.array([zlib.crc32(x) for x in own], pa.int64()),
+                *([pa.array(own, pa.binary())] if with_ids else []),
+            ], names=["doc_id", "start", "n_tokens", "ids_crc32", "ids"][:5 if with_ids else 4])
 
 
 def store_manifest(manifest: DataFrame, folder: str) -> DataFrame:
