@@ -15,7 +15,7 @@ their customers under the totals of the round before, then the totals are taken
 round every dish re-seats random customers by Gibbs steps; the probabilities of the sweeps after
 the first are averaged. Discounts follow from the counts of counts, n1 / (n1 + 2 n2).
 
-What travels: tokens go to their word's bucket once, packed in numpy arrays (about 6 bytes a
+What travels: tokens go to their word's bucket once, packed in numpy arrays (about 7 bytes a
 token), and sums by document come back. Both grow with the corpus; nothing else does but the
 number of rows of totals, which are added up in two steps.
 
@@ -42,7 +42,8 @@ from tidegate.llm.words import mix, words_of
 
 CONTEXT_BITS = 16
 CONTEXTS = 1 << CONTEXT_BITS
-BLOCK_TOKENS = 6_000_000
+BLOCK_TOKENS = 1_000_000
+HOT_TOKENS = 500_000
 HOT_PARTS = 256  # a word is hot from about 1 / HOT_PARTS of all tokens on
 ROUNDS = 2
 SWEEPS = 3
@@ -81,16 +82,26 @@ def find_hot(docs: DataFrame, path: str) -> np.ndarray:
     block, so what is shuffled is bounded by the number of blocks. The list only decides where
     tokens go, not what they score.
     """
+    def report(parts: list[np.ndarray]) -> pa.RecordBatch:
+        word, count = np.unique(np.concatenate(parts), return_counts=True)
+        often = count * (4 * HOT_PARTS) >= count.sum()
+        word, own = word[often], count[often]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.append(word.view(np.int64), 0)), pa.array(np.append(own, count.sum()).astype(np.int64)),
+             pa.array([False] * len(word) + [True])], names=["word", "n", "total"],
+        )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, size = [], 0
         for batch in batches:
-            parts = [token for *_, token, _ in tokens_of(batch.column("text"))]
-            word, count = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
-            often = count * (4 * HOT_PARTS) >= count.sum()
-            word, own = word[often], count[often]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.append(word.view(np.int64), 0)), pa.array(np.append(own, count.sum()).astype(np.int64)),
-                 pa.array([False] * len(word) + [True])], names=["word", "n", "total"],
-            )
+            for *_, token, _ in tokens_of(batch.column("text")):
+                parts.append(token)
+                size += len(token)
+                if size >= HOT_TOKENS:
+                    yield report(parts)
+                    parts, size = [], 0
+        if parts:
+            yield report(parts)
 
     sums = docs.select("text").mapInArrow(run, "word long, n long, total boolean").groupBy("total", "word").agg(F.sum("n").alias("n"))
     sums.write.parquet(path)
@@ -248,6 +259,12 @@ def _count_bucket(rows: list[dict], hot: np.ndarray) -> tuple:
     )
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch, of which only one is held as Python objects."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 class _State:
     """A bucket's dishes, unpacked."""
 
@@ -427,7 +444,7 @@ def next_model(states: DataFrame, model: Model, turn: int) -> Model:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 _, hot, context, sums = sample(_State(row), shared.value, turn, keep=False)
                 yield pa.RecordBatch.from_arrays([
                     pa.array([row["bucket"]], pa.int32()), pa.array([sums], pa.list_(pa.float64())),
@@ -456,7 +473,7 @@ def score(states: DataFrame, model: Model, turn: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 rows = _partial_sums(row, shared.value, turn) if row["kind"] == "state" else [
                     (row["block"], "docs", *(row[x] for x in "abcd"))
                 ]
@@ -518,7 +535,7 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
     ``folder`` is in the shared folder; the packed dishes and tokens of the buckets are kept there.
     """
     spark = docs.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
     hot = find_hot(source, join_path(folder, "hot"))
     states = count(deal(source, hot, buckets), hot)
