@@ -25,11 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as pb
 
+from tidegate.llm.memory import tidy
 from tidegate.llm.pretokens import PieceEncoder
 from tidegate.llm.words import pieces
 
 FIRST_BYTE_CHARACTER = 0x100
 TEXTS_BYTES = 2 << 20
+CACHED_PIECES = 200_000  # forgotten at a task's end: other stages need the worker's memory
 _TO_CHARACTERS = {b: FIRST_BYTE_CHARACTER + b for b in range(256)}
 
 
@@ -76,7 +78,7 @@ class Codec:
         self.bytes_of = [
             bytes(ord(c) - FIRST_BYTE_CHARACTER for c in self.processor.id_to_piece(i)) for i in range(size)
         ]
-        self.pieces = PieceEncoder(self._encode_pieces)
+        self.pieces = PieceEncoder(self._encode_pieces, CACHED_PIECES)
 
     def _encode_pieces(self, texts: list[str]) -> Iterator[bytes]:
         cuts = [self.split(text) for text in texts]
@@ -117,7 +119,7 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType()),
     ])
-    return source.mapInArrow(_encoder(model, pattern, id_col, text_col), schema)
+    return source.mapInArrow(tidy(_encoder(model, pattern, id_col, text_col)), schema)
 
 
 def _encoder(model: bytes, pattern: str, id_col: str, text_col: str) -> Callable:
@@ -133,6 +135,7 @@ def _encoder(model: bytes, pattern: str, id_col: str, text_col: str) -> Callable
                     pa.array(ids, pa.binary()),
                 ], names=[id_col, "n_tokens", "ids"])
                 at += len(texts)
+        own.pieces.forget()
     return run
 
 
@@ -152,4 +155,4 @@ def decode(encoded: DataFrame, vocabulary: str, pattern: str, ids_col: str = "id
                 texts = [None if ids is None else own.decode(ids) for ids in part.column(ids_col).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.binary())], names=[*part.schema.names, "decoded"])
 
-    return encoded.select(*[f.name for f in schema if f.name != "decoded"]).mapInArrow(run, schema)
+    return encoded.select(*[f.name for f in schema if f.name != "decoded"]).mapInArrow(tidy(run), schema)

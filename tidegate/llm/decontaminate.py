@@ -28,6 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.llm.memory import tidy
 from tidegate.llm.store import unused
 from tidegate.llm.words import windows, words_of
 
@@ -62,7 +63,7 @@ def item_words(benchmark: DataFrame, min_match: int = MIN_MATCH) -> DataFrame:
                 ], names=["item_id", "tokens", "seeds"])
 
     source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text"))
-    return source.mapInArrow(run, ITEMS).where(F.size("seeds") > 0).distinct()
+    return source.mapInArrow(tidy(run), ITEMS).where(F.size("seeds") > 0).distinct()
 
 
 def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
@@ -112,7 +113,7 @@ def find_hits(docs: DataFrame, bitmap: np.ndarray, min_match: int = MIN_MATCH) -
                     _lists(pairs[1].view(np.int64), pairs[0].astype(np.int64), len(docs_hit), pa.int64()),
                 ], names=["doc_id", "text_hash", "places", "tokens", "seeds"])
 
-    return docs.select("doc_id", "text_hash", F.lower("text").alias("text")).mapInArrow(run, HITS)
+    return docs.select("doc_id", "text_hash", F.lower("text").alias("text")).mapInArrow(tidy(run), HITS)
 
 
 def tile(pattern: list, text: list, min_match: int = MIN_MATCH, first_length: int = FIRST_LENGTH) -> list[tuple[int, int, int]]:
@@ -248,7 +249,7 @@ def find_leaks(
                 pa.array(count, pa.int64()),
             ], names=["doc_id", "text_hash", "item_id", "item_words", "covered", "tiles"])
 
-    tiled = sides.mapInArrow(run, "doc_id long, text_hash long, item_id long, item_words long, covered long, tiles long")
+    tiled = sides.mapInArrow(tidy(run), "doc_id long, text_hash long, item_id long, item_words long, covered long, tiles long")
     return tiled.where(F.col("covered") >= F.lit(min_coverage) * F.col("item_words"))
 
 

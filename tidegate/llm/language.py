@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.llm.memory import tidy
 from tidegate.llm.words import mix, pieces, utf8
 
 BINS = 1 << 15
@@ -130,7 +131,7 @@ def count_ngrams(labelled: DataFrame) -> DataFrame:
                 names=["lang", "bins", "part"],
             )
 
-    partial = labelled.select("lang", "text").mapInArrow(run, "lang string, bins binary, part int")
+    partial = labelled.select("lang", "text").mapInArrow(tidy(run), "lang string, bins binary, part int")
     # Summed in two steps, so that no task reads the rows of all the others.
     dealt = partial.repartition("lang", "part").mapInArrow(_add_up, "lang string, bins binary")
     return dealt.repartition("lang").mapInArrow(_add_up, "lang string, bins binary")
@@ -197,7 +198,7 @@ def measure_trust(labelled: DataFrame, model: Model) -> np.ndarray:
                 n += int(full.sum())
         yield pa.RecordBatch.from_arrays([pa.array([right.tolist()], pa.list_(pa.int64())), pa.array([n], pa.int64())], names=["hits", "n"])
 
-    rows = labelled.select("lang", "text").mapInArrow(run, "hits array<long>, n long")
+    rows = labelled.select("lang", "text").mapInArrow(tidy(run), "hits array<long>, n long")
     sums = rows.agg(*[F.sum(F.col("hits")[i]).alias(f"b{i}") for i in range(model.codes.shape[1])], F.sum("n").alias("n")).first()
     if not sums or not sums["n"]:
         return model.trust

@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.components import connected_components
+from tidegate.llm.memory import tidy
 from tidegate.llm.store import unused
 from tidegate.llm.words import Words, mix, shingles, unit, words_of
 
@@ -144,7 +145,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 ], names=["doc_id", "text_hash", "node", "weight", "bands"])
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return source.mapInArrow(run, SIGNATURES)
+    return source.mapInArrow(tidy(run), SIGNATURES)
 
 
 def similarity(left: pa.Array, right: pa.Array) -> np.ndarray:
@@ -184,7 +185,7 @@ def verify(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) ->
                 near = pa.array(similarity(part.column("left"), part.column("right")) >= threshold - 1e-12)
                 yield part.select(["u", "v"]).filter(near)
 
-    return sides.select("u", "v", "left", "right").mapInArrow(run, "u binary, v binary")
+    return sides.select("u", "v", "left", "right").mapInArrow(tidy(run), "u binary, v binary")
 
 
 def _labelled(rows: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -211,7 +212,7 @@ def weights_alone(texts: DataFrame) -> DataFrame:
                     [pa.array(runs.view(np.int64)), pa.array(ids[text + words.first]), pa.array(count.astype(np.int64))], names=["run", "id", "times"]
                 )
 
-    rows = texts.select(F.xxhash64("node").alias("id"), "text").mapInArrow(run, "run long, id long, times long")
+    rows = texts.select(F.xxhash64("node").alias("id"), "text").mapInArrow(tidy(run), "run long, id long, times long")
     # With one row to a run, its minimum is the row.
     single = rows.groupBy("run").agg(F.count("*").alias("n"), F.min("id").alias("id"), F.min("times").alias("times")).where("n = 1")
     return single.groupBy("id").agg(F.sum("times").alias("alone"))

@@ -35,6 +35,10 @@ class PieceEncoder:
             text = text.replace("\n", "\0\n\0")
         return text.replace(" ", "\0 ").split(CUT)
 
+    def forget(self) -> None:
+        self.known.clear()
+        self.known.update(self.fixed)
+
     def _learn(self, words: list[str]) -> None:
         """Encode words that are not known. A single sign behind letters is a pre-token of its own."""
         known, signs = self.known, self.signs
@@ -63,6 +67,5 @@ class PieceEncoder:
                 found[i][k] = ids
         out = [next(iter(self.encode_pieces([text]))) if ids is None else b"".join(ids) for text, ids in zip(texts, found, strict=True)]
         if len(known) > self.cached:
-            known.clear()
-            known.update(self.fixed)
+            self.forget()
         return out

@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidegate.llm.memory import tidy
 from tidegate.llm.words import utf8, windows, words_of
 
 MIN_WORDS = 10
@@ -131,7 +132,7 @@ def measure(docs: DataFrame) -> DataFrame:
             )
 
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return source.mapInArrow(run, schema).withColumn("base_failed", failed)
+    return source.mapInArrow(tidy(run), schema).withColumn("base_failed", failed)
 
 
 def assign_groups(stats: DataFrame) -> DataFrame:
