@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.files import join_path
+from tidegate.llm.memory import tidy
 from tidegate.llm.words import mix, words_of
 
 CONTEXT_BITS = 16
@@ -103,7 +104,7 @@ def find_hot(docs: DataFrame, path: str) -> np.ndarray:
         if parts:
             yield report(parts)
 
-    sums = docs.select("text").mapInArrow(run, "word long, n long, total boolean").groupBy("total", "word").agg(F.sum("n").alias("n"))
+    sums = docs.select("text").mapInArrow(tidy(run), "word long, n long, total boolean").groupBy("total", "word").agg(F.sum("n").alias("n"))
     sums.write.parquet(path)
     sums = docs.sparkSession.read.schema(sums.schema).parquet(path)
     all_tokens = F.max(F.when(F.col("total"), F.col("n")))
@@ -114,6 +115,20 @@ def find_hot(docs: DataFrame, path: str) -> np.ndarray:
 
 # ---- dealing tokens to buckets --------------------------------------------------------------
 
+def _ascending(numbers: np.ndarray) -> bytes:
+    """Ascending numbers as their steps, in two bytes each where they fit, else in four."""
+    steps = np.diff(numbers, prepend=numbers.dtype.type(0))
+    return steps.astype("<u2" if not len(steps) or steps.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _small(numbers: np.ndarray) -> bytes:
+    return numbers.astype("<u2" if not len(numbers) or numbers.max() < 1 << 16 else "<u4").tobytes()
+
+
+def _ascended(data: bytes, n: int) -> np.ndarray:
+    return np.cumsum(np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4"), dtype=np.int64)
+
+
 DEALT = "bucket int, block long, kind string, a binary, b binary, c binary, d binary, e binary"
 _BLANK = b""
 
@@ -122,7 +137,7 @@ def deal(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     """Blocks of packed tokens for every bucket, and a row for each block's documents.
 
     Kind ``tokens``: words of the block in the bucket (u8), each token's word (u4) and context (u2),
-    documents met (u4) with their tokens (u4, doubled, odd if held out). Kind ``docs``: ids with flags, held out, token counts.
+    documents met (steps) with their tokens (u4, doubled, odd if held out). Kind ``docs``: ids with flags, held out, token counts.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = 0, _Block()
@@ -137,7 +152,7 @@ def deal(docs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
         if held.size:
             yield from held.rows(base + number, hot, buckets)
 
-    return docs.select("doc_id", "held_out", "text").mapInArrow(run, DEALT)
+    return docs.select("doc_id", "held_out", "text").mapInArrow(tidy(run), DEALT)
 
 
 def _rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -180,8 +195,8 @@ class _Block:
             small = np.uint16 if len(words) < 1 << 16 else np.uint32
             met = np.flatnonzero(np.diff(doc[at], prepend=doc[at.start] + np.uint32(1)))
             runs = np.diff(np.append(met, at.stop - at.start)).astype("<u4") << np.uint32(1) | out[doc[at][met]]
-            packed = (words.astype("<u8"), back.astype(small), context[at].astype("<u2"), doc[at][met].astype("<u4"), runs)
-            yield _rows([(b, block, "tokens", *(x.tobytes() for x in packed))])
+            packed = (words.astype("<u8"), back.astype(small), context[at].astype("<u2"))
+            yield _rows([(b, block, "tokens", *(x.tobytes() for x in packed), _ascending(doc[at][met]), runs.tobytes())])
         has_id = np.array([i is not None for i in self.ids], np.uint8)
         ids = np.array([i or 0 for i in self.ids], "<i8")
         yield _rows([(block % buckets, block, "docs", ids.tobytes(), has_id.tobytes(), np.array(self.out, np.uint8).tobytes(), counts.astype("<u4").tobytes(), _BLANK)])
@@ -226,8 +241,8 @@ def _count_bucket(rows: list[dict], hot: np.ndarray) -> tuple:
         at = np.frombuffer(r["b"], np.uint16 if len(own) < 1 << 16 else np.uint32)
         word.append(own[at])
         context.append(np.frombuffer(r["c"], "<u2"))
-        docs.append(np.frombuffer(r["d"], "<u4"))
         runs.append(np.frombuffer(r["e"], "<u4"))
+        docs.append(_ascended(r["d"], len(runs[-1])))
         blocks.append((r["block"], len(docs[-1])))
     word, context, docs, runs = (np.concatenate(x) for x in (word, context, docs, runs))
     words, number = np.unique(word, return_inverse=True)
@@ -312,7 +327,7 @@ def add_up(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     kind = "sums array<double>, hot binary, context binary"
     parts = rows.select("sums", "hot", "context", (F.col("bucket") % SUM_PARTS).alias("part")).repartition(SUM_PARTS, "part")
-    found = parts.select("sums", "hot", "context").mapInArrow(run, kind).repartition(1).mapInArrow(run, kind).first()
+    found = parts.select("sums", "hot", "context").mapInArrow(tidy(run), kind).repartition(1).mapInArrow(tidy(run), kind).first()
     if found is None:
         return np.zeros(7), np.zeros(0), np.zeros(2 * CONTEXTS)
     return np.array(found["sums"]), np.frombuffer(found["hot"], "<f8"), np.frombuffer(found["context"], "<f8")
@@ -452,7 +467,7 @@ def next_model(states: DataFrame, model: Model, turn: int) -> Model:
                 ], names=["bucket", "sums", "hot", "context"])
 
     rows = states.where("kind = 'state'").select("bucket", "a", "b", "c", "d")
-    sums, hot, context = add_up(rows.mapInArrow(run, "bucket int, sums array<double>, hot binary, context binary"))
+    sums, hot, context = add_up(rows.mapInArrow(tidy(run), "bucket int, sums array<double>, hot binary, context binary"))
     if not model.tokens:
         return model
     return Model(
@@ -492,10 +507,10 @@ def score(states: DataFrame, model: Model, turn: int) -> DataFrame:
         n = np.frombuffer(docs["d"], "<u4").astype(np.int64)
         known, base, total = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n))
         for r in sorted((r for r in rows if r["kind"] == "sums"), key=lambda r: r["d"][:8]):
-            at = np.frombuffer(r["a"], "<u4")
-            known[at] += np.frombuffer(r["b"], "<u4")
+            at = _ascended(r["a"], len(r["c"]) // 8)
+            known[at] += np.frombuffer(r["b"], "<u2" if len(r["b"]) == 2 * len(at) else "<u4")
             base[at] += np.frombuffer(r["c"], "<f8")
-            total[at] += np.frombuffer(r["d"], "<f8")[1:]
+            total[at] += np.frombuffer(r["d"], "<f4", offset=8)
         has_id = np.frombuffer(docs["b"], np.uint8).astype(bool)
         return pa.table([
             pa.array(np.frombuffer(docs["a"], "<i8"), mask=~has_id), pa.array(np.frombuffer(docs["c"], np.uint8).astype(bool)),
@@ -503,7 +518,7 @@ def score(states: DataFrame, model: Model, turn: int) -> DataFrame:
             pa.array(base - n * scale), pa.array(total),
         ], names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
-    return states.select("bucket", "block", "kind", *"abcdefg").mapInArrow(run, kinds).groupBy("block").applyInArrow(gather, SCORES)
+    return states.select("bucket", "block", "kind", *"abcdefg").mapInArrow(tidy(run), kinds).groupBy("block").applyInArrow(gather, SCORES)
 
 
 def _partial_sums(row: dict, model: Model, turn: int) -> list[tuple]:
@@ -524,8 +539,8 @@ def _partial_sums(row: dict, model: Model, turn: int) -> list[tuple]:
         own = slice(at, at + n)
         at += n
         # The bucket's number stands first, so that sums are added in one order whenever a task is repeated.
-        scores = np.concatenate([[float(state.bucket)], total[own]])
-        out.append((block, "sums", docs[own].tobytes(), known[own].astype("<u4").tobytes(), base[own].tobytes(), scores.tobytes()))
+        place = np.array([state.bucket], ">u8").tobytes()
+        out.append((block, "sums", _ascending(docs[own]), _small(known[own]), base[own].tobytes(), place + total[own].astype("<f4").tobytes()))
     return out
 
 
@@ -535,7 +550,7 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
     ``folder`` is in the shared folder; the packed dishes and tokens of the buckets are kept there.
     """
     spark = docs.sparkSession
-    buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
     hot = find_hot(source, join_path(folder, "hot"))
     states = count(deal(source, hot, buckets), hot)
