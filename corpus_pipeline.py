@@ -60,9 +60,8 @@ def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of what is left, digested, and whether they decode to the text again."""
     vocabulary = public_tokenizers.path(VOCABULARY)
-    encoded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN)
-    decoded = byte_bpe.decode(encoded, vocabulary, public_tokenizers.PATTERN)
-    return decoded.select(
+    coded = byte_bpe.encode(docs, vocabulary, public_tokenizers.PATTERN, decoded=True)
+    return coded.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
     )
 

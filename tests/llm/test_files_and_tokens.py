@@ -60,6 +60,8 @@ def test_byte_bpe_takes_edge_cases(spark):
     got = sorted((r.decoded.decode(), r.n_tokens) for r in byte_bpe.decode(encoded, RANKS, public_tokenizers.PATTERN).collect())
     exact = exact_bpe()
     assert got == sorted((t or "", len(exact.encode_ordinary(t or ""))) for _, t, *_ in edge_rows())
+    both = byte_bpe.encode(edge_docs(spark), RANKS, public_tokenizers.PATTERN, decoded=True)
+    assert sorted((r.decoded.decode(), r.n_tokens) for r in both.collect()) == got
     assert byte_bpe.encode(empty_docs(spark), RANKS, public_tokenizers.PATTERN).count() == 0
 
 

@@ -31,7 +31,7 @@ from tidegate.llm.words import pieces
 
 FIRST_BYTE_CHARACTER = 0x100
 TEXTS_BYTES = 2 << 20
-CACHED_PIECES = 200_000  # forgotten at a task's end: other stages need the worker's memory
+CACHED_PIECES = 100_000  # forgotten at a task's end: other stages need the worker's memory
 _TO_CHARACTERS = {b: FIRST_BYTE_CHARACTER + b for b in range(256)}
 
 
@@ -107,9 +107,13 @@ def text_groups(column: pa.Array) -> Iterator[list[str]]:
         yield [text or "" for text in column.slice(a, b - a).to_pylist()]
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False
+) -> DataFrame:
     """Rows of (id, n_tokens, ids): ``ids`` are little-endian unsigned 32-bit integers.
 
+    With ``decoded`` the bytes that the ids decode to follow, in the same pass: one Python worker
+    for a task instead of the two of ``encode`` and ``decode`` in a row.
     ``vocabulary`` is read once, by the driver; the model (about 1 MB) travels with the tasks.
     """
     model = build_model(read_ranks(vocabulary))
@@ -118,11 +122,12 @@ def encode(docs: DataFrame, vocabulary: str, pattern: str, id_col: str = "doc_id
         T.StructField(id_col, docs.schema[id_col].dataType),
         T.StructField("n_tokens", T.LongType()),
         T.StructField("ids", T.BinaryType()),
+        *([T.StructField("decoded", T.BinaryType())] if decoded else []),
     ])
-    return source.mapInArrow(tidy(_encoder(model, pattern, id_col, text_col)), schema)
+    return source.mapInArrow(tidy(_encoder(model, pattern, id_col, text_col, decoded)), schema)
 
 
-def _encoder(model: bytes, pattern: str, id_col: str, text_col: str) -> Callable:
+def _encoder(model: bytes, pattern: str, id_col: str, text_col: str, decoded: bool) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(model, pattern)
         for batch in batches:
@@ -133,7 +138,8 @@ def _encoder(model: bytes, pattern: str, id_col: str, text_col: str) -> Callable
                     batch.column(id_col).slice(at, len(texts)),
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array(ids, pa.binary()),
-                ], names=[id_col, "n_tokens", "ids"])
+                    *([pa.array([own.decode(x) for x in ids], pa.binary())] if decoded else []),
+                ], names=[id_col, "n_tokens", "ids", *(["decoded"] if decoded else [])])
                 at += len(texts)
         own.pieces.forget()
     return run
