@@ -114,6 +114,24 @@ def test_gibbs_seats_two_customers_as_often_as_the_process_says():
     assert abs((seats.tables == 2).mean() - new / (new + 1 - d)) < 0.015
 
 
+def test_contexts_keep_their_own_restaurants(spark, folder):
+    """Two previous words whose hashes begin alike, each always followed by a word of its own."""
+    import pyarrow as pa
+
+    from tidegate.llm.words import mix, words_of
+
+    names = [f"u{i}" for i in range(3000)]
+    found = next(words_of(pa.array([" ".join(names)]))).hash
+    place = {}
+    for name, top in zip(names, (mix(found) >> np.uint64(48)).tolist(), strict=True):
+        place.setdefault(top, []).append(name)
+    a, b = next(x for x in place.values() if len(x) > 1)[:2]
+    rows = [(i, f"{a} left", False) for i in range(40)] + [(100 + i, f"{b} right", False) for i in range(40)]
+    rows += [(1000, f"{b} right", True), (1001, f"{a} right", True)]
+    score = {r.doc_id: r.score for r in pitman_yor.score_documents(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean"), folder("py")).collect()}
+    assert score[1000] - score[1001] > 1
+
+
 def brute_counts(text):
     w = words(text)
     windows = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
