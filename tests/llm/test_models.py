@@ -1,6 +1,7 @@
 """Language identification, the language model and quality rules."""
 
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -114,6 +115,103 @@ def test_gibbs_seats_two_customers_as_often_as_the_process_says():
     assert abs((seats.tables == 2).mean() - new / (new + 1 - d)) < 0.015
 
 
+def stirling_law(customers, new, d):
+    """Law of a dish's number of tables: new^t times the generalised Stirling number of (customers, t)."""
+    row = np.array([0.0, new])
+    for i in range(1, customers):
+        row = np.append(row * np.maximum(i - d * np.arange(len(row)), 0), 0) + np.append(0, row * new)
+        row /= row.sum()
+    return row
+
+
+@pytest.mark.parametrize(("customers", "rate"), [(2, 0.9), (19, 3.0), (300, 0.4), (300, 40.0), (40, 60.0)])
+def test_a_sweep_keeps_the_law_of_all_tables_of_a_dish(customers, rate):
+    draw, d, n = np.random.default_rng(6), 0.6, 2000
+    size, dish = np.full(n, customers), np.arange(n)
+    found = []
+    for sweep in range(180):
+        size, dish = pitman_yor.reseat(draw, size, dish, np.full(n, rate), d)
+        assert (np.bincount(dish, size, minlength=n) == customers).all() and (size > 0).all()
+        if sweep >= 150:  # the start, one table, is far off at high rates
+            found.append(np.bincount(dish, minlength=n))
+    law = stirling_law(customers, rate * d, d)
+    at = np.arange(len(law))
+    mean, spread = (law * at).sum(), math.sqrt((law * at**2).sum() - (law * at).sum() ** 2)
+    assert abs(np.mean(found) - mean) < 0.05 * spread + 0.01 and abs(np.std(found) - spread) < 0.08 * spread + 0.01
+
+
+def exact_scores(train, asked, sweeps, burn):
+    """Means over a Gibbs chain that moves one customer after the other, with every seat of both levels listed."""
+    draw = random.Random(3)
+    pairs = [p for t in train for p in zip([None, *t], [*t, ""], strict=True)]
+    count, by_context = Counter(pairs), Counter(u for u, _ in pairs)
+    root_first = Counter(Counter(w for _, w in count).values())
+    ratio = lambda c: min(0.95, max(0.05, c[1] / (c[1] + 2 * c[2]))) if c[1] else 0.5
+    d, d0, base = ratio(Counter(count.values())), ratio(root_first), 1 / (len({w for _, w in pairs}) + 1)
+    tables, root, seat = {p: [] for p in count}, {w: [] for _, w in count}, [None] * len(pairs)
+    t_u, totals = Counter(), [0, 0]
+
+    def at_root(w):
+        return (sum(root[w]) - d0 * sum(x > 0 for x in root[w]) + (1 + d0 * totals[1]) * base) / (1 + totals[0])
+
+    def choose(weights):
+        return draw.choices(range(len(weights)), weights)[0]
+
+    sums = [0.0] * len(asked)
+    for sweep in range(sweeps):
+        for i, (u, w) in enumerate(pairs):
+            if sweep:
+                table = seat[i]
+                table[0] -= 1
+                if not table[0]:
+                    tables[u, w].remove(table)
+                    t_u[u] -= 1
+                    totals[0] -= 1
+                    root[w][table[1]] -= 1
+                    totals[1] -= not root[w][table[1]]
+            own = tables[u, w]
+            k = choose([*(x[0] - d for x in own), (1 + d * t_u[u]) * at_root(w)])
+            if k < len(own):
+                own[k][0] += 1
+            else:
+                r = choose([*(max(x - d0, 0) if x else 0 for x in root[w]), (1 + d0 * totals[1]) * base])
+                if r == len(root[w]):
+                    root[w].append(0)
+                totals[1] += not root[w][r]
+                root[w][r] += 1
+                totals[0] += 1
+                t_u[u] += 1
+                own.append([1, r])
+            seat[i] = next(x for x in own if x is (own[k]))
+        if sweep >= burn:
+            for j, (u, w) in enumerate(asked):
+                root.setdefault(w, [])
+                p = count[u, w] - d * len(tables.get((u, w), [])) + (1 + d * t_u[u]) * at_root(w)
+                sums[j] += p / (1 + by_context[u]) / (sweeps - burn)
+    return sums
+
+
+def test_scores_agree_with_an_exact_sampler_and_sum_to_one(spark, folder, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "ROUNDS", 24)
+    monkeypatch.setattr(pitman_yor, "KEPT", 20)
+    draw = random.Random(8)
+    vocabulary = [f"w{i}" for i in range(9)]
+    train = [draw.choices(vocabulary, [2.0 ** -i for i in range(9)], k=30) for _ in range(20)]
+    next_words = [*sorted({w for t in train for w in t}), "unseen"]
+    rows = [(i, " ".join(t), False) for i, t in enumerate(train)] + [(100, "w1", True), (101, "unseen", True), (102, "", True)]
+    rows += [(200 + i, f"w1 {w}", True) for i, w in enumerate(next_words)] + [(300 + i, w, True) for i, w in enumerate(next_words)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    score = {r.doc_id: 10**r.score for r in pitman_yor.score_documents(docs, folder("py"), buckets=2).collect()}
+    asked = [(None, w) for w in next_words] + [("w1", w) for w in next_words] + [(w, "") for w in next_words] + [(None, ""), ("w1", "")]
+    p = dict(zip(asked, exact_scores(train, asked, 600, 100), strict=True))
+    for i, w in enumerate(next_words):
+        assert math.log10(score[300 + i]) == pytest.approx(math.log10(p[None, w] * p[w, ""]), abs=0.12)
+        assert math.log10(score[200 + i]) == pytest.approx(math.log10(p[None, "w1"] * p["w1", w] * p[w, ""]), abs=0.15)
+    # All that can follow a start is a word, an unknown one or the end; each word's own end is divided out.
+    after = [score[300 + i] / p[w, ""] for i, w in enumerate(next_words)]
+    assert sum(after) + score[102] == pytest.approx(1, abs=0.04)
+
+
 def test_contexts_keep_their_own_restaurants(spark, folder):
     """Two previous words whose hashes begin alike, each always followed by a word of its own."""
     import pyarrow as pa
