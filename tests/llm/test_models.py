@@ -230,6 +230,25 @@ def test_contexts_keep_their_own_restaurants(spark, folder):
     assert score[1000] - score[1001] > 1
 
 
+def test_a_hot_pair_arrives_as_one_count_for_each_block():
+    block, hot = pitman_yor._Block(), np.array([pitman_yor._START])
+    token = np.full(100_000, 7, np.uint64)
+    block.add([1, 2], [False, True], np.array([60_000, 40_000]), token)
+    rows = [r for batch in block.rows(5, hot, 11) for r in batch.to_pylist()]
+    pairs = [r for r in rows if r["kind"] == "pairs"]
+    assert sum(len(r["e"]) for r in pairs) == 4 * 2  # (start, 7) and (7, 7)
+    assert sorted(n for r in pairs for n in np.frombuffer(r["e"], "<u4").tolist()) == [1, 59_999]
+
+
+def test_buckets_follow_the_tokens(spark, folder, monkeypatch):
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 50)
+    docs = spark.createDataFrame([(i, prose(i, 40), False) for i in range(40)], "doc_id long, text string, held_out boolean")
+    path = folder("py")
+    assert pitman_yor.score_documents(docs, path).count() == 40
+    stored = spark.read.parquet(f"{path}/counted")
+    assert stored.where("kind = 'static'").select("to").distinct().count() > 4
+
+
 def brute_counts(text):
     w = words(text)
     windows = Counter(tuple(w[i:i + 5]) for i in range(len(w) - 4))
