@@ -209,6 +209,16 @@ def test_leaks_are_found_reordered_and_clean_texts_left(spark):
         assert decontaminate.find_leaks(a, b, storage(a, "t")).count() == 0
 
 
+def test_short_items_are_found_word_for_word(spark):
+    base = prose(70, 40)
+    rows = [(1, f"{base} Forty-two, PERCENT {base}"), (2, f"{base} forty percent two {base}"), (3, "forty two"), (4, "Solo"), (5, f"x {base} solo"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = [(1, "forty two percent"), (2, "solo"), (3, ""), (4, None), (5, "a b c d")]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    leaks = decontaminate.find_leaks(docs, benchmark, storage(docs, "t")).collect()
+    assert sorted((r.doc_id, r.item_id, r.item_words, r.covered, r.tiles) for r in leaks) == [(1, 1, 3, 3, 1), (4, 2, 1, 1, 1), (5, 2, 1, 1, 1)]
+
+
 def test_words_without_signs():
     import pyarrow as pa
 

@@ -1,7 +1,8 @@
 """Benchmark decontamination by greedy string tiling.
 
 Documents and benchmark items are word sequences (lower case, signs dropped). A seed is a run of
-MIN_MATCH words. Documents meet items through seeds they share; each pair is then tiled by running
+MIN_MATCH words; a shorter item is one seed of all its words, and only a copy of all of them in a
+row matches it. Documents meet items through seeds they share; each pair is then tiled by running
 Karp-Rabin greedy string tiling: windows of the search length are hashed, equal ones grown to
 maximal matches, the longest are marked first and never overlap, and the search length is halved
 down to MIN_MATCH. The share of the item's words that lie in tiles is its coverage, whatever the
@@ -12,8 +13,7 @@ fixed size. Only the words left, with their places, travel on; texts never do. F
 bitmap drop out in the join on seeds. A pair is tiled only if the seeds it shares could cover
 enough, a bound that loses nothing.
 
-Defined results: a null or empty text matches nothing; items of fewer than MIN_MATCH words cannot
-be matched and are left out; repeated items (same id and words) count once, items that share an
+Defined results: a null or empty text, of a document or an item, matches nothing; repeated items (same id and words) count once, items that share an
 id but not their words are tested apart and the best is reported; repeated documents (same id and
 text) are reported once. Null ids are ordinary values. Other columns are not read.
 """
@@ -21,7 +21,7 @@ text) are reported once. Null ids are ordinary values. Other columns are not rea
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.memory import tidy
 from tidegate.llm.store import unused
-from tidegate.llm.words import windows, words_of
+from tidegate.llm.words import Words, windows, words_of
 
 MIN_MATCH = 5
 FIRST_LENGTH = 20
@@ -55,17 +55,37 @@ def item_words(benchmark: DataFrame, min_match: int = MIN_MATCH) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for words in words_of(batch.column("text"), letters=True):
-                seeds, at = windows(words.hash, words.text, min_match)
+                seeds, text = _item_seeds(words, min_match)
                 yield pa.RecordBatch.from_arrays([
                     batch.column("item_id").slice(words.first, words.texts),
                     _lists(words.hash.view(np.int64), words.text, words.texts, pa.int64()),
-                    _lists(seeds.view(np.int64), words.text[at], words.texts, pa.int64()),
+                    _lists(seeds.view(np.int64), text, words.texts, pa.int64()),
                 ], names=["item_id", "tokens", "seeds"])
 
     source = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower("text").alias("text"))
     return source.mapInArrow(tidy(run), ITEMS).where(F.size("seeds") > 0).distinct()
 
 
+def _item_seeds(words: Words, min_match: int) -> tuple[np.ndarray, np.ndarray]:
+    """Seeds of all items and the items they belong to, in order of items."""
+    seeds, texts, counts = [], [], words.counts
+    for length in range(1, min_match + 1):
+        found, at = windows(words.hash, words.text, length)
+        text = words.text[at]
+        own = np.full(len(text), True) if length == min_match else counts[text] == length
+        seeds.append(found[own])
+        texts.append(text[own])
+    seeds, texts = np.concatenate(seeds), np.concatenate(texts)
+    order = np.argsort(texts, kind="stable")
+    return seeds[order], texts[order]
+
+
+def seed_lengths(items: DataFrame, min_match: int = MIN_MATCH) -> list[int]:
+    """Lengths of seeds that occur, at most ``min_match`` different ones."""
+    rows = items.select(F.least(F.size("tokens"), F.lit(min_match)).alias("n")).distinct().collect()
+    return sorted(row["n"] for row in rows)
+
+
 def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     """Which seed hashes occur, modulo ``bits``. At most ``bits / 64`` rows reach the driver, however large the benchmark."""
     bit = items.select(F.explode("seeds").alias("seed")).select(F.col("seed").bitwiseAND(F.lit(bits - 1)).alias("bit"))
@@ -78,7 +98,7 @@ def seed_bitmap(items: DataFrame, bits: int = BITMAP_BITS) -> np.ndarray:
     return out
 
 
-def find_hits(docs: DataFrame, bitmap: np.ndarray, min_match: int = MIN_MATCH) -> DataFrame:
+def find_hits(docs: DataFrame, bitmap: np.ndarray, lengths: Iterable[int] = (MIN_MATCH,)) -> DataFrame:
     """For every document with a seed in the bitmap: the words inside such seeds, their places, and the different seeds."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
@@ -87,15 +107,17 @@ def find_hits(docs: DataFrame, bitmap: np.ndarray, min_match: int = MIN_MATCH) -
         bits = np.uint64(len(found) * 64 - 1)
         for batch in batches:
             for words in words_of(batch.column("text"), letters=True):
-                seeds, at = windows(words.hash, words.text, min_match)
-                low = (seeds & bits).astype(np.int64)
-                hit = ((found[low >> 6] >> (low & 63)) & 1).astype(bool)
-                seeds, at = seeds[hit], at[hit]
+                inside, hits = np.zeros(len(words.hash), bool), []
+                for length in lengths:
+                    seeds, at = windows(words.hash, words.text, length)
+                    low = (seeds & bits).astype(np.int64)
+                    hit = ((found[low >> 6] >> (low & 63)) & 1).astype(bool)
+                    hits.append((seeds[hit], at[hit]))
+                    for i in range(length):
+                        inside[at[hit] + i] = True
+                seeds, at = (np.concatenate(x) for x in zip(*hits, strict=True)) if hits else ((), ())
                 if not len(at):
                     continue
-                inside = np.zeros(len(words.hash), bool)
-                for i in range(min_match):
-                    inside[at + i] = True
                 inside = np.flatnonzero(inside)
                 owners = words.text[inside]
                 counts = words.counts
@@ -218,7 +240,7 @@ def find_leaks(
     # Items are told apart by id and words; the words' hash is the second half of the key.
     items = items.withColumn("item_key", F.xxhash64("tokens"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"), F.xxhash64("text").alias("text_hash"))
-    hits = store(find_hits(source, seed_bitmap(items), min_match), "hits")
+    hits = store(find_hits(source, seed_bitmap(items), seed_lengths(items, min_match)), "hits")
 
     seeds = items.select("item_id", "item_key", F.size("tokens").alias("item_words"), F.explode("seeds").alias("seed"))
     seeds = seeds.groupBy("seed", "item_id", "item_key", "item_words").agg(F.count("*").alias("times"))
@@ -239,7 +261,7 @@ def find_leaks(
         for batch in batches:
             covered, count = [], []
             for row in batch.select(["places", "words", "item"]).to_pylist():
-                tiles = tile(row["item"], spread_out(row["places"], row["words"]), min_match)
+                tiles = tile(row["item"], spread_out(row["places"], row["words"]), min(min_match, len(row["item"])))
                 covered.append(sum(size for *_, size in tiles))
                 count.append(len(tiles))
             yield pa.RecordBatch.from_arrays([
