@@ -221,6 +221,48 @@ def ingest_delimited(t: Tables) -> DataFrame:
     )
 
 
+# Input columns of the payments layout, with expressions that both engines take.
+PAYMENT_COLUMNS = {
+    "PaymentIdentifier": "l_orderkey",
+    "ClaimIdentifier": "l_linenumber",
+    "OrgIdentifier": "CASE WHEN l_returnflag <> 'R' THEN l_suppkey END",
+    "BillingProviderNPI": "l_partkey",
+    "RenderingProviderNPI": "CASE WHEN l_linenumber <> 2 THEN l_suppkey + 1 END",
+    "PaymentDate": "CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10))",
+    "PaymentAmount": "l_partkey * 10",
+    "ProcessingStatusCode": "l_linestatus",
+    "PayeeName": "concat('Payee ', CAST(l_suppkey AS VARCHAR(20)))",
+    "CheckNumber": "l_orderkey * 10 + l_linenumber",
+    "CheckDate": "CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10))",
+    "ChargeAmount": "l_partkey + 1",
+    "PaidAmount": "l_partkey + 2",
+    "DeductableAmount": "l_partkey + 3",
+    "DiscountAmount": "CASE WHEN l_linenumber <> 3 THEN l_partkey + 4 END",
+    "CoInsAmount": "l_partkey + 5",
+    "CoPaymentAmount": "l_partkey + 6",
+    "AdjustReasonCode": "l_returnflag",
+    "RemarkCode": "concat(l_returnflag, ' ', l_linestatus)",
+    "LateFilingCharge": "l_suppkey + 7",
+    "InterestAmount": "l_suppkey + 8",
+    "DenialType": "CASE WHEN l_returnflag = 'A' THEN l_linestatus END",
+    "RecordCreationDate": "CAST(CAST(l_shipdate AS DATE) AS VARCHAR(10))",
+}
+_PAYMENTS = SET_A["trizetto_payments"]
+
+
+@query("ingest_delimited_whole", f"""
+    SELECT DISTINCT {", ".join(f"CAST({x} AS VARCHAR) AS {_PAYMENTS.renames[c]}" for c, x in PAYMENT_COLUMNS.items())},
+           'job_1' AS job_id, '2024-09-15' AS file_load_dt
+    FROM lineitem WHERE l_returnflag <> 'R'
+""")
+def ingest_delimited_whole(t: Tables) -> DataFrame:
+    """The whole payments layout: every input column written, every declared column compared."""
+    folder, root = new_folder(t.spark, "payments"), new_folder(t.spark, "staging")
+    sink.write_csv(t.lineitem.select(*[F.expr(x).alias(c) for c, x in PAYMENT_COLUMNS.items()]), folder, sep="|")
+    plans.ingest(t.spark, _PAYMENTS, folder, "job_1", root, load_date=LOAD_DATE)
+    return sink.read_loads(t.spark, root).drop(CORRUPT)
+
+
 @query("export_flat_csv", """
     SELECT c_custkey AS results_customer_key, c_name AS results_customer_name, c_acctbal AS results_balance FROM customer
 """)

@@ -11,6 +11,7 @@ from tidegate.sinks import files as sink
 from tidegate.specs import SET_A
 from tidegate.streaming.dedup import drop_stream_duplicates
 from tidegate.streaming.ingest import read_stream, start_ingest
+from tidegate.operators.shape import CORRUPT
 from tidegate.workload.files import INVOICES, LOAD_DATE, _write_invoices
 from tidegate.workload.registry import Tables, query
 
@@ -27,6 +28,21 @@ def stream_ingest(t: Tables) -> DataFrame:
     return sink.read_loads(t.spark, root).drop("job_id")
 
 
+@query("stream_ingest_whole", f"""
+    SELECT * REPLACE ('invoice' AS job_id, 'txt' AS file_name) FROM ({INVOICES}) WHERE invoice_no IS NOT NULL
+""")
+def stream_ingest_whole(t: Tables) -> DataFrame:
+    """The shipped spec as a stream, all columns. Job ids are compared without the batch, file names by their suffix."""
+    spec = SET_A["invoice"]
+    root, checkpoint = new_folder(t.spark, "staging"), new_folder(t.spark, "checkpoint")
+    documents = read_stream(t.spark, spec, _write_invoices(t))
+    start_ingest(documents, spec, root, checkpoint, load_date=LOAD_DATE).awaitTermination()
+    return sink.read_loads(t.spark, root).drop(CORRUPT).withColumns({
+        "job_id": F.regexp_extract("job_id", r"^(invoice)_\d+$", 1),
+        "file_name": F.regexp_extract("file_name", r"/part-[^/]+\.(txt)$", 1),
+    })
+
+
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
     output, checkpoint = new_folder(t.spark, "distinct"), new_folder(t.spark, "checkpoint")
