@@ -237,7 +237,7 @@ def test_a_hot_pair_arrives_as_one_count_for_each_block():
     rows = [r for batch in block.rows(5, hot, 11) for r in batch.to_pylist()]
     pairs = [r for r in rows if r["kind"] == "pairs"]
     assert sum(len(r["e"]) for r in pairs) == 4 * 2  # (start, 7) and (7, 7)
-    assert sorted(n for r in pairs for n in np.frombuffer(r["e"], "<u4").tolist()) == [1, 59_999]
+    assert sorted(n for r in pairs for n in pitman_yor._u4(r["e"]).tolist()) == [1, 59_999]
 
 
 def test_buckets_follow_the_tokens(spark, folder, monkeypatch):

@@ -123,8 +123,13 @@ _KINDS = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.float64()), *[pa.bina
 _NAMES = ["to", "kind", "frm", "sums", *_CELLS]
 
 
+def _pack(numbers: np.ndarray) -> bytes:
+    """Bytes of an array; of four-byte numbers all first bytes, then all second ones, which compress better."""
+    return numbers.view(np.uint8).reshape(-1, 4).T.tobytes() if numbers.dtype == np.uint32 else numbers.tobytes()
+
+
 def _row(to: int, kind: str, frm: int, *cells: np.ndarray, sums: np.ndarray | None = None) -> tuple:
-    packed = [x.tobytes() for x in cells]
+    packed = [_pack(x) for x in cells]
     return (int(to), kind, int(frm), None if sums is None else np.asarray(sums, float).tolist(), *packed, *[None] * (len(_CELLS) - len(packed)))
 
 
@@ -142,11 +147,11 @@ def _small(numbers: np.ndarray) -> np.ndarray:
 
 
 def _ints(data: bytes, n: int) -> np.ndarray:
-    return np.frombuffer(data, "<u4" if len(data) == 4 * n else "<u8").astype(np.int64)
+    return _u4(data) if len(data) == 4 * n else np.frombuffer(data, "<u8").astype(np.int64)
 
 
 def _u4(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, "<u4").astype(np.int64)
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 # ---- dealing pairs to buckets ---------------------------------------------------------------
@@ -473,7 +478,7 @@ class _Seating:
         own = self.hot[self.context]
         np.add.at(by_hot, own[own >= 0], by_dish[own >= 0] - 1)
         r = self.row
-        out = [(bucket, "seats", bucket, by_hot.tolist(), r["a"], r["b"], r["c"], r["d"], r["e"], by_dish.astype("<u4").tobytes(), _small(size).tobytes(),
+        out = [(bucket, "seats", bucket, by_hot.tolist(), r["a"], r["b"], r["c"], r["d"], r["e"], _pack(by_dish.astype("<u4")), _pack(_small(size)),
                 kept.astype("<f8").tobytes(), r["i"], r["j"])]
         by_word = self.word_singles + np.bincount(self.word, by_dish, minlength=len(self.word_singles)).astype(np.int64)
         ends = np.cumsum(self.shape[:, 2])
@@ -658,6 +663,7 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
     def stored(rows: DataFrame, name: str) -> DataFrame:
         path = join_path(folder, name)
         rows.write.option("compression", "zstd").parquet(path)
+        spark.sparkContext._jvm.System.gc()  # shuffles of steps that are stored are cleaned once nothing refers to them
         return spark.read.schema(ROW).parquet(path)
 
     hot, n = find_hot(source, join_path(folder, "hot"))
