@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, pitman_yor, quality, token_files, warc
+from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, neighbours, pitman_yor, quality, repair, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -150,3 +150,45 @@ def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     held_out = (remainder("doc_id", 7) == 2).alias("held_out")
     return pitman_yor.score_documents(docs.select("doc_id", held_out, "text"), new_folder(spark, "scores"))
+
+
+@query
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbours.find_nearest(vectors, F.col("vec_id") % 20 == 0, storage(vectors, "neighbours"))
+
+
+SQL["op12_neighbours"] = """
+WITH vectors AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), usable AS (
+  SELECT vec_id, v FROM vectors
+  WHERE v IS NOT NULL AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+), scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 20 = 0
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS nth FROM scored
+)
+SELECT query_id, CAST(nth AS INTEGER) AS rank, vec_id, score FROM ranked WHERE nth <= 20
+"""
+
+
+@query
+def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    damaged = repair.damage(turns)
+    summary, repaired = repair.repair(damaged, storage(turns, "repair"))
+    numbers = [name for name, kind in summary.dtypes if kind == "bigint" and name != "conv_id"]
+    digests = repair.digest_turns(repaired).withColumnRenamed("conv_id", "digest_id")
+    found = summary.withColumnRenamed("conv_id", "found_id")
+    asked = turns.select(F.col("conv_id").cast("long").alias("conv_id")).distinct()
+    return (
+        asked.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left")
+        .join(digests, F.col("conv_id").eqNullSafe(F.col("digest_id")), "left")
+        .select(
+            "conv_id", *[F.coalesce(name, F.lit(0)).alias(name) for name in numbers],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
