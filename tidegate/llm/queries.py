@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import byte_bpe, chat, decontaminate, language, line_dedup, near_dups, neighbours, pitman_yor, quality, repair, token_files, warc
+from tidegate.llm import alignment, byte_bpe, chat, decontaminate, language, line_dedup, near_dups, neighbours, pitman_yor, quality, repair, token_files, warc
 from tidegate.llm.store import storage
 from tidegate.session import new_folder
 
@@ -192,3 +192,11 @@ def op13_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
         )
     )
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align(docs, *files, storage(docs, "alignment"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
