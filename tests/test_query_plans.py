@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from tidegate.workload import QUERIES
 
 TABLES = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="driver tables are absent")
@@ -30,9 +30,9 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(queries()) - WRITING))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITING))
 def test_plan_stays_native(spark, name):
-    plan = physical(queries()[name](spark, TABLES))
+    plan = physical(QUERIES[name](spark, TABLES))
     for forbidden in ("Python", "ArrowEval", "CartesianProduct", "BroadcastNestedLoopJoin", "Window", "MapInPandas"):
         assert forbidden not in plan, plan
 
@@ -40,18 +40,18 @@ def test_plan_stays_native(spark, name):
 @pytest.mark.parametrize("name", sorted(SHUFFLES))
 def test_number_of_shuffles(spark, name):
     """Broadcasts and the dealing out of an unsplittable test file are not counted."""
-    plan = physical(queries()[name](spark, TABLES))
+    plan = physical(QUERIES[name](spark, TABLES))
     found = re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", plan)
     assert len(found) == SHUFFLES[name], plan
 
 
 def test_grouped_work_is_done_map_side_first(spark):
     for name, partial in {"daily_sum": "partial_sum", "last_value_pivot": "partial_max_by", "audit_latest": "partial_max"}.items():
-        assert partial in physical(queries()[name](spark, TABLES))
+        assert partial in physical(QUERIES[name](spark, TABLES))
 
 
 def test_load_date_reaches_the_scan_and_only_needed_columns_are_read(spark):
-    plan = queries()["load_slice"](spark, TABLES)._jdf.queryExecution().executedPlan()
+    plan = QUERIES["load_slice"](spark, TABLES)._jdf.queryExecution().executedPlan()
     text = plan.toString()
     assert re.search(r"PushedFilters: \[IsNotNull\(l_shipdate\), GreaterThanOrEqual\(l_shipdate", text)
     assert "l_quantity" not in text and "l_partkey" not in text

@@ -22,6 +22,8 @@ SOURCE_FILE = "__source_file"
 SOURCE_ORDER = "__source_order"
 # Text of a record that could not be parsed, or of the values that do not fit their types.
 CORRUPT = "corrupt_record"
+# Names of the columns whose values do not fit the types a dataset declares.
+MISFITS = "misfit_columns"
 
 
 def resolve_name(df: DataFrame, name: str) -> str | None:
@@ -74,21 +76,38 @@ def pad_and_project(
     return df.select(*chosen)
 
 
-def settle_types(df: DataFrame, types: Mapping[str, str], corrupt: str = CORRUPT) -> DataFrame:
-    """Cast text columns to their types; values that do not fit become null and are kept as text in ``corrupt``.
+def settle_types(
+    df: DataFrame,
+    types: Mapping[str, str],
+    corrupt: str = CORRUPT,
+    casts: Mapping[str, str] | None = None,
+    misfits: str | None = None,
+) -> DataFrame:
+    """Give columns their types; values that do not fit become null and are kept as text in ``corrupt``.
 
-    A record that is corrupt as a whole keeps its own text.
+    ``types`` are those of text columns whose files hold typed values. ``casts`` are declared for
+    columns of any type, where blank text stands for no value; they go before ``types``. With
+    ``misfits`` the names of the columns that did not fit are kept there, for counting. A record
+    that is corrupt as a whole keeps its own text.
     """
-    loose = [name for name, kind in df.dtypes if kind == "string" and types.get(name, "string") != "string"]
-    if not loose:
-        return df
-    cast = {name: quoted((name,)).try_cast(types[name]) for name in loose}
-    odd = [F.when(quoted((name,)).isNotNull() & cast[name].isNull(), F.struct(F.lit(name).alias("key"), quoted((name,)).alias("value")))
-           for name in loose]
-    found = F.filter(F.array(*odd), lambda pair: pair.isNotNull())
-    text = F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found)))
+    declared = {name: kind for name, kind in (casts or {}).items() if name in df.columns}
+    kinds = {name: types[name] for name, kind in df.dtypes if kind == "string" and types.get(name, "string") != "string"}
+    kinds |= declared
     whole = [F.col(corrupt)] if corrupt in df.columns else []
-    return df.withColumns({corrupt: F.coalesce(*whole, text), **cast})
+    if not kinds:
+        return df if misfits is None else df.withColumn(misfits, F.lit(None).cast("array<string>"))
+    text = {name: quoted((name,)).cast("string") for name in kinds}
+    cast = {name: text[name].try_cast(kind) for name, kind in kinds.items()}
+
+    def wrong(name: str) -> Column:
+        held = text[name].isNotNull() & (F.trim(text[name]) != "") if name in declared else text[name].isNotNull()
+        return F.when(held & cast[name].isNull(), F.struct(F.lit(name).alias("key"), text[name].alias("value")))
+
+    found = F.array_compact(F.array(*map(wrong, kinds)))
+    kept = {corrupt: F.coalesce(*whole, F.when(F.size(found) > 0, F.to_json(F.map_from_entries(found))))}
+    if misfits is not None:
+        kept[misfits] = F.when(F.size(found) > 0, F.transform(found, lambda pair: pair["key"]))
+    return df.withColumns({**kept, **cast})
 
 
 def rename(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

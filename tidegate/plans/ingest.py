@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -40,6 +40,8 @@ class LoadResult:
     rejected: int
     quarantine_path: str
     corrupt: int = 0
+    #: Rows whose value does not fit the declared type, by source column.
+    misfits: Mapping[str, int] = field(default_factory=dict)
 
 
 def scan_schema(spec: DatasetSpec) -> str | StructType | None:
@@ -105,8 +107,9 @@ def shape_rows(
     """Raw rows to distinct staging rows with their check flag.
 
     ``file_name`` is one text for all rows; without it each row names its own file.
-    Rows of a corrupt record, and rows with values that do not fit their types, are
-    flagged and keep the text in ``corrupt_record``.
+    Rows of a corrupt record, and rows with values that do not fit the types of their
+    schema or declared casts, are flagged and keep the text in ``corrupt_record``; rows of a
+    dataset with casts name the columns in ``misfit_columns``.
     """
     working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER) if name in raw.columns]
     kept = [shape.CORRUPT] if shape.CORRUPT in raw.columns else []
@@ -121,9 +124,13 @@ def shape_rows(
     found = [name for name in spec.columns if name not in stamped and shape.resolve_name(raw, name) is not None]
     extra = ([spec.tenant_column] if spec.tenant_column else []) + working + kept
     rows = shape.pad_and_project(raw, found, extra)
-    if kept:
-        rows = shape.settle_types(rows, declared_types(raw.sparkSession, spec))
-    rows = shape.cast_declared(rows, spec.casts)
+    types = declared_types(raw.sparkSession, spec) if kept else {}
+    if spec.casts:
+        rows = shape.settle_types(rows, types, casts=spec.casts, misfits=shape.MISFITS)
+        kept = [shape.CORRUPT, shape.MISFITS]
+        rows = rows if shape.CORRUPT in rows.columns else rows.withColumn(shape.CORRUPT, F.lit(None).cast("string"))
+    elif kept:
+        rows = shape.settle_types(rows, types)
     rows = shape.rename(rows, {name: spec.renames.get(name, name) for name in (*found, *extra)})
     link = spec.renames.get(spec.tenant_column, spec.tenant_column)
     if link in rows.columns and spec.tenant_scope == "row":
@@ -215,7 +222,8 @@ def load_rows(
     quarantine = sink.quarantine_folder(output, job_id) if rejected else ""
     record(audit_log.COMPLETED, total=loaded + rejected, loaded=loaded, rejected=rejected, dq_path=quarantine)
     corrupt = sink.count_corrupt(spark, quarantine) if rejected and shape.CORRUPT in rows.columns else 0
-    return LoadResult(job_id, folder, loaded + rejected, loaded, rejected, quarantine, corrupt)
+    misfits = sink.count_misfits(spark, quarantine) if rejected and shape.MISFITS in rows.columns else {}
+    return LoadResult(job_id, folder, loaded + rejected, loaded, rejected, quarantine, corrupt, misfits)
 
 
 def new_job_id(name: str, moment: datetime | None = None) -> str:

@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from tidegate.operators.shape import CORRUPT, IMPORT_KEYS, date_parts
+from tidegate.operators.shape import CORRUPT, IMPORT_KEYS, MISFITS, date_parts
 
 LOADED, QUARANTINED = "loaded", "quarantined"
 LOAD = "load"
@@ -108,7 +108,7 @@ def read_loads(
         reader = reader.schema(f"{fields}, load_status string")
     rows = reader.parquet(root if load_id is None else load_folder(root, load_id))
     rows = rows.where(F.col("load_status") == status).drop("load", "load_status")
-    return rows.drop(CORRUPT) if status == LOADED else rows
+    return rows.drop(CORRUPT, MISFITS) if status == LOADED else rows
 
 
 def count_corrupt(spark: SparkSession, folder: str) -> int:
@@ -116,6 +116,15 @@ def count_corrupt(spark: SparkSession, folder: str) -> int:
     return spark.read.schema(f"{CORRUPT} string").parquet(folder).where(F.col(CORRUPT).isNotNull()).count()
 
 
+def count_misfits(spark: SparkSession, folder: str) -> dict[str, int]:
+    """Quarantined rows by the column whose value does not fit; only that list of names is read.
+
+    They are counted in what was written and not while it was, so a task that ran twice counts once.
+    """
+    names = spark.read.schema(f"{MISFITS} array<string>").parquet(folder).select(F.explode(MISFITS).alias("name"))
+    return {row["name"]: row["count"] for row in names.groupBy("name").count().collect()}
+
+
 def count_load(spark: SparkSession, folder: str) -> dict[str, int]:
     """Rows per status of a written load, from the file footers."""
     rows = spark.read.schema("load_status string").parquet(folder).groupBy("load_status").count().collect()

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions import iso_date
 from tidegate.operators import quality
@@ -16,7 +17,7 @@ from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
 from tidegate.sources.partitions import list_folders_after, rows_after
 from tidegate.spec import RuleSpec
-from tidegate.specs import SET_A
+from tidegate.specs import SET_A, SET_B
 from tidegate.workload import documents as docs
 from tidegate.workload.registry import Tables, query
 from tidegate.workload.rows import CUSTOMERS, _customers
@@ -185,6 +186,93 @@ def ingest_corrupt(t: Tables) -> DataFrame:
     ).select(*counts, "broken", "misfits")
 
 
+# Datasets of set B with declared casts: a value in so many of each cast column fits no type of it, one is blank.
+MISFIT_EVERY = {
+    "accounts": {"results_currentBalance": 7},
+    "balance_sheet": {
+        "reportItems_balance": 7, "reportItems_date": 11, "reportInfo_generatedDate": 13, "reportItems_accountCategory_levels_confidence": 17,
+    },
+    "p_and_l": {
+        "reportItems_balance": 5, "reportItems_date": 13, "reportInfo_generatedDate": 11, "reportItems_accountCategory_levels_confidence": 7,
+    },
+    "codat_bills": {"results_totalAmount": 7, "results_amountDue": 11, "results_issueDate": 13, "results_dueDate": 17},
+    "codat_billPayments": {"results_totalAmount": 5, "results_currencyRate": 7, "results_date": 11},
+}
+_CAST_TEXTS = {
+    "double": ("'n/a'", "concat(CAST(o_custkey AS VARCHAR(20)), '.5')"),
+    "date": ("'31/31/2024'", "CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10))"),
+    "integer": ("'1.5x'", "CAST(o_custkey % 100 AS VARCHAR(20))"),
+}
+
+
+def _cast_documents(t: Tables, name: str) -> DataFrame:
+    """A document for each order with its dataset's cast columns as text."""
+    def text(column: str) -> Column:
+        every, (bad, good) = MISFIT_EVERY[name][column], _CAST_TEXTS[SET_B[name].casts[column]]
+        return F.expr(f"CASE o_orderkey % {every} WHEN 0 THEN {bad} WHEN 1 THEN '' ELSE {good} END")
+
+    key = F.col("o_orderkey").cast("string")
+    if name in ("balance_sheet", "p_and_l"):
+        level = F.struct(text("reportItems_accountCategory_levels_confidence").alias("confidence"), F.lit("Asset").alias("levelName"))
+        item = F.struct(
+            key.alias("accountId"), text("reportItems_balance").alias("balance"), text("reportItems_date").alias("date"),
+            F.struct(key.alias("id"), F.array(level).alias("levels")).alias("accountCategory"),
+        )
+        info = F.struct(text("reportInfo_generatedDate").alias("generatedDate"))
+        return t.orders.select(info.alias("reportInfo"), F.array(item).alias("reportItems"))
+    values = [text(column).alias(column.removeprefix("results_")) for column in MISFIT_EVERY[name]]
+    return t.orders.select(F.array(F.struct(key.alias("id"), *values)).alias("results"))
+
+
+def _misfit_sql(name: str) -> str:
+    every = MISFIT_EVERY[name]
+    wrong = " OR ".join(f"o_orderkey % {n} = 0" for n in every.values())
+    return " UNION ALL ".join(f"""
+        SELECT '{name}' AS dataset, '{column}' AS column_name, count(*) FILTER (o_orderkey % {n} = 0) AS misfits,
+               count(*) FILTER (o_orderkey % {n} = 1 AND NOT ({wrong})) AS loaded_nulls,
+               count(*) FILTER (NOT ({wrong})) AS loaded, count(*) FILTER ({wrong}) AS rejected
+        FROM orders
+    """ for column, n in every.items())
+
+
+@query("ingest_cast_misfits", " UNION ALL ".join(map(_misfit_sql, MISFIT_EVERY)))
+def ingest_cast_misfits(t: Tables) -> DataFrame:
+    """Loads of the datasets that declare casts: misfits by column, and loaded rows without a value, which are the blank ones."""
+    found = []
+    for name, columns in MISFIT_EVERY.items():
+        folder, root = new_folder(t.spark, name), new_folder(t.spark, "staging")
+        docs.as_json(_cast_documents(t, name)).write.text(folder)
+        spec = SET_B[name].repaired()
+        result = plans.ingest(t.spark, spec, folder, "job_1", root, load_date=LOAD_DATE)
+        found.append(sink.read_loads(t.spark, root).select(F.inline(F.array(*[
+            F.struct(F.lit(column).alias("column_name"), F.col(spec.renames[column]).isNull().alias("empty")) for column in columns
+        ]))).groupBy("column_name").agg(F.count_if("empty").alias("loaded_nulls")).select(
+            F.lit(name).alias("dataset"), "column_name",
+            F.element_at(F.create_map(*[F.lit(x) for column in columns for x in (column, result.misfits.get(column, 0))]), F.col("column_name"))
+            .cast("long").alias("misfits"),
+            "loaded_nulls", F.lit(result.loaded).cast("long").alias("loaded"), F.lit(result.rejected).cast("long").alias("rejected"),
+        ))
+    return reduce(DataFrame.unionByName, found)
+
+
+@query("cast_misfit_texts", """
+    SELECT CAST(o_orderkey AS VARCHAR) AS bill_id,
+           CASE WHEN o_orderkey % 7 = 0 THEN 'n/a' END AS total_amt, CASE WHEN o_orderkey % 11 = 0 THEN 'n/a' END AS due_amt,
+           CASE WHEN o_orderkey % 13 = 0 THEN '31/31/2024' END AS bills_issue_dt,
+           CASE WHEN o_orderkey % 17 = 0 THEN '31/31/2024' END AS bills_due_dt
+    FROM orders WHERE o_orderkey % 7 = 0 OR o_orderkey % 11 = 0 OR o_orderkey % 13 = 0 OR o_orderkey % 17 = 0
+""")
+def cast_misfit_texts(t: Tables) -> DataFrame:
+    """Quarantined bills with the text of every value that does not fit."""
+    folder, root = new_folder(t.spark, "bills"), new_folder(t.spark, "staging")
+    docs.as_json(_cast_documents(t, "codat_bills")).write.text(folder)
+    spec = SET_B["codat_bills"]
+    plans.ingest(t.spark, spec, folder, "job_1", root, load_date=LOAD_DATE)
+    texts = F.from_json(CORRUPT, "map<string, string>")
+    return sink.read_loads(t.spark, root, sink.QUARANTINED).select(
+        "bill_id", *[texts[column].alias(spec.renames[column]) for column in MISFIT_EVERY["codat_bills"]]
+    )
+
 @query("ingest_plan", f"SELECT *, invoice_no IS NULL AS null_check_result FROM ({INVOICES})")
 def ingest_plan(t: Tables) -> DataFrame:
     """The load's plan over documents held as text, without its write."""
