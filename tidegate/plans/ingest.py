@@ -22,6 +22,7 @@ from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
 from tidegate.sources.files import Paths, list_files, literal_path, read_delimited, read_json, read_json_multiline, with_source
+from tidegate.sources.layouts import read_layouts
 from tidegate.sources.routing import ROUTES, add_route, key_below, route_token, spec_name
 from tidegate.sources.rules import read_rules, rules_from_frame
 from tidegate.spec import LINEAGE, DatasetSpec, RuleSpec
@@ -90,8 +91,13 @@ def declared_types(spark: SparkSession, spec: DatasetSpec) -> dict[str, str]:
 def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) -> DataFrame:
     """The spec's files as they are, with their file name (and row order where the tenant needs it).
 
-    With an input schema nothing a file holds is lost in parsing: see :func:`file_schema`.
+    With an input schema nothing a file holds is lost in parsing: see :func:`file_schema`. Delimited
+    files without one are read each by its own header and matched by name.
     """
+    if spec.format == "delimited" and spec.input_schema is None:
+        return read_layouts(
+            spark, path, wanted=spec.wanted, missing_value=spec.missing_value, ordered=spec.tenant_scope == "file", **options
+        )
     readers = {"delimited": read_delimited, "json": read_json, "json_multiline": read_json_multiline}
     raw = readers[spec.format](spark, path, file_schema(spec), **file_options(spec), **options)
     return with_source(raw, ordered=spec.tenant_scope == "file")

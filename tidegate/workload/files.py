@@ -9,12 +9,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.functions import iso_date
 from tidegate.operators import quality
-from tidegate.operators.shape import CORRUPT
+from tidegate.operators.shape import CORRUPT, SOURCE_FILE
 from tidegate.plans import ingest as plans
 from tidegate.session import new_folder
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import read_csv, read_delimited
+from tidegate.sources.layouts import file_headers, read_layouts
 from tidegate.sources.partitions import list_folders_after, rows_after
 from tidegate.spec import RuleSpec
 from tidegate.specs import SET_A, SET_B
@@ -351,6 +352,55 @@ def ingest_delimited_whole(t: Tables) -> DataFrame:
     return sink.read_loads(t.spark, root).drop(CORRUPT)
 
 
+# Three layouts of payment files: all columns; fewer, in another order and case; one that no dataset knows besides.
+DRIFT_LAYOUTS = (
+    tuple(PAYMENT_COLUMNS),
+    ("paymentamount", "OrgIdentifier", "PaymentDate", "PaymentIdentifier", "ClaimIdentifier"),
+    ("Region", "ClaimIdentifier", "PaymentIdentifier", "PayeeName", "OrgIdentifier", "CheckNumber"),
+)
+
+
+def _drift_value(column: str) -> str:
+    """A target column where each row is of the layout that its order's number says; '' where its file has no such column."""
+    has = [n for n, names in enumerate(DRIFT_LAYOUTS) if column.lower() in {name.lower() for name in names}]
+    return f"CASE WHEN l_orderkey % 3 IN ({', '.join(map(str, has))}) THEN CAST({PAYMENT_COLUMNS[column]} AS VARCHAR) ELSE '' END"
+
+
+def _write_drifting(t: Tables) -> str:
+    folder = new_folder(t.spark, "payments")
+    values = {name.lower(): value for name, value in PAYMENT_COLUMNS.items()} | {"region": "'north'"}
+    for n, names in enumerate(DRIFT_LAYOUTS):
+        own = t.lineitem.where(F.col("l_orderkey") % 3 == n)
+        sink.write_csv(own.select(*[F.expr(values[name.lower()]).alias(name) for name in names]), f"{folder}/layout_{n}", sep="|")
+    return f"{folder}/*"
+
+
+@query("delimited_header_drift", f"""
+    SELECT DISTINCT {", ".join(f"{_drift_value(c)} AS {_PAYMENTS.renames[c]}" for c in PAYMENT_COLUMNS)},
+           'job_1' AS job_id, '2024-09-15' AS file_load_dt
+    FROM lineitem WHERE l_returnflag <> 'R'
+""")
+def delimited_header_drift(t: Tables) -> DataFrame:
+    """One load of payment files with three different headers."""
+    root = new_folder(t.spark, "staging")
+    plans.ingest(t.spark, _PAYMENTS, _write_drifting(t), "job_1", root, load_date=LOAD_DATE)
+    return sink.read_loads(t.spark, root)
+
+
+@query("delimited_layouts", """
+    SELECT 5 AS columns, count(*) AS n, count(*) FILTER (l_returnflag = 'R') AS without_org FROM lineitem WHERE l_orderkey % 3 = 1
+    UNION ALL SELECT 6, count(*), count(*) FILTER (l_returnflag = 'R') FROM lineitem WHERE l_orderkey % 3 = 2
+    UNION ALL SELECT 23, count(*), count(*) FILTER (l_returnflag = 'R') FROM lineitem WHERE l_orderkey % 3 = 0
+""")
+def delimited_layouts(t: Tables) -> DataFrame:
+    """Rows of the same files by the number of columns in their headers."""
+    path = _write_drifting(t)
+    headers = file_headers(t.spark, path).select(F.col("file").alias("of_file"), F.size(F.split("header", "[|]")).alias("columns"))
+    rows = read_layouts(t.spark, path, wanted=["OrgIdentifier"])
+    return rows.join(headers, F.col("of_file") == F.col(SOURCE_FILE)).groupBy("columns").agg(
+        F.count("*").alias("n"), F.count_if(F.col("OrgIdentifier").isNull()).alias("without_org"),
+    )
+
 @query("export_flat_csv", """
     SELECT c_custkey AS results_customer_key, c_name AS results_customer_name, c_acctbal AS results_balance FROM customer
 """)
