@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructFi
 
 from tidegate.operators import quality, shape
 from tidegate.operators.flatten import flatten, prune_schema
-from tidegate.session import sized_shuffles
+from tidegate.session import leave_mark, path_exists, sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
@@ -268,21 +268,45 @@ def run_folder(
     result of that name, so none is left out unseen. Only paths are read for
     routing; the driver holds them, as it does for every file scan.
     """
-    files = add_route(list_files(spark, folder).withColumn("key", key_below(folder, F.col("path"))), "key")
+    files = list_files(spark, folder)
+    return load_routed(spark, files, folder, job_id, output, specs, **options)
+
+
+def load_routed(
+    spark: SparkSession,
+    files: DataFrame,
+    folder: str,
+    job_id: str,
+    output: str,
+    specs: Mapping[str, DatasetSpec] = SET_A,
+    marks: str | None = None,
+    **options,
+) -> dict[str, LoadResult]:
+    """Load listed files (column ``path``) below a folder, each dataset in one plan over its own.
+
+    With ``marks``, a folder of this job alone, every dataset that is done leaves a mark there, and
+    one that has its mark is left out: a job that broke off between datasets goes on with the next.
+    """
+    routed = add_route(files.withColumn("key", key_below(folder, F.col("path"))), "key")
     found: dict[str | None, list[str]] = {}
-    for row in files.select("path", "spec").toLocalIterator():
+    for row in routed.select("path", "spec").toLocalIterator():
         found.setdefault(row["spec"], []).append(row["path"])
     results = {}
-    for _, name in ROUTES:
-        if name in found:
+    for name in [*(name for _, name in ROUTES), None]:
+        mark = f"{marks}/{name or UNROUTED}"
+        if name not in found or marks and path_exists(spark, mark):
+            continue
+        paths = sorted(found[name])
+        if name is None:
+            place = sink.load_folder(f"{output}/{UNROUTED}", job_id)
+            spark.createDataFrame([(path,) for path in paths], "path string").write.mode("overwrite").parquet(place)
+            results[UNROUTED] = LoadResult(job_id, place, len(paths), 0, len(paths), place)
+        else:
             results[name] = ingest(
-                spark, specs[name].repaired(), [literal_path(path) for path in sorted(found[name])], job_id,
-                f"{output}/{name}", source_path=folder, **options,
+                spark, specs[name].repaired(), list(map(literal_path, paths)), job_id, f"{output}/{name}", source_path=folder, **options,
             )
-    if None in found:
-        place = sink.load_folder(f"{output}/{UNROUTED}", job_id)
-        spark.createDataFrame([(path,) for path in sorted(found[None])], "path string").write.mode("overwrite").parquet(place)
-        results[UNROUTED] = LoadResult(job_id, place, len(found[None]), 0, len(found[None]), place)
+        if marks:
+            leave_mark(spark, mark)
     return results
 
 

@@ -120,3 +120,9 @@ def path_matches(spark: SparkSession, pattern: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
     found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
     return found is not None and len(found) > 0
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that is not there is no error."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)

@@ -3,19 +3,27 @@
 The checkpoint remembers which files were taken; a batch that is repeated after a
 failure has the same id, and its load replaces its own folder. Together that
 gives each file's rows once.
+
+``start_ingest`` streams the files of one dataset. ``start_routed`` watches a folder at any depth
+for files of all datasets, of any format: the stream carries only their paths, and each batch is
+routed and loaded dataset by dataset.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.operators.shape import SOURCE_FILE
-from tidegate.plans.ingest import file_options, file_schema, load_rows, shape_rows
+from tidegate.plans.ingest import file_options, file_schema, load_routed, load_rows, shape_rows
+from tidegate.session import remove_folder
 from tidegate.sources.database import Database
 from tidegate.sources.files import with_source
 from tidegate.sources.routing import routed_to, token_glob
 from tidegate.spec import DatasetSpec, SpecError
+from tidegate.specs import SET_A
 
 
 def read_stream(
@@ -81,3 +89,49 @@ def start_ingest(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def watch_folder(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
+    """Paths of new files at any depth below a folder; what they hold is not read."""
+    reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.schema("path string, modificationTime timestamp, length bigint, content binary").load(folder).select("path")
+
+
+def start_routed(
+    spark: SparkSession,
+    folder: str,
+    output: str,
+    checkpoint: str,
+    *,
+    specs: Mapping[str, DatasetSpec] = SET_A,
+    job_prefix: str = "stream",
+    files_per_batch: int | None = None,
+    trigger: dict | None = None,
+    **options,
+) -> StreamingQuery:
+    """One stream into many datasets: new files are routed by their paths and loaded under ``<prefix>_<batch>``.
+
+    Datasets are loaded one after another, and each leaves a mark beside the checkpoint. A batch
+    that broke off is repeated by Spark over the same files: datasets with a mark are left out, the
+    one that broke off replaces its own load, the others follow. Marks of earlier batches, which
+    are never repeated, are removed. Files of no dataset are listed below ``unrouted``.
+    ``options`` are those of :func:`tidegate.plans.ingest.ingest`.
+    """
+    for spec in specs.values():
+        spec.repaired().validate()
+    marks = f"{checkpoint.rstrip('/')}/routed"
+
+    def load(batch: DataFrame, batch_id: int) -> None:
+        load_routed(
+            batch.sparkSession, batch, folder, f"{job_prefix}_{batch_id}", output, specs, marks=f"{marks}/{batch_id}", **options,
+        )
+        remove_folder(batch.sparkSession, f"{marks}/{batch_id - 1}")
+
+    return (
+        watch_folder(spark, folder, files_per_batch).writeStream.foreachBatch(load)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )

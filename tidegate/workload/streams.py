@@ -10,9 +10,10 @@ from tidegate.session import new_folder
 from tidegate.sinks import files as sink
 from tidegate.specs import SET_A
 from tidegate.streaming.dedup import drop_stream_duplicates
-from tidegate.streaming.ingest import read_stream, start_ingest
+from tidegate.streaming.ingest import read_stream, start_ingest, start_routed
 from tidegate.operators.shape import CORRUPT
-from tidegate.workload.files import INVOICES, LOAD_DATE, _write_invoices
+from tidegate.workload import documents as docs
+from tidegate.workload.files import INVOICES, LOAD_DATE, _write_invoices, payment_rows
 from tidegate.workload.registry import Tables, query
 
 
@@ -43,6 +44,43 @@ def stream_ingest_whole(t: Tables) -> DataFrame:
     })
 
 
+@query("stream_routed", """
+    SELECT 'invoice' AS dataset, CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderstatus = 'P' THEN 'quarantined' ELSE 'loaded' END AS status,
+           CAST(o_totalprice AS DOUBLE) AS amount
+    FROM orders
+    UNION ALL
+    SELECT DISTINCT 'trizetto_payments', concat(CAST(l_orderkey AS VARCHAR), '/', CAST(l_linenumber AS VARCHAR)),
+           CASE WHEN l_returnflag = 'R' THEN 'quarantined' ELSE 'loaded' END, CAST(l_extendedprice AS DOUBLE)
+    FROM lineitem
+    UNION ALL
+    SELECT 'unrouted', CAST(n AS VARCHAR), 'listed', CAST(NULL AS DOUBLE) FROM range(1, 3) AS r(n)
+""")
+def stream_routed(t: Tables) -> DataFrame:
+    """JSON and pipe files of two datasets at several depths, and files of none, through one stream in batches of a few files."""
+    folder, root, checkpoint = (new_folder(t.spark, label) for label in ("landing", "staging", "checkpoint"))
+    texts = docs.as_json(docs.invoice_documents(t)).withColumn("lot", F.abs(F.xxhash64("value")) % 2)
+    for lot, place in enumerate(("Invoices_1.json", "2024/09/invoices_2")):
+        texts.where(F.col("lot") == lot).select("value").write.text(f"{folder}/{place}")
+    sink.write_csv(payment_rows(t), f"{folder}/2024/TPSPayments_1", sep="|")
+    for place in ("notes", "2024/other"):
+        t.nation.select("n_name").coalesce(1).write.text(f"{folder}/{place}")
+    start_routed(t.spark, folder, root, checkpoint, files_per_batch=8, load_date=LOAD_DATE).awaitTermination()
+    states = t.spark.read.schema("invoice_id string, total_amt double, load_status string").parquet(f"{root}/invoice")
+    paid = t.spark.read.schema("pay_id string, claim_id string, pay_amt string, load_status string").parquet(f"{root}/trizetto_payments")
+    listed = t.spark.read.schema("path string").parquet(f"{root}/unrouted")
+    return (
+        states.select(F.lit("invoice").alias("dataset"), F.col("invoice_id").alias("id"), F.col("load_status").alias("status"), F.col("total_amt").alias("amount"))
+        .unionByName(paid.select(
+            F.lit("trizetto_payments").alias("dataset"), F.concat_ws("/", "pay_id", "claim_id").alias("id"),
+            F.col("load_status").alias("status"), F.col("pay_amt").cast("double").alias("amount"),
+        ))
+        .unionByName(listed.select(
+            F.lit("unrouted").alias("dataset"), F.when(F.col("path").contains("/2024/other/"), "2").otherwise("1").alias("id"),
+            F.lit("listed").alias("status"), F.lit(None).cast("double").alias("amount"),
+        ))
+    )
+
+
 @query("stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")
 def stream_dedup(t: Tables) -> DataFrame:
     output, checkpoint = new_folder(t.spark, "distinct"), new_folder(t.spark, "checkpoint")
