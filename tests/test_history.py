@@ -119,7 +119,7 @@ def test_load_equals_merge_and_is_idempotent(spark, before, day, partition):
     assert tuples(read_history(spark, path).select(*columns)) == merged
 
 
-@pytest.mark.parametrize("step", ["changes", "parts", "table"])
+@pytest.mark.parametrize("step", ["changes", "parts", "next"])
 def test_cut_off_load_is_finished_by_the_next_run(spark, before, day, step, monkeypatch):
     """The run stops after a step; the same run again gives the whole table."""
     from tidegate.plans import history_load as plan
@@ -133,7 +133,7 @@ def test_cut_off_load_is_finished_by_the_next_run(spark, before, day, step, monk
     spec = HistorySpec(KEYS, VALUE, partition_column="k")
     path, export = new_folder(spark, "history"), new_folder(spark, "export")
     create_history(before, path, spec)
-    following = {"changes": "write_parts", "parts": "overwrite_partitions", "table": "leave_mark"}[step]
+    following = {"changes": "write_parts", "parts": "switch_parts", "next": "rename_folder"}[step]
     with monkeypatch.context() as patched:
         patched.setattr(plan, following, stop)
         with pytest.raises(Stop):
@@ -174,15 +174,91 @@ def test_empty_stage_leaves_the_history_unchanged(spark, before):
     assert read_history(spark, path).count() == before.count()
 
 
+def parts_of(spark, path):
+    from tidegate.plans.history_load import parts_number, read_parts
+
+    return {(row.part, row.load) for row in read_parts(spark, path, parts_number(spark, path)).where("part is not null").collect()}
+
+
 def test_untouched_parts_keep_their_files(spark, before):
     import glob
 
     spec = HistorySpec(KEYS, VALUE, partition_column="k")
     path = new_folder(spark, "history")
     create_history(before, path, spec)
-    files = set(glob.glob(f"{path}/flag_del=N/part=at-gone/*.parquet")) | set(glob.glob(f"{path}/flag_del=Y/part=initial/*"))
+    files, parts = set(glob.glob(f"{path}/load=initial/*/*/*.parquet")), parts_of(spark, path)
     load_history(spark, stage(spark, ("moved", None, 7.0)), path, spec, DAY, "job_1", new_folder(spark, "export"))
-    assert files <= set(glob.glob(f"{path}/flag_del=*/part=*/*.parquet")) and files
+    assert files == set(glob.glob(f"{path}/load=initial/*/*/*.parquet")) and files
+    assert parts_of(spark, path) == {(p, load) for p, load in parts if p != "at-moved"} | {("at-moved", "job_1")}
+
+
+def test_a_load_reads_the_parts_its_stage_names_only(spark, before):
+    """Every other part, and the archive, are gone from the disk while it runs."""
+    import glob
+    import shutil
+
+    from tidegate.plans.history_load import read_current
+
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path = new_folder(spark, "history")
+    create_history(before, path, spec)
+    for folder in glob.glob(f"{path}/load=initial/*/*"):
+        if not folder.endswith("part=at-moved"):
+            shutil.rmtree(folder)
+    result = load_history(spark, stage(spark, ("moved", None, 7.0), ("fresh", "x", 1.0)), path, spec, DAY, "job_1", new_folder(spark, "export"))
+    assert result.new + result.updated == 2
+    only = spark.createDataFrame([("at-moved",), ("at-fresh",), ("at-absent",)], "part string")
+    assert {row.k for row in read_current(spark, path, only).collect()} == {"moved", "fresh"}
+
+
+def test_a_load_that_was_applied_before_the_run_ended_is_not_applied_again(spark, before, monkeypatch):
+    from tidegate.plans import history_load as plan
+
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    create_history(before, path, spec)
+    with monkeypatch.context() as patched:
+        patched.setattr(plan, "HistoryResult", None)  # the driver ends right after the switch
+        with pytest.raises(TypeError):
+            load_history(spark, stage(spark, ("same", "x", 5.0)), path, spec, "2024-09-15", "d1", export)
+    load_history(spark, stage(spark, ("same", "x", 6.0)), path, spec, "2024-09-16", "d2", export)
+    load_history(spark, stage(spark, ("same", "x", 5.0)), path, spec, "2024-09-15", "d1", export)
+    assert [row.v for row in read_history(spark, path).where("flag_del = 'N' AND k = 'same'").collect()] == [6.0]
+
+
+def test_replaced_parts_are_removed_on_request(spark):
+    import os
+
+    from tidegate.plans.history_load import remove_replaced
+
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    assert remove_replaced(spark, path) == 0
+    create_history(table(spark, ("a/b c", "x", 1.0, "N", "9999-12-31"), ("z", "x", 1.0, "N", "9999-12-31")), path, spec)
+    for number, amount in enumerate([2.0, 3.0, 4.0]):
+        load_history(spark, stage(spark, ("a/b c", "x", amount)), path, spec, f"2024-09-0{number + 1}", f"day_{number}", export)
+    whole = tuples(read_history(spark, path))
+    assert remove_replaced(spark, path) == 2 and remove_replaced(spark, path) == 0
+    assert tuples(read_history(spark, path)) == whole and len(whole) == 5
+    assert sorted(os.listdir(f"{path}/_parts")) == ["2", "3"]
+
+
+@pytest.mark.parametrize("name", ["", " ", "a/b", "x=1", "50%", "{a}[b]*?", "ü", "2024-01-01", "__HIVE_DEFAULT_PARTITION__", "none", None])
+def test_parts_of_any_name(spark, name):
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path, export = new_folder(spark, "history"), new_folder(spark, "export")
+    create_history(table(spark, (name, "x", 1.0, "N", "9999-12-31"), ("other", "x", 1.0, "N", "9999-12-31")), path, spec)
+    load_history(spark, stage(spark, (name, "x", 2.0)), path, spec, DAY, "j", export)
+    assert tuples(read_history(spark, path).where("k IS NULL OR k <> 'other'").select("k", "v", "flag_del")) == sorted(
+        [(name, 1.0, "Y"), (name, 2.0, "N")], key=str)
+
+
+def test_a_history_is_made_once(spark, before):
+    spec = HistorySpec(KEYS, VALUE, partition_column="k")
+    path = new_folder(spark, "history")
+    create_history(before, path, spec)
+    with pytest.raises(ValueError, match="already"):
+        create_history(before, path, spec)
 
 
 def test_several_days(spark):

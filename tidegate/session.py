@@ -126,3 +126,18 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds; one that is not there is no error."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none where there is no such folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(hadoop_path)] if system.exists(hadoop_path) else []
+
+
+def rename_folder(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name that no other has."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(path) for path in (source, target))
+    system = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(new) or not system.rename(old, new):
+        raise RuntimeError(f"{source} could not be renamed to {target}")
