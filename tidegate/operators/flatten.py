@@ -86,6 +86,34 @@ def explode_column(df: DataFrame, name: str) -> DataFrame:
     )
 
 
+# The tag of a document that has no element in any of its arrays.
+DOCUMENT = "document"
+
+
+def explode_tagged(df: DataFrame, names: Sequence[str], tag: str) -> DataFrame:
+    """One row per element of any of the arrays, tagged with its array's name: their sum instead of their product.
+
+    Each array becomes a column of its elements, null in the rows of the others. The elements go
+    through one generator. A document without any element keeps its row, tagged ``document``.
+    """
+    if tag in df.columns:
+        raise SpecError(f"a tagged explode gives a column {tag!r}, which the documents have")
+    kinds = {name: df.schema[name].dataType.elementType for name in names}
+
+    def tagged(label: str, own: str | None = None, element: Column | None = None) -> Column:
+        values = (element if name == own else F.lit(None).cast(kind) for name, kind in kinds.items())
+        return F.struct(F.lit(label).alias(tag), *[value.alias(name) for name, value in zip(kinds, values)])
+
+    def listed(name: str) -> Column:
+        none = F.filter(F.array(tagged(name)), lambda x: F.lit(False))
+        return F.coalesce(F.transform(quoted((name,)), lambda x: tagged(name, name, x)), none)
+
+    elements = F.concat(*map(listed, names))
+    others = [quoted((name,)) for name in df.columns if name not in kinds]
+    rows = df.select(*others, F.explode(F.when(F.size(elements) > 0, elements).otherwise(F.array(tagged(DOCUMENT)))).alias("__element"))
+    return rows.select(*others, *[quoted(("__element", name)).alias(name) for name in (tag, *names)])
+
+
 def _keeper(wanted: frozenset[str] | None, naming: str) -> Callable[[str, DataType], bool]:
     if wanted is None or naming != "path":
         return lambda name, kind: True
@@ -121,15 +149,20 @@ def flatten(
     on_collision: str = "error",
     wanted: Iterable[str] | None = None,
     always: bool = True,
+    separate: str | None = None,
 ) -> DataFrame:
     """Explode arrays and expand structs until only scalars and maps are left.
 
-    Sibling arrays multiply within their own document. ``wanted`` drops columns
+    Sibling arrays multiply within their own document. With ``separate``, the name of a column,
+    those of the first level that has several give a row per element instead, and the column says
+    of which array; arrays below are exploded within it. ``wanted`` drops columns
     that no caller needs before they are exploded: arrays that only repeat the
     other columns' rows then cost nothing. It changes how often a row is
     repeated, so it belongs in front of a duplicate drop. With ``always=False`` a
     document without a top-level array is returned as it is.
     """
+    if separate is not None and wanted is not None:
+        wanted = frozenset(wanted) | {separate}
     keep = _keeper(frozenset(wanted) if wanted is not None else None, naming)
     if not always and not array_columns(df):
         return df
@@ -137,13 +170,29 @@ def flatten(
         top_level = {path[0] for path, kind in leaf_paths(df.schema) if keep(NAMING[naming](path), kind)}
         df = df.select(*[quoted((name,)) for name in df.columns if name in top_level])
     while True:
-        for name in array_columns(df):
-            df = explode_column(df, name)
+        names = array_columns(df)
+        if separate is not None and len(names) > 1:
+            df, separate = explode_tagged(df, names, separate), None
+        else:
+            for name in names:
+                df = explode_column(df, name)
         df = flatten_structs(df, naming, on_collision, keep)
         if not array_columns(df):
             return df
 
 
+def sibling_arrays(df: DataFrame, wanted: Iterable[str]) -> list[str]:
+    """The arrays that ``flatten(separate=...)`` tells apart: those of the first level that has several."""
+    keep = _keeper(frozenset(wanted), "path")
+    top_level = {path[0] for path, kind in leaf_paths(df.schema) if keep("_".join(path), kind)}
+    df = df.select(*[quoted((name,)) for name in df.columns if name in top_level])
+    while True:
+        names = array_columns(df)
+        if len(names) != 1:
+            return names
+        df = flatten_structs(explode_column(df, names[0]), "path", "error", keep)
+
+
 def flatten_separately(df: DataFrame, keys: Sequence[str], on_collision: str = "error") -> dict[str, DataFrame]:
     """Sibling arrays as tables of their own instead of their product.
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, functions as F
@@ -35,6 +35,21 @@ def flag_missing(df: DataFrame, columns: Sequence[str], flag: str = FLAG, blank_
     return df.withColumn(flag, any_missing(columns, blank_is_null))
 
 
+def flag_missing_by(
+    df: DataFrame, columns: Sequence[str], owners: Mapping[str, str], child: str, document: str, flag: str = FLAG
+) -> DataFrame:
+    """Flag rows with a missing column, where a column that has an owner counts in the owner's rows only
+    (and in those of documents without any element). Without owners this is :func:`flag_missing`."""
+    groups: dict[str | None, list[str]] = {}
+    for name in columns:
+        groups.setdefault(owners.get(name), []).append(name)
+    missing = F.lit(False)
+    for owner, names in groups.items():
+        own = any_missing(names)
+        missing = missing | (own if owner is None else own & F.col(child).isin(owner, document))
+    return df.withColumn(flag, missing)
+
+
 def split_rows(df: DataFrame, flag: str = FLAG) -> tuple[DataFrame, DataFrame]:
     """Rows to load and rows to quarantine. The flag is never null, so no row is lost."""
     return df.where(~F.col(flag)).drop(flag), df.where(F.col(flag)).drop(flag)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tidegate.operators import quality, shape
-from tidegate.operators.flatten import flatten, prune_schema
+from tidegate.operators.flatten import DOCUMENT, flatten, prune_schema, sibling_arrays
 from tidegate.session import leave_mark, path_exists, sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
@@ -121,14 +121,16 @@ def shape_rows(
     kept = [shape.CORRUPT] if shape.CORRUPT in raw.columns else []
     documents = raw
     if spec.format != "delimited":
-        raw = flatten(documents, wanted=spec.wanted | {*working, *kept})
+        separate = sink.CHILD if spec.arrays == "separate" else None
+        raw = flatten(documents, wanted=spec.wanted | {*working, *kept}, separate=separate)
     # Lineage and padding are equal for all rows: they come after the duplicate drop, out of its shuffle.
     stamped = [name for name in spec.columns if name in LINEAGE]
     if file_name is None and "file_name" in stamped:
         raw = raw.withColumn("file_name", F.col(shape.SOURCE_FILE))
         stamped.remove("file_name")
     found = [name for name in spec.columns if name not in stamped and shape.resolve_name(raw, name) is not None]
-    extra = ([spec.tenant_column] if spec.tenant_column else []) + working + kept
+    child = [sink.CHILD] if spec.arrays == "separate" and sink.CHILD in raw.columns else []
+    extra = ([spec.tenant_column] if spec.tenant_column else []) + working + kept + child
     rows = shape.pad_and_project(raw, found, extra)
     types = declared_types(raw.sparkSession, spec) if kept else {}
     if spec.casts:
@@ -152,7 +154,9 @@ def shape_rows(
     rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped).transform(shape.rename, stamps)
     rows = shape.pad_and_project(rows, spec.targets, tenant, spec.missing_value)
     absent = {spec.renames.get(name, name): kind for name, kind in spec.casts.items() if name not in found}
-    checked = quality.flag_missing(shape.cast_declared(rows, absent), _present(spec, rows))
+    checked = shape.cast_declared(rows, absent)
+    owners = column_owners(documents, spec) if child else {}
+    checked = quality.flag_missing_by(checked, _present(spec, rows), owners, sink.CHILD, DOCUMENT)
     if not kept:
         return checked
     names = [name for name in checked.columns if name not in kept]
@@ -160,6 +164,21 @@ def shape_rows(
     return checked.withColumn(quality.FLAG, F.col(quality.FLAG) | F.col(shape.CORRUPT).isNotNull()).select(*names)
 
 
+def column_owners(documents: DataFrame, spec: DatasetSpec) -> dict[str, str]:
+    """The array each target column comes from, of those that are loaded separately; the document's own are left out."""
+    arrays = sibling_arrays(documents, spec.wanted)
+    own = {name: array for name in spec.columns for array in arrays if name == array or name.startswith(f"{array}_")}
+    return {spec.renames.get(name, name): array for name, array in own.items()}
+
+
+def read_child(spark: SparkSession, output: str, spec: DatasetSpec, child: str, status: str = sink.LOADED) -> DataFrame:
+    """Rows of one separately loaded array: its columns and those of the document; other folders are not read."""
+    documents = spark.createDataFrame([], StructType.fromDDL(spec.input_schema))
+    owners = column_owners(documents, spec)
+    rows = sink.read_loads(spark, output, status).where(F.col(sink.CHILD) == child).drop(sink.CHILD)
+    return rows.select(*[name for name in rows.columns if owners.get(name, child) == child])
+
+
 def _present(spec: DatasetSpec, rows: DataFrame) -> list[str]:
     """Required columns; the tenant id only where the files have a link."""
     return [name for name in spec.required if name != spec.tenant_target or name in rows.columns]

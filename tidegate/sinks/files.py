@@ -13,6 +13,8 @@ from tidegate.operators.shape import CORRUPT, IMPORT_KEYS, MISFITS, date_parts
 
 LOADED, QUARANTINED = "loaded", "quarantined"
 LOAD = "load"
+# Which of a document's arrays a row comes from, where they are loaded separately.
+CHILD = "child"
 
 
 def check_load_id(load_id: str) -> str:
@@ -75,7 +77,7 @@ def load_folder(root: str, load_id: str) -> str:
 
 
 def write_load(df: DataFrame, root: str, load_id: str, flag: str) -> str:
-    """Write loaded and quarantined rows of one load in a single job.
+    """Write loaded and quarantined rows of one load in a single job; rows of separate arrays in folders of their own.
 
     The load owns its folder and replaces it as a whole, so running the same load
     again neither doubles rows nor leaves old ones behind.
@@ -85,7 +87,7 @@ def write_load(df: DataFrame, root: str, load_id: str, flag: str) -> str:
     (
         df.withColumn("load_status", status).drop(flag)
         .write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("load_status").parquet(folder)
+        .partitionBy("load_status", *([CHILD] if CHILD in df.columns else [])).parquet(folder)
     )
     return folder
 

@@ -41,6 +41,8 @@ class DatasetSpec:
     input_schema: str | None = None
     table: str | None = None
     missing_value: str | None = ""
+    #: Sibling arrays of a document: their product, or "separate" rows for the elements of each.
+    arrays: str = "product"
 
     @property
     def targets(self) -> tuple[str, ...]:
@@ -64,6 +66,8 @@ class DatasetSpec:
             found.append(f"format {self.format!r} is not one of {FORMATS}")
         if self.tenant_scope not in ("row", "file"):
             found.append(f"tenant_scope {self.tenant_scope!r} is neither 'row' nor 'file'")
+        if self.arrays not in ("product", "separate"):
+            found.append(f"arrays {self.arrays!r} is neither 'product' nor 'separate'")
         for name in _repeated(self.columns):
             found.append(f"column {name!r} is declared more than once")
         for name in _repeated(self.targets):

@@ -119,6 +119,29 @@ def audit_latest(t: Tables) -> DataFrame:
     return latest.withColumn("job_end_time", F.date_format("event_ts", "yyyyMMddHHmmss")).drop("event_ts")
 
 
+@query("audit_snapshot", """
+    SELECT job_id, total_record_count, status, strftime(event_ts, '%Y%m%d%H%M%S') AS job_end_time
+    FROM (SELECT CAST(user_id AS VARCHAR) AS job_id, event_id AS total_record_count, event_type AS status, ts AS event_ts,
+                 row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
+          FROM events)
+    WHERE place = 1
+""")
+def audit_snapshot(t: Tables) -> DataFrame:
+    """Events as a written log of job states: two snapshots, one made from the other, and the days since then."""
+    log, day = new_folder(t.spark, "audit"), F.col("ts").cast("date")
+    zero, none = F.lit(0).cast("long"), F.lit("")
+    states = t.events.select(
+        F.col("user_id").cast("string").alias("job_id"), none.alias("job_description"), F.col("event_id").alias("total_record_count"),
+        zero.alias("load_record_count"), zero.alias("error_record_count"), none.alias("job_start_time"),
+        F.date_format("ts", "yyyyMMddHHmmss").alias("job_end_time"), none.alias("source_path"), none.alias("dq_file_path"),
+        F.col("event_type").alias("status"), F.col("ts").alias("event_ts"), day.alias("event_date"),
+    )
+    states.hint("rebalance", F.col("event_date")).write.partitionBy("event_date").parquet(log)
+    for upto in ("2024-01-10", "2024-01-20"):
+        audit_log.snapshot_audit(t.spark, log, upto)
+    return audit_log.latest_audit(t.spark, log).select("job_id", "total_record_count", "status", "job_end_time")
+
+
 INVOICES = """
     SELECT CAST(o_orderkey AS VARCHAR) AS invoice_id,
            CASE WHEN o_orderstatus <> 'P' THEN concat('INV-', CAST(o_orderkey AS VARCHAR)) END AS invoice_no,

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tidegate.operators.flatten import flatten, flatten_separately, flatten_structs
+from tidegate.plans.ingest import ingest, read_child
 from tidegate.session import new_folder
+from tidegate.sinks import files as sink
 from tidegate.sources.files import read_json, read_json_multiline
+from tidegate.specs import SET_A
 from tidegate.workload import documents as docs
 from tidegate.workload.registry import Tables, query
 
@@ -150,3 +155,51 @@ def multiline_scan(t: Tables) -> DataFrame:
     paged.write.option("maxRecordsPerFile", 1).text(folder)
     schema = "results array<struct<key: bigint, name: string, balance: double>>"
     return flatten(read_json_multiline(t.spark, folder, schema))
+
+
+# Bank feeds of an order: one account or two, and up to three transactions.
+FEED_ACCOUNTS = (("concat('A', CAST(o_custkey AS VARCHAR(20)))", "true"), ("concat('B', CAST(o_custkey AS VARCHAR(20)))", "o_custkey % 2 = 0"))
+FEED_PAYMENTS = tuple((f"concat('T', CAST(o_orderkey AS VARCHAR(20)), '-{n}')", f"o_orderkey % 4 > {n}") for n in range(3))
+
+
+def bank_feeds(t: Tables) -> DataFrame:
+    """A document for each order; one in eight has neither account nor transaction."""
+    def elements(pairs, made) -> Column:
+        listed = F.array(*[F.when(F.expr(f"o_orderkey % 8 <> 0 AND {when}"), made(F.expr(key))) for key, when in pairs])
+        return F.filter(listed, lambda x: x.isNotNull())
+
+    account = F.col("o_custkey").cast("string")
+    return t.orders.select(
+        elements(FEED_ACCOUNTS, lambda key: F.struct(key.alias("account_id"), account.alias("name"))).alias("accounts"),
+        elements(FEED_PAYMENTS, lambda key: F.struct(
+            account.alias("account_id"), F.col("o_totalprice").alias("amount"), key.alias("transaction_id"),
+            F.array(F.lit("a"), F.col("o_orderstatus")).alias("category"),
+        )).alias("transactions"),
+        F.struct(F.struct(F.concat(F.lit("/companies/"), F.col("o_orderkey").cast("string")).alias("href")).alias("self")).alias("_links"),
+    )
+
+
+@query("transactions_separate", " UNION ALL ".join([
+    *[f"""SELECT 'accounts' AS child, CAST(o_orderkey AS VARCHAR) AS company_id, {key} AS id, CAST(NULL AS DOUBLE) AS amount, NULL AS category
+          FROM orders WHERE o_orderkey % 8 <> 0 AND {when}""" for key, when in FEED_ACCOUNTS],
+    *[f"""SELECT 'transactions', CAST(o_orderkey AS VARCHAR), {key}, CAST(o_totalprice AS DOUBLE), {category}
+          FROM orders WHERE o_orderkey % 8 <> 0 AND {when}""" for key, when in FEED_PAYMENTS for category in ("'a'", "o_orderstatus")],
+    "SELECT 'quarantined', CAST(o_orderkey AS VARCHAR), NULL, NULL, NULL FROM orders WHERE o_orderkey % 8 = 0",
+]))
+def transactions_separate(t: Tables) -> DataFrame:
+    """The shipped bank feed with its two arrays loaded separately, in one scan and one write."""
+    spec = replace(SET_A["transactions"], arrays="separate").repaired()
+    folder, root = new_folder(t.spark, "feeds"), new_folder(t.spark, "staging")
+    docs.as_json(bank_feeds(t)).write.text(folder)
+    ingest(t.spark, spec, folder, "job_1", root, load_date="2024-09-15")
+    accounts, payments = (read_child(t.spark, root, spec, child) for child in ("accounts", "transactions"))
+    none = F.lit(None)
+    return (
+        accounts.select(F.lit("accounts").alias("child"), "company_id", F.col("acc_id").alias("id"),
+                        none.cast("double").alias("amount"), none.cast("string").alias("category"))
+        .unionByName(payments.select(F.lit("transactions").alias("child"), "company_id", F.col("trans_id").alias("id"),
+                                     F.col("trans_amt").alias("amount"), F.col("trans_cat").alias("category")))
+        .unionByName(sink.read_loads(t.spark, root, sink.QUARANTINED).select(
+            F.lit("quarantined").alias("child"), "company_id", F.col("acc_id").alias("id"),
+            F.col("trans_amt").alias("amount"), F.col("trans_cat").alias("category")))
+    )
