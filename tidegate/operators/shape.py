@@ -20,6 +20,8 @@ OPEN_END = "9999-12-31"
 # Working columns that the readers add and the loaders drop again.
 SOURCE_FILE = "__source_file"
 SOURCE_ORDER = "__source_order"
+# When a stream took the row up.
+ARRIVED = "__arrived"
 # Text of a record that could not be parsed, or of the values that do not fit their types.
 CORRUPT = "corrupt_record"
 # Names of the columns whose values do not fit the types a dataset declares.

@@ -8,7 +8,7 @@ footers of the files just written, so they hold even if tasks were run twice.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
@@ -109,15 +109,18 @@ def shape_rows(
     job_id: str,
     file_name: str | Column | None = None,
     load_date: str | Column | None = None,
+    distinct: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Raw rows to distinct staging rows with their check flag.
 
+    ``distinct`` drops duplicates in a way of its own: it gets the rows before they are stamped.
+
     ``file_name`` is one text for all rows; without it each row names its own file.
     Rows of a corrupt record, and rows with values that do not fit the types of their
     schema or declared casts, are flagged and keep the text in ``corrupt_record``; rows of a
     dataset with casts name the columns in ``misfit_columns``.
     """
-    working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER) if name in raw.columns]
+    working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER, shape.ARRIVED) if name in raw.columns]
     kept = [shape.CORRUPT] if shape.CORRUPT in raw.columns else []
     documents = raw
     if spec.format != "delimited":
@@ -148,7 +151,7 @@ def shape_rows(
         links = flatten(documents, wanted={spec.tenant_column, *working})
         tenants = shape.file_tenants(links, spec.tenant_column, spec.tenant_pattern, spec.tenant_target)
         rows = shape.add_file_tenant(rows, tenants, link)
-    rows = shape.drop_duplicates(rows.drop(*working))
+    rows = shape.drop_duplicates(rows.drop(*working)) if distinct is None else distinct(rows).drop(*working)
     tenant = [name for name in rows.columns if name not in spec.targets]
     stamps = {name: spec.renames.get(name, name) for name in stamped}
     rows = shape.stamp_lineage(rows, job_id, file_name, load_date, stamped).transform(shape.rename, stamps)

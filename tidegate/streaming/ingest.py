@@ -16,7 +16,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tidegate.operators.shape import SOURCE_FILE
+from tidegate.operators.flatten import quoted
+from tidegate.operators.shape import ARRIVED, SOURCE_FILE
 from tidegate.plans.ingest import file_options, file_schema, load_routed, load_rows, shape_rows
 from tidegate.session import remove_folder
 from tidegate.sources.database import Database
@@ -24,6 +25,9 @@ from tidegate.sources.files import with_source
 from tidegate.sources.routing import routed_to, token_glob
 from tidegate.spec import DatasetSpec, SpecError
 from tidegate.specs import SET_A
+from tidegate.streaming.dedup import drop_stream_duplicates
+
+DIGEST = "__digest"
 
 
 def read_stream(
@@ -65,32 +69,64 @@ def start_ingest(
     table: str | None = None,
     database: Database | None = None,
     trigger: dict | None = None,
+    distinct_within: str | None = None,
+    salts: int = 0,
 ) -> StreamingQuery:
     """Run each micro-batch through the batch load under the id ``<prefix>_<batch>``.
 
     With a ``table`` each batch is also brought there; a batch that is repeated
-    replaces its own rows. Duplicates are dropped within a batch; across batches
-    see :func:`tidegate.streaming.dedup.drop_stream_duplicates`.
+    replaces its own rows. Duplicates are dropped within a batch, and with
+    ``distinct_within`` across batches too: a row, file names aside, that was taken up less than
+    that time ago is dropped. See :func:`shape_distinct`.
     """
     spec.validate()
     prefix = job_prefix or spec.name
+    stamp = spec.renames.get("job_id", "job_id")
+    shaped = None if distinct_within is None else shape_distinct(documents, spec, distinct_within, load_date, salts)
 
     def load(batch: DataFrame, batch_id: int) -> None:
         job_id = f"{prefix}_{batch_id}"
-        rows = shape_rows(batch, spec, job_id, load_date=load_date)
+        if shaped is None:
+            rows = shape_rows(batch, spec, job_id, load_date=load_date)
+        else:
+            rows = batch.withColumns({stamp: F.lit(job_id)} if stamp in batch.columns else {})
         load_rows(
             batch.sparkSession, rows, job_id, output,
             audit=audit, description=spec.name, source_path=prefix, table=table, database=database,
         )
 
     return (
-        documents.writeStream.foreachBatch(load)
+        (documents if shaped is None else shaped).writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
+def shape_distinct(
+    documents: DataFrame, spec: DatasetSpec, within: str, load_date: str | Column | None = None, salts: int = 0
+) -> DataFrame:
+    """A stream of staging rows without those that were taken up within a time before.
+
+    What a row is known by is a digest of its columns but for the file name, so the state holds 32
+    bytes and a time for each row of that time. The time is that of the batch, which a repeated
+    batch keeps, and no row is ever late by it. Digests that are old enough leave the state when the
+    watermark passes them. ``salts`` is for values that make up much of a batch.
+    """
+    if spec.tenant_scope == "file":
+        raise SpecError(f"dataset {spec.name!r} takes its tenant from the whole file, which a stream of rows has not")
+    arrived = documents.withColumn(ARRIVED, F.current_timestamp())
+    names = {"file_name", spec.renames.get("file_name", "file_name"), SOURCE_FILE, ARRIVED}
+
+    def distinct(rows: DataFrame) -> DataFrame:
+        values = [quoted((name,)) for name in rows.columns if name not in names]
+        text = F.to_json(F.struct(*values), {"ignoreNullFields": "false"})
+        keyed = rows.withColumn(DIGEST, F.unhex(F.sha2(text, 256)))
+        return drop_stream_duplicates(keyed, [DIGEST], event_time=ARRIVED, within=within, salts=salts).drop(DIGEST)
+
+    return shape_rows(arrived, spec, F.lit(""), load_date=load_date, distinct=distinct)
+
+
 def watch_folder(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
     """Paths of new files at any depth below a folder; what they hold is not read."""
     reader = spark.readStream.format("binaryFile").option("recursiveFileLookup", True)

@@ -44,6 +44,20 @@ def stream_ingest_whole(t: Tables) -> DataFrame:
     })
 
 
+@query("stream_ingest_distinct", f"""
+    SELECT * EXCLUDE (job_id, file_name) FROM ({INVOICES}) WHERE invoice_no IS NOT NULL
+""")
+def stream_ingest_distinct(t: Tables) -> DataFrame:
+    """Every document comes in two folders of files, taken up in several batches: each row is loaded once."""
+    folder, root, checkpoint = (new_folder(t.spark, label) for label in ("invoices", "staging", "checkpoint"))
+    texts = docs.as_json(docs.invoice_documents(t))
+    for copy in ("first", "second"):
+        texts.repartition(3).write.text(f"{folder}/{copy}")
+    documents = read_stream(t.spark, SET_A["invoice"], f"{folder}/*", files_per_batch=2)
+    start_ingest(documents, SET_A["invoice"], root, checkpoint, load_date=LOAD_DATE, distinct_within="1 day").awaitTermination()
+    return sink.read_loads(t.spark, root).drop("job_id", "file_name")
+
+
 @query("stream_routed", """
     SELECT 'invoice' AS dataset, CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderstatus = 'P' THEN 'quarantined' ELSE 'loaded' END AS status,
            CAST(o_totalprice AS DOUBLE) AS amount
