@@ -21,7 +21,7 @@ from tidegate.session import leave_mark, path_exists, sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
-from tidegate.sources.files import Paths, list_files, literal_path, read_delimited, read_json, read_json_multiline, with_source
+from tidegate.sources.files import Paths, list_files, literal_path, read_delimited, read_json, read_json_multiline, read_json_records, with_source
 from tidegate.sources.layouts import read_layouts
 from tidegate.sources.routing import ROUTES, add_route, key_below, route_token, spec_name
 from tidegate.sources.rules import read_rules, rules_from_frame
@@ -98,7 +98,9 @@ def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) ->
         return read_layouts(
             spark, path, wanted=spec.wanted, missing_value=spec.missing_value, ordered=spec.tenant_scope == "file", **options
         )
-    readers = {"delimited": read_delimited, "json": read_json, "json_multiline": read_json_multiline}
+    readers = {
+        "delimited": read_delimited, "json": read_json, "json_multiline": read_json_multiline, "json_records": read_json_records,
+    }
     raw = readers[spec.format](spark, path, file_schema(spec), **file_options(spec), **options)
     return with_source(raw, ordered=spec.tenant_scope == "file")
 
@@ -332,9 +334,16 @@ def load_routed(
     return results
 
 
-def export_flat_csv(spark: SparkSession, path: Paths, output: str, schema: str | None = None, **options) -> None:
-    """Multi-line JSON documents as flat CSV files, appended to a folder."""
-    flat = flatten(read_json_multiline(spark, path, schema))
+def export_flat_csv(
+    spark: SparkSession, path: Paths, output: str, schema: str | None = None, record_end: str | None = None, **options
+) -> None:
+    """Multi-line JSON documents as flat CSV files, appended to a folder.
+
+    One document (or array) is a file, read by one task; with ``record_end`` a file holds any number
+    of documents and is read by many, see :func:`tidegate.sources.files.read_json_records`.
+    """
+    documents = read_json_multiline(spark, path, schema) if record_end is None else read_json_records(spark, path, schema, record_end=record_end)
+    flat = flatten(documents)
     maps = {name: F.to_json(name) for name, kind in flat.dtypes if kind.startswith("map")}
     sink.write_csv(flat.withColumns(maps), output, mode="append", **options)
 

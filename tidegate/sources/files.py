@@ -63,6 +63,38 @@ def read_json_multiline(
     return _reader(spark, schema, glob, options).json(path)
 
 
+RECORD_END = "\n}"
+
+
+def read_json_records(
+    spark: SparkSession,
+    path: Paths,
+    schema: Schema,
+    glob: str | None = None,
+    record_end: str = RECORD_END,
+    **options,
+) -> DataFrame:
+    """JSON documents over many lines, any number of them in a file, which many tasks read together.
+
+    Documents are told apart by how each ends: with the text ``record_end``, which must not occur
+    within one. In pretty-printed documents one after another that is a brace at the start of a
+    line; in a pretty-printed array of them, one behind the array's indentation. Blanks, line ends,
+    commas and brackets between documents are passed over. With a string column named by the option
+    ``columnNameOfCorruptRecord`` in the schema, a document that does not parse is kept there as text;
+    one that lacks its end takes the next one with it, and one that another text follows, that text.
+    """
+    if not schema:
+        raise ValueError("documents are parsed as they are read, so they need a schema")
+    reader = spark.read.option("lineSep", record_end)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    # The separator is not part of what is read; a last piece without one is whatever follows the last document.
+    body = F.regexp_replace("value", r"^[\s,\[\]\uFEFF]+", "")
+    text = F.concat(body, F.lit(record_end))
+    rows = reader.text(path).where(body != "")
+    return rows.select(F.from_json(text, schema, {"mode": "PERMISSIVE", **options}).alias("__document")).select("__document.*")
+
+
 def read_delimited(
     spark: SparkSession,
     path: Paths,

@@ -11,7 +11,7 @@ from collections import Counter
 from collections.abc import Mapping
 from dataclasses import dataclass, field, replace
 
-FORMATS = ("json", "json_multiline", "delimited")
+FORMATS = ("json", "json_multiline", "json_records", "delimited")
 LINEAGE = ("job_id", "file_name", "file_load_dt")
 CASTABLE = ("double", "date", "integer", "long", "string", "boolean", "timestamp")
 
@@ -64,6 +64,8 @@ class DatasetSpec:
             found.append("no columns are declared")
         if self.format not in FORMATS:
             found.append(f"format {self.format!r} is not one of {FORMATS}")
+        if self.format == "json_records" and self.input_schema is None:
+            found.append("format 'json_records' needs an input schema")
         if self.tenant_scope not in ("row", "file"):
             found.append(f"tenant_scope {self.tenant_scope!r} is neither 'row' nor 'file'")
         if self.arrays not in ("product", "separate"):

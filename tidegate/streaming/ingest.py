@@ -47,6 +47,8 @@ def read_stream(
     path = folder if token is None else token_glob(folder, token)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if spec.format == "json_records":
+        raise SpecError(f"dataset {spec.name!r}: files of many documents are loaded through start_routed")
     if spec.format == "delimited":
         rows = reader.options(header=True, sep="|", enforceSchema=False).csv(path)
     else:

@@ -14,7 +14,7 @@ from tidegate.plans import ingest as plans
 from tidegate.session import new_folder
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
-from tidegate.sources.files import read_csv, read_delimited
+from tidegate.sources.files import RECORD_END, read_csv, read_delimited, read_json_records
 from tidegate.sources.layouts import file_headers, read_layouts
 from tidegate.sources.partitions import list_folders_after, rows_after
 from tidegate.spec import RuleSpec
@@ -442,6 +442,48 @@ def export_flat_csv(t: Tables) -> DataFrame:
     )
 
 
+def _write_large_documents(t: Tables, broken: bool = False) -> str:
+    """All customers as pretty-printed documents in one file; on request every tenth lacks a quotation mark."""
+    folder = new_folder(t.spark, "customer-documents")
+    customers = t.customer.select(F.struct(
+        F.struct(F.col("c_custkey").alias("key"), F.col("c_name").alias("name")).alias("customer"), F.col("c_acctbal").alias("balance"),
+    ).alias("document"), "c_custkey")
+    text = F.to_json("document", {"pretty": "true"})
+    if broken:
+        text = F.when(F.col("c_custkey") % 10 == 3, F.regexp_replace(text, '"name"', '"name')).otherwise(text)
+    customers.select(text.alias("value")).coalesce(1).write.text(folder)
+    return folder
+
+
+CUSTOMER_DOCUMENT = "customer struct<key: bigint, name: string>, balance double"
+
+
+@query("multiline_large_file", """
+    SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance, c_custkey % 10 = 3 AS broken FROM customer WHERE c_custkey % 10 <> 3
+    UNION ALL SELECT c_custkey, NULL, NULL, true FROM customer WHERE c_custkey % 10 = 3
+""")
+def multiline_large_file(t: Tables) -> DataFrame:
+    """One file of all documents, read in splits; those that do not parse are kept with their text."""
+    found = read_json_records(
+        t.spark, _write_large_documents(t, broken=True), f"{CUSTOMER_DOCUMENT}, {CORRUPT} string", columnNameOfCorruptRecord=CORRUPT,
+    )
+    whole = F.col(CORRUPT).isNull()
+    return found.select(
+        F.when(whole, F.col("customer.key")).otherwise(F.regexp_extract(CORRUPT, '"key" : (\\d+)', 1).cast("bigint")).alias("key"),
+        F.when(whole, F.col("customer.name")).alias("name"), F.when(whole, F.col("balance")).alias("balance"), (~whole).alias("broken"),
+    )
+
+
+@query("export_large_file", """
+    SELECT c_custkey AS customer_key, c_name AS customer_name, c_acctbal AS balance FROM customer
+""")
+def export_large_file(t: Tables) -> DataFrame:
+    """The same documents, all whole, exported as flat CSV."""
+    output = new_folder(t.spark, "customer-csv")
+    plans.export_flat_csv(t.spark, _write_large_documents(t), output, CUSTOMER_DOCUMENT, record_end=RECORD_END)
+    return read_csv(t.spark, output, "balance double, customer_key bigint, customer_name string")
+
+
 @query("run_dataset", """
     SELECT 'invoice' AS dataset, 'loaded' AS status, count(*) FILTER (o_orderstatus <> 'P') AS n FROM orders
     UNION ALL SELECT 'invoice', 'quarantined', count(*) FILTER (o_orderstatus = 'P') FROM orders
