@@ -76,7 +76,6 @@ def test_variable_length_coding_round_trip():
 def test_tokenizer_pieces_give_the_librarys_ids():
     encoder = token_files._encoder(VOCABULARY)
     whole = Tokenizer.from_file(VOCABULARY)
-    whole.encode_special_tokens = True
     for text in odd_texts(3000):
         assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, repr(text)
 

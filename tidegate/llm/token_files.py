@@ -10,7 +10,8 @@ file by table lookup, without a loop over ids.
 
 Documents are laid out in ascending id order over all files. Nulls sort first and are stored
 with their flag off; a null text is an empty text; documents that repeat are each written, in
-order of their texts' hash. Only names in the manifest count: what a failed attempt leaves
+order of their texts' hash. Strings of special tokens get those tokens' ids, as the library gives
+them by itself. Only names in the manifest count: what a failed attempt leaves
 behind is never read.
 """
 
@@ -128,20 +129,22 @@ class _TokenizerPieces:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
         self.alphabet = byte_alphabet()
+        self.blank = self.alphabet[ord(" ")]
         self.split = self.tokenizer.model.tokenize
 
     def pretoken(self, text: str) -> list[int]:
-        return [token.id for token in self.split(text.encode("utf-8").decode("latin-1").translate(self.alphabet))]
+        if text.isascii():  # of a pre-token's ASCII characters only a leading blank is written differently
+            written = self.blank + text[1:] if text[:1] == " " else text
+        else:
+            written = text.encode("utf-8").decode("latin-1").translate(self.alphabet)
+        return [token.id for token in self.split(written)]
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if (text[1:] if text[:1] == " " else text).isalpha():
-                ids = self.pretoken(text)
-            else:
-                ids = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            yield array("I", ids).tobytes()
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        plain = [(text[1:] if text[:1] == " " else text).isalpha() for text in texts]
+        others = [text for text, own in zip(texts, plain, strict=True) if not own]
+        found = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False) if others else [])
+        return [array("I", self.pretoken(text) if own else next(found).ids).tobytes() for text, own in zip(texts, plain, strict=True)]
 
 
 @lru_cache(maxsize=2)
@@ -212,8 +215,11 @@ def read_token_files(manifest: DataFrame, with_ids: bool = True) -> DataFrame:
         T.StructField("ids_crc32", T.LongType()),
         *([T.StructField("ids", T.BinaryType())] if with_ids else []),
     ])
-    # A file is a row here but a task's work: the number is set, or Spark would merge the few rows into one task.
-    return placed.select("file", "before").repartition(max(1, manifest.count())).mapInArrow(_reader(with_ids), schema)
+    # A file is a row here but much work: the number of tasks is set, or Spark would merge the few rows into one.
+    # It follows the cluster and not the files, of which a task reads one after another.
+    spark = manifest.sparkSession
+    most = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    return placed.select("file", "before").repartition(max(1, min(manifest.count(), most))).mapInArrow(_reader(with_ids), schema)
 
 
 def _reader(with_ids: bool) -> Callable:
