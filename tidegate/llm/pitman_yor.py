@@ -45,6 +45,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.files import join_path
 from tidegate.llm.memory import tidy
 from tidegate.llm.words import mix, words_of
+from tidegate.session import remove_folder
 
 BLOCK_TOKENS = 1_000_000
 BUCKET_TOKENS = 2_000_000
@@ -666,6 +667,10 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         spark.sparkContext._jvm.System.gc()  # shuffles of steps that are stored are cleaned once nothing refers to them
         return spark.read.schema(ROW).parquet(path)
 
+    def forget(name: str) -> None:
+        """Remove a step that its successor, now written in full, has taken the place of: nothing reads it again."""
+        remove_folder(spark, join_path(folder, name))
+
     hot, n = find_hot(source, join_path(folder, "hot"))
     buckets = buckets or max(-(-n // BUCKET_TOKENS), int(spark.conf.get("spark.sql.shuffle.partitions")))
     counted = stored(count(deal(source, hot, buckets), hot, buckets), "counted")
@@ -679,10 +684,12 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         keep, last = turn > ROUNDS - KEPT, turn == ROUNDS
         if turn:
             seats = stored(seat(seats.unionAll(root.where("kind = 'mass'")), model, turn, keep), f"seats-{turn}")
+            forget(f"seats-{turn - 1}")
             model.hot_tables = start + add_up(seats, len(hot))
             root = root.where("kind = 'root'").unionAll(seats.where("kind = 'tables'"))
             seats = seats.where("kind = 'seats'")
         root = stored(seat_root(root, model, turn, keep, last), f"root-{turn}")
+        forget(f"root-{turn - 1}")
         words, model.root_customers, model.root_tables, n1, n2, mass, spread = add_up(root, 7)
         # The unknown word has a share of the mass for new tables as well.
         model.root_mass, model.root_spread = mass / _GRAIN, spread / _GRAIN + (model.spread * model.base if turn else 1)
