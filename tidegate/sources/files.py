@@ -122,9 +122,11 @@ def literal_path(path: str) -> str:
     return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
 
 
-def list_files(spark: SparkSession, root: Paths, glob: str | None = None) -> DataFrame:
+def list_files(spark: SparkSession, root: Paths, glob: str | None = None, modified_after: str | None = None) -> DataFrame:
     """Paths of all files below a folder, as rows; file contents are not read."""
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     return reader.load(root).select("path")

@@ -16,7 +16,7 @@ from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.files import RECORD_END, read_csv, read_delimited, read_json_records
 from tidegate.sources.layouts import file_headers, read_layouts
-from tidegate.sources.partitions import list_folders_after, rows_after
+from tidegate.sources.partitions import dated_folders_after, list_folders_after, rows_after
 from tidegate.spec import RuleSpec
 from tidegate.specs import SET_A, SET_B
 from tidegate.workload import documents as docs
@@ -596,11 +596,21 @@ def audit_of_load(t: Tables) -> DataFrame:
     return latest.select("job_id", "status", "total_record_count", "load_record_count", "error_record_count")
 
 
+@query("folders_of_any_layout_after", """
+    SELECT count(DISTINCT ts::DATE) AS folders FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INT) > 20240115
+""")
+def folders_of_any_layout_after(t: Tables) -> DataFrame:
+    """The same folders from the listing of all files, as it works in any layout."""
+    folder = new_folder(t.spark, "events-dated")
+    sink.write_dated(t.events.select("event_id", "ts"), folder, F.col("ts"))
+    return list_folders_after(t.spark, folder, 20240115).agg(F.count("*").alias("folders"))
+
+
 @query("folders_listed_after", """
     SELECT count(DISTINCT ts::DATE) AS folders FROM events WHERE CAST(strftime(ts, '%Y%m%d') AS INT) > 20240115
 """)
 def folders_listed_after(t: Tables) -> DataFrame:
-    """Folders of written files that are newer than a day, from their listing alone."""
+    """Folders of written files that are newer than a day, from names in newer folders alone."""
     folder = new_folder(t.spark, "events-dated")
     sink.write_dated(t.events.select("event_id", "ts"), folder, F.col("ts"))
-    return list_folders_after(t.spark, folder, 20240115).agg(F.count("*").alias("folders"))
+    return dated_folders_after(t.spark, folder, 20240115).agg(F.count("*").alias("folders"))
