@@ -12,7 +12,7 @@ TABLES = "/root/testdata/sf0.001"
 
 
 def test_every_operator_is_registered():
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(name.startswith(f"op{n}_") for name in queries()) == 1
     assert set(QUERIES) | {"pipeline"} <= set(queries()) and set(SQL) <= set(oracle_sql())
 
@@ -21,7 +21,7 @@ def test_every_operator_is_registered():
 def test_query_equals_sql(spark, name):
     df = QUERIES[name](spark, TABLES)
     with duckdb.connect() as database:
-        for table in ("documents", "pages", "benchmark", "labels", "conversations"):
+        for table in ("documents", "embeddings", "pages", "benchmark", "labels", "conversations"):
             database.execute(f"CREATE VIEW {table} AS SELECT * FROM '{TABLES}/{table}.parquet'")
         result = database.execute(SQL[name])
         names = [c[0] for c in result.description]
