@@ -88,3 +88,9 @@ def test_typed_text_and_declared_casts_in_one_step(spark):
     got = rows(shape.settle_types(df, {"a": "int", "b": "int"}, casts={"b": "double", "c": "date"}, misfits="bad"))
     assert [(r["a"], r["b"], r["c"], r["bad"]) for r in got] == [
         (1, None, None, ["b", "c"]), (None, 2.0, None, ["a"]), (None, None, None, None)]
+
+
+def test_every_dataset_of_both_sets_names_its_table():
+    for specs in (SET_A, SET_B):
+        tables = [spec.table for spec in specs.values()]
+        assert all(tables) and len(set(tables)) == len(tables)

@@ -57,11 +57,12 @@ def _set_b(name: str) -> DatasetSpec:
         required=declared.REQUIRED_B[name],
         casts=declared.SET_B_CASTS.get(name, {}),
         tenant_target="comp_id" if name in declared.TENANT_B else "company_id",
+        table=declared.TABLES_B[name],
     )
 
 
 def _without_load_date(spec: DatasetSpec, name: str) -> DatasetSpec:
-    return replace(spec, name=name, columns=tuple(c for c in spec.columns if c != "file_load_dt"))
+    return replace(spec, name=name, columns=tuple(c for c in spec.columns if c != "file_load_dt"), table=declared.TABLES_B[name])
 
 
 SET_A = {name: _set_a(name) for name in _SOURCES}

@@ -290,7 +290,7 @@ REQUIRED_B = {
     "p_and_l": ("acc_id", "cat_id"),
 }
 
-# Staging tables of set A, and datasets whose tenant column set B calls comp_id.
+# Staging tables of set A.
 TABLES_A = {
     "accounts": "STG_A_ACCOUNTS",
     "balance_sheet": "STG_A_FS_BAL_ST",
@@ -306,6 +306,25 @@ TABLES_A = {
     "trizetto_claims": "STG_T_V_CLAIMS",
     "trizetto_payments": "STG_T_V_PAYMENTS",
 }
+# Staging tables of set B, with their schema where one is declared.
+TABLES_B = {
+    "accounts": "layera_staging.stg_a_accounts",
+    "balance_sheet": "layera_staging.stg_a_fs_bal_st",
+    "p_and_l": "layera_staging.stg_a_fs_pnl_st",
+    "invoice": "layera_staging.stg_a_invoices",
+    "payments": "layera_staging.stg_a_payments",
+    "codat_bills": "layera_staging.stg_a_bills",
+    "codat_billPayments": "layera_staging.stg_a_bill_payments",
+    "supplier": "layera_staging.stg_a_suppliers",
+    "transactions": "layera_staging.stg_b_transactions",
+    "trizetto_org": "layera_staging.stg_t_organizations",
+    "trizetto_providers": "layera_staging.stg_t_providers",
+    "trizetto_claims": "STG_T_V_CLAIMS",
+    "trizetto_payments": "STG_T_V_PAYMENTS",
+    "trizetto_v1_claims": "layera_staging.stg_t_v1_claims",
+    "trizetto_v1_payments": "layera_staging.stg_t_v1_payments",
+}
+# Datasets whose tenant column set B calls comp_id.
 TENANT_B = (
     "accounts", "balance_sheet", "p_and_l", "invoice", "codat_bills", "codat_billPayments", "supplier",
 )
