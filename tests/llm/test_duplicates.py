@@ -124,6 +124,42 @@ def test_near_duplicates_equal_brute_force(spark):
         assert all(r.class_size == sizes[r.class_id] for r in found)
 
 
+def test_shared_differences_link_what_the_centre_does_not(spark):
+    """Copies that are far from the original but near each other: the same words changed, added or left out, some more often."""
+    rows, w = [], prose(77, 90).split()
+    for g in range(6):
+        draw = random.Random(g)
+        variant = list(w)
+        for k in draw.sample(range(90), 3):
+            variant[k] = f"v{g}x{k}"
+        if g % 2:
+            del variant[10 * g:10 * g + 14]
+        for i in range(5):
+            rows.append((100 * g + i, mutated(" ".join(variant), 17 * g + i, i // 2)))
+    rows += [(900 + i, " ".join([*w, *(["and so on it goes"] * (6 + i))])) for i in range(4)] + [(990, " ".join(w))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    expected = brute_classes(rows)
+    assert 3 < len(set(expected.values())) < len(rows)
+    got = near_dups.find_classes(docs, storage(docs, "t"), rounds=0).collect()
+    assert {r.doc_id: r.class_id for r in got} == expected
+
+
+def test_copies_altered_each_in_its_own_way_meet_nowhere(spark):
+    base, counted = prose(78, 110), {}
+    rows = [(0, base)] + [(1 + i, mutated(base, i, 3)) for i in range(150)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    store = storage(docs, "t")
+
+    def counting(frame, name):
+        out = store(frame, name)
+        counted[name] = out.count()
+        return out
+
+    got = near_dups.find_classes(docs, counting, rounds=1).collect()
+    assert {r.doc_id: r.class_id for r in got} == brute_classes(rows)
+    assert counted["rest-nodes"] > 50 and counted["pairs-1"] <= 2 * len(rows)
+
+
 def test_near_duplicates_take_edge_cases(spark):
     docs = edge_docs(spark)
     store = storage(docs, "t")

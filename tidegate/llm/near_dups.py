@@ -18,9 +18,10 @@ probability of 4e-7. In a bucket nodes are not compared all with all. First ever
 verified against one leader, and joined to its component where the overlap reaches the threshold.
 For buckets that still hold several components, the runs that no other node of theirs has are
 counted: they bound every overlap a node can have, exactly. In the next rounds the node with the
-least share of such runs leads, which in a group of altered copies is their original. After that,
-pairs of a bucket that are still in different components and within the bound are all verified,
-the exact rest. Components are the classes.
+least share of such runs leads, which in a group of altered copies is their original. After that
+comes the exact rest: nodes of buckets that still hold several components are written as their
+differences from a centre, and pairs whose shared differences can lift them to the threshold are
+verified (``rest_pairs``). Components are the classes.
 
 Defined results: texts that are null or have no word are alone in their class; repeated rows are
 in one class; ties are no matter, a class is named after its smallest id. Null ids are ordinary
@@ -34,7 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.components import connected_components
@@ -241,17 +242,115 @@ def leader_pairs(members: DataFrame, turn: int, threshold: float, store: Callabl
     return _pairs(members.join(store(leaders, f"leaders-{turn}"), "bucket"), threshold)
 
 
-def rest_pairs(members: DataFrame, threshold: float) -> DataFrame:
-    """All pairs of a bucket in different components: its largest component's members are paired with the others only."""
-    sizes = members.groupBy("bucket", "label").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("top"), F.count("*").alias("labels"))
-    open_ = largest.where("labels > 1").select("bucket", F.col("top.label").alias("top"))
-    placed = members.join(open_, "bucket")
-    few = placed.where("label <> top").select(
-        "bucket", F.col("node").alias("other"), F.col("weight").alias("other_weight"),
-        F.col("alone").alias("other_alone"), F.col("label").alias("other_label"),
+def _differences(run: np.ndarray, text: np.ndarray, side: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs that the texts of side 0 have more often (extra) or less often (missing) than those of side 1: (text, run, difference)."""
+    order = np.lexsort((run, text))
+    run, text, side = run[order], text[order], side[order]
+    new = np.ones(len(run), bool)
+    new[1:] = (run[1:] != run[:-1]) | (text[1:] != text[:-1])
+    at = np.flatnonzero(new)
+    if not len(at):
+        return text, run, side
+    change = np.add.reduceat(1 - 2 * side, at)
+    own = change != 0
+    return text[at[own]], run[at[own]], change[own]
+
+
+def differences(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """(family, node, label, weight, missing, extra, element, times) of nodes beside their family's centre.
+
+    An element is a run with a sign: one that the node lacks (or has less often), or has beyond the
+    centre; ``times`` is by how much. The arrays are no longer than both texts together.
+    """
+    sides = members.join(texts.select("node", F.col("text").alias("left")), "node")
+    sides = sides.join(texts.select(F.col("node").alias("centre"), F.col("text").alias("right")), "centre")
+    kept = ["family", "node", "label", "weight"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                n, found = part.num_rows, []
+                for side, name in enumerate(("left", "right")):
+                    for words in words_of(part.column(name)):
+                        runs, text = shingles(words)
+                        found.append((runs, text + words.first, np.full(len(runs), side)))
+                text, runs, change = _differences(*(np.concatenate(x) for x in zip(*found, strict=True)), n)
+                element = mix(runs + np.where(change > 0, _LEVEL, _DRAW)).view(np.int64)
+                offsets = pa.array(np.append(0, np.cumsum(np.bincount(text, minlength=n))), pa.int32())
+                lost, more = (np.bincount(text, np.maximum(sign * change, 0), minlength=n).astype(np.int64) for sign in (-1, 1))
+                yield pa.RecordBatch.from_arrays([
+                    *[part.column(name) for name in kept], pa.array(lost), pa.array(more),
+                    pa.ListArray.from_arrays(offsets, pa.array(element)), pa.ListArray.from_arrays(offsets, pa.array(change.astype(np.int64))),
+                ], names=[*kept, "missing", "extra", "element", "times"])
+
+    schema = "family binary, node binary, label binary, weight long, missing long, extra long, element array<long>, times array<long>"
+    return sides.select(*kept, "left", "right").mapInArrow(tidy(run), schema)
+
+
+def rest_pairs(members: DataFrame, texts: DataFrame, threshold: float, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """The pairs of different components that can still reach the threshold, and every node beside its centre.
+
+    Buckets that share nodes are a family, with one centre C (the node with the least share of runs
+    alone). Let u lack the runs M of C and have the runs D beyond it. Then
+
+        |u and v| = |C| - |M_u| - |M_v| + |M_u and M_v| + |D_u and D_v|,
+
+    so a pair reaches the threshold t exactly if its shared differences weigh r(u) + r(v) or more,
+    with r(u) = t/(1+t) |u| + |M_u| - |C|/2. r is least for C itself, and r(u) + r(C) is above 0 for
+    every u that is not linked to C: such a u has to share differences with its partner. Only
+    differences that several components hold can be shared. Of these each node sends the first in
+    a common order, what a node has beyond C before what it lacks, and rare before frequent, until
+    what is left weighs less than its least possible partner asks for (prefix filter): pairs that
+    reach the threshold meet there. Copies altered each in their own way share too little and meet nowhere.
+    """
+    several = members.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.min("node").alias("v")).where("a <> b")
+    rows = store(members.join(store(several.select("bucket", "v"), "rest-buckets"), "bucket"), "rest-open")
+    families = connected_components(rows.select(F.col("node").alias("u"), "v"), store, "rest-families")
+    nodes = rows.select("node", "weight", "alone", "label").distinct().join(families.select(F.col("u").alias("node"), F.col("v").alias("family")), "node", "left")
+    nodes = store(nodes.withColumn("family", F.coalesce("family", "node")), "rest-nodes")
+    lot = F.struct(F.col("alone") / F.col("weight"), F.xxhash64("node"), "node", "label", "weight")
+    centres = nodes.groupBy("family").agg(F.min(lot).alias("c"))
+    centres = store(centres.select("family", F.col("c.node").alias("centre"), F.col("c.label").alias("centre_label"), F.col("c.weight").alias("size")), "rest-centres")
+
+    found = store(differences(nodes.join(centres.select("family", "centre"), "family"), texts), "rest-differences")
+    need = F.lit(threshold / (1 + threshold)) * F.col("weight") + F.col("missing") - F.col("size") / 2
+    reaches = (F.col("size") - F.col("missing")) * F.lit(1.0) >= F.lit(threshold) * (F.col("size") + F.col("extra")) - F.lit(1e-9)
+    placed = found.join(centres, "family").withColumn("need", need)
+    placed = placed.withColumn("far", (F.col("label") != F.col("centre_label")) & ~reaches)
+    to_centre = placed.where((F.col("label") != F.col("centre_label")) & reaches).select(F.greatest("node", "centre").alias("u"), F.least("node", "centre").alias("v"))
+
+    # What the partner asks for at least: ``far_need`` if it is far from the centre, ``near_need`` if not.
+    bounds = placed.groupBy("family").agg(F.min(F.when(F.col("far"), F.col("need"))).alias("far_need"), F.min(F.when(~F.col("far"), F.col("need"))).alias("near_need"))
+    bounds = store(bounds.where("far_need IS NOT NULL"), "rest-bounds")
+    live = placed.join(bounds, "family").select("family", "node", "label", "far", "need", "far_need", "near_need", "element", "times")
+    each = F.explode(F.arrays_zip("element", "times")).alias("e")
+    elements = store(
+        live.select("family", "node", "label", "far", "need", "far_need", "near_need", each)
+        .select("*", F.col("e.element").alias("x"), F.abs("e.times").alias("times"), (F.col("e.times") < 0).alias("lacks")).drop("e"), "rest-elements"
+    )
+    shared = elements.groupBy("family", "x").agg(F.count("*").alias("n"), F.min("label").alias("a"), F.max("label").alias("b")).where("a <> b")
+    ranked = elements.join(store(shared.select("family", "x", "n"), "rest-shared"), ["family", "x"])
+    after = Window.partitionBy("node").orderBy(F.desc("lacks"), F.desc("n"), F.desc("x")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = Window.partitionBy("node")
+    ranked = ranked.withColumn("left", F.sum("times").over(after)).withColumn("all", F.sum("times").over(whole))
+
+    def prefix(least: str) -> Column:
+        return F.col("left") + F.lit(1e-6) >= F.col("need") + F.col(least)
+
+    side = ranked.select("family", "x", "node", "label", "need", "all", "far", prefix("far_need").alias("to_far"), prefix("near_need").alias("to_near"))
+    side = store(side.where("to_far OR (far AND to_near)"), "rest-prefixes")
+    ones = side.where("far").withColumn("other_far", F.explode(F.expr("filter(array(if(to_far, true, null), if(to_near, false, null)), f -> f IS NOT NULL)")))
+    ones = ones.select("family", "x", "other_far", "node", "label", "need", "all")
+    twos = side.where("to_far").select(
+        "family", "x", F.col("far").alias("other_far"), F.col("node").alias("other"), F.col("label").alias("other_label"),
+        F.col("need").alias("other_need"), F.col("all").alias("other_all"),
     )
-    return _pairs(placed.join(few, "bucket"), threshold)
+    enough = F.col("need") + F.col("other_need") <= F.least("all", "other_all") + F.lit(1e-6)
+    once = ~F.col("other_far") | (F.col("node") < F.col("other"))
+    met = ones.join(twos, ["family", "x", "other_far"]).where((F.col("label") != F.col("other_label")) & enough & once)
+    met = met.select(F.greatest("node", "other").alias("u"), F.least("node", "other").alias("v"))
+    return to_centre.unionByName(met).distinct()
 
 
 def _pairs(joined: DataFrame, threshold: float) -> DataFrame:
@@ -292,7 +391,7 @@ def find_classes(
         if turn == 1:
             open_ = open_members(members, labels, texts, store)
         placed = _labelled(open_, labels)
-        pairs = leader_pairs(placed, turn, threshold, store) if turn < rounds else rest_pairs(placed, threshold)
+        pairs = leader_pairs(placed, turn, threshold, store) if turn < rounds else rest_pairs(placed, texts, threshold, store)
         if tested is not None:
             pairs = pairs.join(tested, ["u", "v"], "left_anti")
         pairs = store(pairs, f"pairs-{turn}")
