@@ -263,3 +263,14 @@ def test_words_without_signs():
     texts = ["Don't stop—now… “ok” ¿qué? x y ªb", None, "", "  ", "A1 b2"]
     got = [w.data[a:b].tobytes().decode() for w in words_of(pa.array(texts), letters=True) for a, b in zip(w.start, w.end, strict=True)]
     assert got == re.findall(r"[^\W_]+", "Don't stop—now… “ok” ¿qué? x y ªb A1 b2")
+
+
+def test_long_words_of_swapped_blocks_differ():
+    import pyarrow as pa
+
+    from tidegate.llm.words import words_of
+
+    one, two = "ab" * 512, "ba" * 512
+    texts = [one + two, two + one, one + one, two + two, one, one + two]
+    got = [h for w in words_of(pa.array(texts)) for h in w.hash]
+    assert len(set(got)) == 5 and got[0] == got[5]

@@ -18,7 +18,7 @@ SPACES = bytes([0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 SHINGLE = 5
 
 _MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-_PERIOD = 1024  # place weights repeat after so many bytes of one word
+_PERIOD = 1024  # place weights of one block of a word; each later block has a factor of its own
 
 
 class Words(NamedTuple):
@@ -136,6 +136,9 @@ def _scan(part, place, inside, values):
     at = np.cumsum(length) - length
     within = np.arange(int(at[-1] + length[-1]), dtype=np.int64) - np.repeat(at, length)
     weight = values[part[inside]] * _PLACE[within & (_PERIOD - 1)]
+    far = np.flatnonzero(within >= _PERIOD)
+    if len(far):
+        weight[far] *= mix((within[far] // _PERIOD).astype(np.uint64) * _MULTIPLIER) | np.uint64(1)
     return start, end, text, mix(np.add.reduceat(weight, at) + length.astype(np.uint64) * _MULTIPLIER)
 
 
