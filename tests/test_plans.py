@@ -163,6 +163,13 @@ def test_file_tenant_lookup_reads_only_links(spark, write_file):
     assert plan.count("Generate explode") == 1
 
 
+def test_tenant_of_a_file_parses_the_files_once(spark, write_file):
+    spec = replace(INVOICE, tenant_scope="file")
+    raw = plans.read_raw(spark, spec, write_file("i.json", PAGES))
+    plan = plans.shape_rows(raw, spec, "j")._jdf.queryExecution().executedPlan().toString().lower()
+    assert "scan json" not in plan and plan.count("filescan parquet") == 2
+
+
 def test_nothing_is_lost_in_parsing(spark, write_file, folder):
     good, misfit = json.dumps(page("c1", {"id": "1", "invoiceNumber": "n", "totalAmount": 1.5})), page("c1", {"id": "2", "invoiceNumber": "n", "totalAmount": "12,5"})
     path, out = write_file("i.json", "\n".join([good, json.dumps(misfit), good[:-4]])), folder()

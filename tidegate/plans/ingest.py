@@ -17,7 +17,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructFi
 
 from tidegate.operators import quality, shape
 from tidegate.operators.flatten import DOCUMENT, flatten, prune_schema, sibling_arrays
-from tidegate.session import leave_mark, path_exists, sized_shuffles
+from tidegate.session import leave_mark, new_folder, path_exists, sized_shuffles
 from tidegate.sinks import audit as audit_log
 from tidegate.sinks import files as sink
 from tidegate.sources.database import Database
@@ -105,6 +105,13 @@ def read_raw(spark: SparkSession, spec: DatasetSpec, path: Paths, **options) ->
     return with_source(raw, ordered=spec.tenant_scope == "file")
 
 
+def parsed_once(rows: DataFrame, label: str = "parsed") -> DataFrame:
+    """Parsed documents as a columnar table in the shared folder, for plans that read them more than once."""
+    folder = new_folder(rows.sparkSession, label)
+    rows.write.parquet(folder)
+    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+
+
 def shape_rows(
     raw: DataFrame,
     spec: DatasetSpec,
@@ -116,6 +123,8 @@ def shape_rows(
     """Raw rows to distinct staging rows with their check flag.
 
     ``distinct`` drops duplicates in a way of its own: it gets the rows before they are stamped.
+    Where the tenant is that of a file's first row, the parsed documents are written first: the lookup
+    reads three columns of them, the rows the others, and no file is parsed again.
 
     ``file_name`` is one text for all rows; without it each row names its own file.
     Rows of a corrupt record, and rows with values that do not fit the types of their
@@ -124,7 +133,7 @@ def shape_rows(
     """
     working = [name for name in (shape.SOURCE_FILE, shape.SOURCE_ORDER, shape.ARRIVED) if name in raw.columns]
     kept = [shape.CORRUPT] if shape.CORRUPT in raw.columns else []
-    documents = raw
+    documents = raw = parsed_once(raw) if spec.tenant_column and spec.tenant_scope == "file" else raw
     if spec.format != "delimited":
         separate = sink.CHILD if spec.arrays == "separate" else None
         raw = flatten(documents, wanted=spec.wanted | {*working, *kept}, separate=separate)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tidegate import functions as fn
 from tidegate.operators import quality, shape
+from tidegate.plans.ingest import parsed_once
 from tidegate.session import new_folder
 from tidegate.sources.database import read_query
 from tidegate.sources.files import read_json, with_source
@@ -90,7 +91,7 @@ def tenant_of_file(t: Tables) -> DataFrame:
     folder = new_folder(t.spark, "events-by-type")
     link = F.concat(F.lit("/companies/"), "event_type", F.lit("/"), F.col("user_id").cast("string"))
     t.events.select("event_id", "event_type", link.alias("link")).write.partitionBy("event_type").json(folder)
-    raw = with_source(read_json(t.spark, f"{folder}/*", "event_id bigint, link string"), ordered=True)
+    raw = parsed_once(with_source(read_json(t.spark, f"{folder}/*", "event_id bigint, link string"), ordered=True))
     tenants = shape.file_tenants(raw, "link")
     return shape.add_file_tenant(raw, tenants, "link").select("event_id", "company_id")
 
