@@ -42,3 +42,18 @@ def test_marks_and_patterns(spark, folder):
     assert not session.path_exists(spark, path) and not session.path_matches(spark, f"{path}/*")
     session.leave_mark(spark, f"{path}/done")
     assert session.path_exists(spark, f"{path}/done") and session.path_matches(spark, f"{path}/d*")
+
+
+def test_tasks_of_a_write_are_bounded_and_settings_come_back(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before = [spark.conf.get(name) for name in names]
+    with session.sized_shuffles(spark.range(1)):
+        assert [spark.conf.get(name) for name in names] == [f"{session.PARTITION_BYTES}b", f"{session.MERGED_BYTES}b"]
+    assert [spark.conf.get(name) for name in names] == before
+    spark.conf.set(names[0], "1m")
+    try:
+        with session.bounded_tasks(spark):
+            assert spark.conf.get(names[0]) == "1m"
+    finally:
+        spark.conf.set(names[0], before[0])
+    assert session.PARTITION_BYTES <= 64 * 1024 * 1024

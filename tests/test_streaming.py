@@ -92,3 +92,17 @@ def test_duplicates_within_a_watermark(spark, write_file, folder):
         .option("path", out).option("checkpointLocation", folder()).trigger(availableNow=True).start().awaitTermination()
     )
     assert rows(spark.read.parquet(out).select("k")) == [{"k": 1}, {"k": 2}]
+
+
+def test_a_stream_reads_in_bounded_tasks_from_its_first_batch_on(spark, write_file, folder, monkeypatch):
+    from tidegate import session
+    from tidegate.specs import SET_A
+    from tidegate.streaming import ingest as streams
+
+    seen = []
+    monkeypatch.setattr(streams, "load_rows", lambda batch, *a, **k: seen.append(batch.conf.get("spark.sql.files.maxPartitionBytes")))
+    write_file("in/one.json", [{"results": [{"id": "1"}]}])
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    documents = streams.read_stream(spark, SET_A["invoice"], f"{write_file.folder}/in")
+    streams.start_ingest(documents, SET_A["invoice"], folder(), folder()).awaitTermination()
+    assert seen == [f"{session.PARTITION_BYTES}b"] and spark.conf.get("spark.sql.files.maxPartitionBytes") == before

@@ -19,7 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidegate.operators.flatten import quoted
 from tidegate.operators.shape import ARRIVED, SOURCE_FILE
 from tidegate.plans.ingest import file_options, file_schema, load_routed, load_rows, shape_rows
-from tidegate.session import remove_folder
+from tidegate.session import bounded_tasks, remove_folder
 from tidegate.sources.database import Database
 from tidegate.sources.files import with_source
 from tidegate.sources.routing import routed_to, token_glob
@@ -97,12 +97,10 @@ def start_ingest(
             audit=audit, description=spec.name, source_path=prefix, table=table, database=database,
         )
 
-    return (
-        (documents if shaped is None else shaped).writeStream.foreachBatch(load)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    writer = (documents if shaped is None else shaped).writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
+    # A stream keeps the settings it starts with, and plans its scans before a batch gets to its load.
+    with bounded_tasks(documents.sparkSession):
+        return writer.trigger(**(trigger or {"availableNow": True})).start()
 
 
 def shape_distinct(
