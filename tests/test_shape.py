@@ -111,3 +111,22 @@ def test_concat_key_skips_nulls(spark):
     df = spark.createDataFrame([(None, "a", "b"), ("a", None, "b")], "x string, y string, z string")
     keys = {row[0] for row in df.select(fn.concat_key(["x", "y", "z"])).collect()}
     assert keys == {"a$$b"}
+
+
+def test_text_rows_travel_packed_and_stay_what_they_are(spark):
+    rows = [
+        ("a", "b", 1, None), ("a", "b", 1, None), ("a\x1eb", "", 1, "\x1b"), ("a", "b\x1e", 1, "\x1b2"), (None, None, None, None),
+        ("", "", None, ""), ("", "", None, None), ("", "", None, ""), ("\x1b", "\x1b0\x1e1", 2, "\x1b1"),
+    ]
+    df = spark.createDataFrame(rows, "a string, `b.c` string, n int, d string")
+    found = shape.drop_text_duplicates(df)
+    assert found.columns == df.columns and found.dtypes == df.dtypes
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(set(rows), key=repr)
+    # Four columns would be grouped by four keys.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [__packed" in plan and plan.count("Aggregate") == 1
+
+
+def test_one_text_column_needs_no_packing(spark):
+    df = spark.createDataFrame([("a", 1), ("a", 1), (None, 1)], "a string, n int")
+    assert sorted(map(tuple, shape.drop_text_duplicates(df).collect()), key=repr) == [("a", 1), (None, 1)]
