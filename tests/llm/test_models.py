@@ -381,3 +381,21 @@ def test_verdicts_do_not_switch_with_the_size_of_a_table(spark):
 def test_chi_square_quantiles():
     for p, k, known in ((0.5, 6, 5.348), (0.99, 6, 16.812), (0.9999, 6, 27.856)):
         assert quality.chi_square_quantile(p, k) == pytest.approx(known, rel=0.001)
+
+
+def test_pitman_yor_keeps_no_step_that_nothing_reads(spark, folder):
+    """When texts meet their scores, only both are left; scores are the doubles they were."""
+    import os
+
+    from tidegate.llm import pitman_yor
+
+    docs = spark.createDataFrame([(i, i % 3 == 0, f"a b c{i % 4} a b") for i in range(40)], "doc_id long, held_out boolean, text string")
+    path = folder()
+    found = pitman_yor.score_documents(docs, path, buckets=3)
+    place = path.removeprefix("file://")
+    assert sorted(os.listdir(place)) == ["counted", "hot", "scores"]
+    assert [name for name in sorted(os.listdir(f"{place}/counted")) if name.startswith("kind=")] == ["kind=docs"]
+    assert found.count() == 40 and found.where("score < 0 AND base_score < 0").count() == 40
+    numbers = np.random.default_rng(1).normal(size=1000)
+    assert (pitman_yor._doubles(pitman_yor._planes(numbers)) == numbers).all()
+    assert len(pitman_yor._doubles(b"")) == 0

@@ -126,7 +126,16 @@ _NAMES = ["to", "kind", "frm", "sums", *_CELLS]
 
 def _pack(numbers: np.ndarray) -> bytes:
     """Bytes of an array; of four-byte numbers all first bytes, then all second ones, which compress better."""
-    return numbers.view(np.uint8).reshape(-1, 4).T.tobytes() if numbers.dtype == np.uint32 else numbers.tobytes()
+    return _planes(numbers) if numbers.dtype == np.uint32 else numbers.tobytes()
+
+
+def _planes(numbers: np.ndarray) -> bytes:
+    """All first bytes of an array's numbers, then all second ones, and so on."""
+    return np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _doubles(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view("<f8").ravel()
 
 
 def _row(to: int, kind: str, frm: int, *cells: np.ndarray, sums: np.ndarray | None = None) -> tuple:
@@ -624,7 +633,7 @@ def predict(rows: DataFrame, model: Model) -> DataFrame:
         for block, n in np.frombuffer(static["g"], "<i8").reshape(-1, 2).tolist():
             dish = pair_dish[at:at + n]
             at += n
-            out.append(_row(block, "scores", static["to"], p[dish], _small(word_count[word[dish]])))
+            out.append(_row(block, "scores", static["to"], np.frombuffer(_planes(p[dish]), np.uint8), _small(word_count[word[dish]])))
         return _table(out)
 
     return rows.groupBy("to").applyInArrow(run, ROW)
@@ -638,7 +647,7 @@ def score(rows: DataFrame, model: Model) -> DataFrame:
         found = table.to_pylist()
         docs = next(r for r in found if r["kind"] == "docs")
         scores = _sorted(found, "scores")
-        p = np.concatenate([np.frombuffer(r["a"], "<f8") for r in scores])
+        p = np.concatenate([_doubles(r["a"]) for r in scores])
         count = np.concatenate([_ints(r["b"], len(r["a"]) // 8) for r in scores])
         n, pair = _u4(docs["d"]), _u4(docs["e"])
         begin = np.cumsum(n) - n
@@ -661,19 +670,31 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
 
+    def collect_garbage() -> None:
+        spark.sparkContext._jvm.System.gc()  # shuffles of steps that are stored are cleaned once nothing refers to them
+
     def stored(rows: DataFrame, name: str) -> DataFrame:
         path = join_path(folder, name)
         rows.write.option("compression", "zstd").parquet(path)
-        spark.sparkContext._jvm.System.gc()  # shuffles of steps that are stored are cleaned once nothing refers to them
+        del rows  # its own shuffle goes as well
+        collect_garbage()
         return spark.read.schema(ROW).parquet(path)
 
     def forget(name: str) -> None:
         """Remove a step that its successor, now written in full, has taken the place of: nothing reads it again."""
         remove_folder(spark, join_path(folder, name))
 
+    def stored_by_kind(rows: DataFrame, name: str) -> DataFrame:
+        """Every kind of rows in a folder of its own, which can be forgotten by itself."""
+        path = join_path(folder, name)
+        rows.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+        del rows
+        collect_garbage()
+        return spark.read.schema(ROW).parquet(path).select(*_NAMES)
+
     hot, n = find_hot(source, join_path(folder, "hot"))
     buckets = buckets or max(-(-n // BUCKET_TOKENS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = stored(count(deal(source, hot, buckets), hot, buckets), "counted")
+    counted = stored_by_kind(count(deal(source, hot, buckets), hot, buckets), "counted")
     sums = add_up(counted, 3 + 2 * len(hot))
     start = sums[3 + len(hot):]
     model = Model(sums[0], 0.0, _discount(sums[1], sums[2]), 0.5, sums[3:3 + len(hot)], start)
@@ -684,12 +705,12 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         keep, last = turn > ROUNDS - KEPT, turn == ROUNDS
         if turn:
             seats = stored(seat(seats.unionAll(root.where("kind = 'mass'")), model, turn, keep), f"seats-{turn}")
-            forget(f"seats-{turn - 1}")
+            forget(f"seats-{turn - 1}" if turn > 1 else "counted/kind=seats")
             model.hot_tables = start + add_up(seats, len(hot))
             root = root.where("kind = 'root'").unionAll(seats.where("kind = 'tables'"))
             seats = seats.where("kind = 'seats'")
         root = stored(seat_root(root, model, turn, keep, last), f"root-{turn}")
-        forget(f"root-{turn - 1}")
+        forget(f"root-{turn - 1}" if turn else "counted/kind=words")
         words, model.root_customers, model.root_tables, n1, n2, mass, spread = add_up(root, 7)
         # The unknown word has a share of the mass for new tables as well.
         model.root_mass, model.root_spread = mass / _GRAIN, spread / _GRAIN + (model.spread * model.base if turn else 1)
@@ -698,5 +719,9 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         if keep:
             model.kept.append((model.root_customers, model.root_tables, model.hot_tables))
     parts = static.unionAll(seats).unionAll(root.where("kind = 'final'"))
-    scores = predict(parts, model).withColumn("block", F.col("to"))
-    return score(counted.where("kind = 'docs'").withColumn("block", F.col("frm")).unionAll(scores), model)
+    # Stored, so that texts meet their scores when all else is gone.
+    scores = stored(predict(parts, model), "scores")
+    for step in ("counted/kind=static", f"seats-{ROUNDS}", f"root-{ROUNDS}"):
+        forget(step)
+    documents = counted.where("kind = 'docs'").withColumn("block", F.col("frm"))
+    return score(documents.unionAll(scores.withColumn("block", F.col("to"))), model)
