@@ -9,7 +9,7 @@ import pytest
 from helpers import CLASHING, edge_docs, edge_rows, empty_docs, lower, prose, words
 
 from tidegate.llm import decontaminate, line_dedup, near_dups
-from tidegate.llm.components import connected_components
+from tidegate.llm.components import _small_stars, _stars, connected_components
 from tidegate.llm.store import storage
 
 
@@ -195,6 +195,12 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     assert got == {**{i: 0 for i in range(1, 41)}, **{100 + i: 100 for i in range(1, 30)}, **{200 + i: 200 for i in range(1, 9)}}
 
 
+def test_a_step_of_components_shuffles_its_edges_three_times(spark, capsys):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(40)], "u long, v long")
+    _small_stars(_stars(edges)).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 3
+
+
 def test_tiles_are_longest_first_and_do_not_overlap():
     code = lambda s: [ord(c) for c in s]
     tiles = decontaminate.tile(code("abcdefghijklmnop"), code("xxijklmnopyyabcdefghzz"), 3)

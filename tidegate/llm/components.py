@@ -4,23 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _beside_least(edges: DataFrame) -> DataFrame:
+    """Every edge (u, v) beside m, the least v of its u: one shuffle for both."""
+    return edges.withColumn("m", F.min("v").over(Window.partitionBy("u")))
+
+
 def _stars(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node moves to the node's least neighbour (large star)."""
-    both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    moved = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.where("u <> v").distinct()
+    """Every larger neighbour of a node moves to the node's least neighbour (large star). Edges may come twice, never more of them than before."""
+    both = edges.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("e")).select("e.u", "e.v")
+    moved = _beside_least(both).where("v > u")
+    return moved.select(F.col("v").alias("u"), F.least("u", "m").alias("v")).where("u <> v")
 
 
 def _small_stars(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours all point to the least of them (small star)."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    moved = _beside_least(edges).select(F.explode(F.array(F.struct(F.col("v").alias("u"), "m"), F.struct("u", "m"))).alias("e"))
+    return moved.select(F.col("e.u").alias("u"), F.col("e.m").alias("v")).where("u <> v").distinct()
 
 
 def connected_components(edges: DataFrame, store: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
@@ -30,14 +33,12 @@ def connected_components(edges: DataFrame, store: Callable[[DataFrame, str], Dat
     of the largest component's size; the edge table is stored after each, and only a count and a
     checksum of it reach the driver.
     """
-    current = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct()
-    current = store(current, f"{name}-edges")
-    seen = None
-    step = 0
+    current = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
+    seen, step = None, 0
     while True:
+        step += 1
+        current = store(_small_stars(_stars(current)), f"{name}-step-{step}")
         check = current.agg(F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")).first()
         if check["n"] == 0 or (check["n"], check["x"]) == seen:
             return current
         seen = (check["n"], check["x"])
-        step += 1
-        current = store(_small_stars(_stars(current)), f"{name}-step-{step}")

@@ -306,7 +306,7 @@ def rest_pairs(members: DataFrame, texts: DataFrame, threshold: float, store: Ca
     """
     several = members.groupBy("bucket").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.min("node").alias("v")).where("a <> b")
     rows = store(members.join(store(several.select("bucket", "v"), "rest-buckets"), "bucket"), "rest-open")
-    families = connected_components(rows.select(F.col("node").alias("u"), "v"), store, "rest-families")
+    families = connected_components(rows.select(F.col("node").alias("u"), "v").distinct(), store, "rest-families")
     nodes = rows.select("node", "weight", "alone", "label").distinct().join(families.select(F.col("u").alias("node"), F.col("v").alias("family")), "node", "left")
     nodes = store(nodes.withColumn("family", F.coalesce("family", "node")), "rest-nodes")
     lot = F.struct(F.col("alone") / F.col("weight"), F.xxhash64("node"), "node", "label", "weight")
@@ -385,7 +385,7 @@ def find_classes(
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h"))
     texts = store(source.join(wanted, same).select("node", "text").dropDuplicates(["node"]), "texts")
 
-    labels, links, tested = None, None, None
+    labels, tested = None, None
     open_ = members.withColumn("alone", F.lit(0).cast("long"))
     for turn in range(rounds + 1):
         if turn == 1:
@@ -397,8 +397,8 @@ def find_classes(
         pairs = store(pairs, f"pairs-{turn}")
         found = store(verify(pairs, texts, threshold), f"links-{turn}")
         tested = pairs if tested is None else tested.unionByName(pairs)
-        links = found if links is None else links.unionByName(found)
-        labels = connected_components(links, store, f"components-{turn}")
+        # Earlier links are in the labels they made, which are already stars.
+        labels = connected_components(found if labels is None else labels.unionByName(found), store, f"components-{turn}")
     return name_classes(signed, labels, store)
 
 
