@@ -399,3 +399,32 @@ def test_pitman_yor_keeps_no_step_that_nothing_reads(spark, folder):
     numbers = np.random.default_rng(1).normal(size=1000)
     assert (pitman_yor._doubles(pitman_yor._planes(numbers)) == numbers).all()
     assert len(pitman_yor._doubles(b"")) == 0
+
+
+def test_pitman_yor_counts_and_scores_in_slices(spark, folder, monkeypatch):
+    """Pairs, and scores that their documents have met, are gone; every slice held only a part of them."""
+    import os
+
+    most = {"pairs": 0, "scores": 0}
+
+    def watch(name, place):
+        real = getattr(pitman_yor, name)
+
+        def seen(rows, *rest):
+            most[place] = max(most[place], rows.where(f"kind = '{place}'").count())
+            return real(rows, *rest)
+        monkeypatch.setattr(pitman_yor, name, seen)
+
+    monkeypatch.setattr(pitman_yor, "BLOCK_TOKENS", 20)
+    watch("count", "pairs")
+    watch("score", "scores")
+    docs = spark.createDataFrame([(i, i % 3 == 0, f"a b c{i % 4} a b d{i}") for i in range(60)], "doc_id long, held_out boolean, text string").repartition(4)
+    path = folder()
+    found = pitman_yor.score_documents(docs, path, buckets=12)
+    place = path.removeprefix("file://")
+    assert [x for x in os.listdir(f"{place}/scores/pairs") if x.startswith("slice=")] == []
+    assert found.count() == 60 and sorted(r.doc_id for r in found.collect()) == list(range(60))
+    monkeypatch.setattr(pitman_yor, "SLICES", 1)
+    part, most = dict(most), most
+    pitman_yor.score_documents(docs, folder(), buckets=12)
+    assert 0 < part["pairs"] < most["pairs"] and 0 < part["scores"] < most["scores"]

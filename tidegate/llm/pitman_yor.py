@@ -39,7 +39,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.files import join_path
@@ -53,6 +53,7 @@ HOT_TOKENS = 500_000
 HOT_PARTS = 256  # a word is hot from about 1 / HOT_PARTS of all tokens on
 ROUNDS = 4
 KEPT = 2  # the last rounds, whose predictions are averaged
+SLICES = 4  # of buckets and of blocks, scored one after another
 SWEEPS = 4
 ROOT_SWEEPS = 8
 GROUP_TABLES = 2.0  # expected tables of those that are drawn anew together
@@ -143,6 +144,10 @@ def _row(to: int, kind: str, frm: int, *cells: np.ndarray, sums: np.ndarray | No
     return (int(to), kind, int(frm), None if sums is None else np.asarray(sums, float).tolist(), *packed, *[None] * (len(_CELLS) - len(packed)))
 
 
+def _slice(name: str) -> Column:
+    return F.pmod(F.xxhash64(name), F.lit(SLICES)).cast("int")
+
+
 def _table(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows, strict=True)) or [()] * len(_NAMES)
     return pa.table([pa.array(list(x), k) for x, k in zip(columns, _KINDS, strict=True)], names=_NAMES)
@@ -234,8 +239,8 @@ class _Block:
 
 # ---- counting in a bucket -------------------------------------------------------------------
 
-def count(dealt: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
-    """For every bucket its dishes with their training counts; ``docs`` rows pass through.
+def count(pairs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+    """For every bucket its dishes with their training counts.
 
     Kind ``static``: word of each dish, dishes of each context, hot number of each context, counts,
     (root part, words, words with seats to draw) for each part met, the dish of each pair, (block,
@@ -243,12 +248,9 @@ def count(dealt: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     counts, words with seats to draw. Its sums: tokens, n1, n2, then customers and tables by hot context.
     """
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        out = [tuple(r[x] for x in _NAMES) for r in rows if r["kind"] == "docs"]
-        pairs = _sorted(rows, "pairs")
-        return _table(out + (_count_bucket(pairs, hot, buckets) if pairs else []))
+        return _table(_count_bucket(_sorted(table.to_pylist(), "pairs"), hot, buckets))
 
-    return dealt.groupBy("to").applyInArrow(run, ROW)
+    return pairs.groupBy("to").applyInArrow(run, ROW)
 
 
 def _count_bucket(rows: list[dict], hot: np.ndarray, parts: int) -> list[tuple]:
@@ -684,17 +686,28 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         """Remove a step that its successor, now written in full, has taken the place of: nothing reads it again."""
         remove_folder(spark, join_path(folder, name))
 
-    def stored_by_kind(rows: DataFrame, name: str) -> DataFrame:
-        """Every kind of rows in a folder of its own, which can be forgotten by itself."""
-        path = join_path(folder, name)
-        rows.write.option("compression", "zstd").partitionBy("kind").parquet(path)
+    def added(rows: DataFrame, name: str, *keys: str) -> None:
+        """Add rows to a step; those of every key have a folder of their own, which can be forgotten by itself."""
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*keys).parquet(join_path(folder, name))
         del rows
         collect_garbage()
-        return spark.read.schema(ROW).parquet(path).select(*_NAMES)
+
+    def sliced(rows: DataFrame) -> DataFrame:
+        return rows.withColumn("slice", _slice("to"))
+
+    def read_sliced(name: str) -> DataFrame:
+        return spark.read.schema(f"{ROW}, slice int").parquet(join_path(folder, name))
 
     hot, n = find_hot(source, join_path(folder, "hot"))
     buckets = buckets or max(-(-n // BUCKET_TOKENS), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    counted = stored_by_kind(count(deal(source, hot, buckets), hot, buckets), "counted")
+    # In slices, so that no shuffle holds a second copy of all pairs, which go as soon as they are counted.
+    added(sliced(deal(source, hot, buckets)), "counted", "kind", "slice")
+    pairs = read_sliced("counted").where("kind = 'pairs'")
+    for part in range(SLICES):
+        added(sliced(count(pairs.where(F.col("slice") == part).select(*_NAMES), hot, buckets)), "counted", "kind", "slice")
+        forget(f"counted/kind=pairs/slice={part}")
+    forget("counted/kind=pairs")
+    counted = read_sliced("counted").select(*_NAMES)
     sums = add_up(counted, 3 + 2 * len(hot))
     start = sums[3 + len(hot):]
     model = Model(sums[0], 0.0, _discount(sums[1], sums[2]), 0.5, sums[3:3 + len(hot)], start)
@@ -719,9 +732,15 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         if keep:
             model.kept.append((model.root_customers, model.root_tables, model.hot_tables))
     parts = static.unionAll(seats).unionAll(root.where("kind = 'final'"))
-    # Stored, so that texts meet their scores when all else is gone.
-    scores = stored(predict(parts, model), "scores")
+    # Stored, so that texts meet their scores when all else is gone; both in slices.
+    for part in range(SLICES):
+        added(sliced(predict(parts.where(_slice("to") == part), model)), "scores/pairs", "slice")
     for step in ("counted/kind=static", f"seats-{ROUNDS}", f"root-{ROUNDS}"):
         forget(step)
     documents = counted.where("kind = 'docs'").withColumn("block", F.col("frm"))
-    return score(documents.unionAll(scores.withColumn("block", F.col("to"))), model)
+    scores = read_sliced("scores/pairs").withColumn("block", F.col("to"))
+    for part in range(SLICES):
+        own = documents.where(_slice("block") == part).unionAll(scores.where(F.col("slice") == part).drop("slice"))
+        added(score(own, model), "scores/documents")
+        forget(f"scores/pairs/slice={part}")
+    return spark.read.schema(SCORES).parquet(join_path(folder, "scores/documents"))
