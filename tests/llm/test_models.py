@@ -428,3 +428,37 @@ def test_pitman_yor_counts_and_scores_in_slices(spark, folder, monkeypatch):
     part, most = dict(most), most
     pitman_yor.score_documents(docs, folder(), buckets=12)
     assert 0 < part["pairs"] < most["pairs"] and 0 < part["scores"] < most["scores"]
+
+
+def test_messages_of_a_bucket_do_not_follow_the_number_of_buckets_or_partitions(spark, folder, monkeypatch):
+    """Many shuffle partitions make no more buckets of a small table, and many buckets no more root parts than ROOT_PARTS."""
+    sent = {}
+
+    def watch(name, kind):
+        real = getattr(pitman_yor, name)
+
+        def seen(rows, *rest):
+            found = rows.where(f"kind = '{kind}'").groupBy("frm" if kind != "final" else "to").count().collect()
+            if found:
+                sent[kind] = (len(found), max(r["count"] for r in found))
+            return real(rows, *rest)
+        monkeypatch.setattr(pitman_yor, name, seen)
+
+    docs = spark.createDataFrame([(i, prose(i, 40), i % 7 == 2) for i in range(40)], "doc_id long, text string, held_out boolean")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    watch("seat_root", "words")
+    watch("predict", "final")
+    monkeypatch.setattr(pitman_yor, "SLICES", 1)
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        whole = pitman_yor.score_documents(docs, folder("py")).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sent["words"][0] <= 16 and sent["words"][1] <= 16
+    monkeypatch.setattr(pitman_yor, "BUCKET_TOKENS", 50)
+    monkeypatch.setattr(pitman_yor, "ROOT_PARTS", 3, raising=False)
+    few = pitman_yor.score_documents(docs, folder("py")).collect()
+    assert sent["words"][0] > 25 and sent["words"][1] == 3 and sent["final"][1] == 3
+    exact = lambda rows: sorted((r.doc_id, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 9)) for r in rows)
+    assert exact(few) == exact(whole) and len(few) == 40
+    assert sum(r.score for r in few) == pytest.approx(sum(r.score for r in whole), rel=0.02)

@@ -19,9 +19,10 @@ variance of the process. Discounts follow from the counts of counts, n1 / (n1 +
 How it is dealt. Pairs (context, word) are counted in each block of tokens before they are shuffled,
 so a hot pair arrives as one count for each block. Pairs are dealt by context to buckets, whose
 number follows from the number of tokens; hot contexts (found in a first pass, at most HOT_PARTS of
-them) by context and word. Words are dealt to root parts. In a round, buckets send each root part
-the tables of its words, and get the words' mass back; only totals and a few numbers by hot context
-pass the driver. In the end the probabilities of a block's pairs are sent back to the block, where
+them) by context and word. Words are dealt to root parts, as many as buckets but ROOT_PARTS at most,
+so that a bucket of any table sends a bounded number of messages. In a round, buckets send each root
+part the tables of its words, and get the words' mass back; only totals and a few numbers by hot
+context pass the driver. In the end the probabilities of a block's pairs are sent back to the block, where
 the tokens have stayed.
 
 Defined results: a null text is an empty one and has one token, its end. Words are cut at white
@@ -49,6 +50,8 @@ from tidegate.session import remove_folder
 
 BLOCK_TOKENS = 1_000_000
 BUCKET_TOKENS = 2_000_000
+LEAST_BUCKETS = 16  # so many tasks share few tokens, if there are as many shuffle partitions
+ROOT_PARTS = 256  # messages of a bucket in a round, at most
 HOT_TOKENS = 500_000
 HOT_PARTS = 256  # a word is hot from about 1 / HOT_PARTS of all tokens on
 ROUNDS = 4
@@ -239,7 +242,7 @@ class _Block:
 
 # ---- counting in a bucket -------------------------------------------------------------------
 
-def count(pairs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
+def count(pairs: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
     """For every bucket its dishes with their training counts.
 
     Kind ``static``: word of each dish, dishes of each context, hot number of each context, counts,
@@ -248,7 +251,7 @@ def count(pairs: DataFrame, hot: np.ndarray, buckets: int) -> DataFrame:
     counts, words with seats to draw. Its sums: tokens, n1, n2, then customers and tables by hot context.
     """
     def run(table: pa.Table) -> pa.Table:
-        return _table(_count_bucket(_sorted(table.to_pylist(), "pairs"), hot, buckets))
+        return _table(_count_bucket(_sorted(table.to_pylist(), "pairs"), hot, parts))
 
     return pairs.groupBy("to").applyInArrow(run, ROW)
 
@@ -667,7 +670,7 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
     """Learn from the rows of (doc_id, held_out, text) whose held_out is false, and score all of them.
 
     ``folder`` is in the shared folder; dishes, seats and messages of each step are kept there.
-    There is a bucket for each BUCKET_TOKENS tokens, but one for each shuffle partition at least.
+    There is a bucket for each BUCKET_TOKENS tokens, but one for each shuffle partition up to LEAST_BUCKETS at least.
     """
     spark = docs.sparkSession
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("held_out", F.lit(False)).alias("held_out"), "text")
@@ -699,12 +702,13 @@ def score_documents(docs: DataFrame, folder: str, buckets: int | None = None) ->
         return spark.read.schema(f"{ROW}, slice int").parquet(join_path(folder, name))
 
     hot, n = find_hot(source, join_path(folder, "hot"))
-    buckets = buckets or max(-(-n // BUCKET_TOKENS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    buckets = buckets or max(-(-n // BUCKET_TOKENS), min(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    root_parts = min(buckets, ROOT_PARTS)
     # In slices, so that no shuffle holds a second copy of all pairs, which go as soon as they are counted.
     added(sliced(deal(source, hot, buckets)), "counted", "kind", "slice")
     pairs = read_sliced("counted").where("kind = 'pairs'")
     for part in range(SLICES):
-        added(sliced(count(pairs.where(F.col("slice") == part).select(*_NAMES), hot, buckets)), "counted", "kind", "slice")
+        added(sliced(count(pairs.where(F.col("slice") == part).select(*_NAMES), hot, root_parts)), "counted", "kind", "slice")
         forget(f"counted/kind=pairs/slice={part}")
     forget("counted/kind=pairs")
     counted = read_sliced("counted").select(*_NAMES)
