@@ -378,6 +378,25 @@ def test_verdicts_do_not_switch_with_the_size_of_a_table(spark):
     assert verdicts == [(True, True)] * 2
 
 
+def test_estimates_meet_blocks_and_percentiles_are_within_their_accuracy(spark):
+    """Rows are packed by group, none is lost; points thinned by many tasks stay within 1/PERCENTILE_ACCURACY of the rows."""
+    values = np.random.default_rng(5).normal(size=(3000, 6))
+    stats = spark.createDataFrame(statistics(values, sources=["a" if i % 50 else f"s{i}" for i in range(3000)]), STATISTICS)
+    blocks = quality.in_blocks(quality.assign_groups(stats.coalesce(1)))
+    found = blocks.collect()
+    assert len(found) == 2 * 3 + 60  # two blocks of every large group, one of each small one
+    for group in ("all", *{r.group for r in found if r.group.startswith("lang")}):
+        x = np.concatenate([np.frombuffer(r.x).reshape(-1, 6) for r in found if r.group == group])
+        assert sorted(map(tuple, x)) == sorted(map(tuple, values))
+    series = lambda x, _: enumerate(x.T)
+    exact = {r.start: r.value for r in quality.percentiles(blocks, series, 0.75).where("group = 'all'").collect()}
+    assert exact == {i: np.sort(values[:, i])[2249] for i in range(6)}
+    points, weights = np.arange(25_001.0), np.full(25_001, 3)
+    kept, shares = quality.thinned(points, weights)
+    assert len(kept) == quality.PERCENTILE_ACCURACY and shares.sum() == 75_003
+    assert np.abs(np.cumsum(shares) - 3 * kept).max() <= 75_003 / quality.PERCENTILE_ACCURACY
+
+
 def test_chi_square_quantiles():
     for p, k, known in ((0.5, 6, 5.348), (0.99, 6, 16.812), (0.9999, 6, 27.856)):
         assert quality.chi_square_quantile(p, k) == pytest.approx(known, rel=0.001)
