@@ -388,7 +388,7 @@ def test_estimates_meet_blocks_and_percentiles_are_within_their_accuracy(spark):
     for group in ("all", *{r.group for r in found if r.group.startswith("lang")}):
         x = np.concatenate([np.frombuffer(r.x).reshape(-1, 6) for r in found if r.group == group])
         assert sorted(map(tuple, x)) == sorted(map(tuple, values))
-    series = lambda x, _: enumerate(x.T)
+    series = lambda found: (([i] * len(found.sizes), v) for i, v in enumerate(found.x.T))
     exact = {r.start: r.value for r in quality.percentiles(blocks, series, 0.75).where("group = 'all'").collect()}
     assert exact == {i: np.sort(values[:, i])[2249] for i in range(6)}
     points, weights = np.arange(25_001.0), np.full(25_001, 3)

@@ -36,8 +36,8 @@ read whole; other columns are not read.
 from __future__ import annotations
 
 import math
-import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -61,9 +61,10 @@ TAIL = 0.9999
 # more room, as a repeated line or two is common in good texts and the fixed rules judge the rest.
 VARIANCE_FLOOR = (0.0025, 0.0016, 0.02, 0.02, 0.0025, 0.0025)
 PERCENTILE_ACCURACY = 10_000
-SALTS = 32  # parts in which the blocks, or rows, of one group meet its estimate
+SALTS = 32  # parts in which the rows of one source meet its law
 BLOCK_ROWS = 2048
 PACKED_ROWS = 1 << 16  # rows a task packs at a time
+ENTRY_ROWS = 1 << 14  # rows a pass works on at a time
 HELD_VALUES = 1 << 20  # values a task holds before it sends them
 LEVELS = ("source_group", "lang_group", "all_group")
 
@@ -187,8 +188,7 @@ def _packed(rows: pa.Table) -> Iterator[pa.RecordBatch]:
             for at in range(start, end, BLOCK_ROWS):
                 groups.append(name)
                 packed.append(x[order[at : min(at + BLOCK_ROWS, end)]].tobytes())
-        salts = [zlib.crc32(block) % SALTS for block in packed]
-        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(salts, pa.int32()), pa.array(packed, pa.binary())], names=["group", "salt", "x"])
+        yield pa.RecordBatch.from_arrays([pa.array(groups, pa.string()), pa.array(packed, pa.binary())], names=["group", "x"])
 
 
 def in_blocks(rows: DataFrame) -> DataFrame:
@@ -207,11 +207,55 @@ def in_blocks(rows: DataFrame) -> DataFrame:
         if n:
             yield from _packed(pa.Table.from_batches(held))
 
-    return rows.select(*LEVELS, *FEATURES).mapInArrow(run, "`group` string, salt int, x binary")
-
-
-def _rows(block: bytes) -> np.ndarray:
-    return np.frombuffer(block).reshape(-1, P)
+    return rows.select(*LEVELS, *FEATURES).mapInArrow(run, "`group` string, x binary")
+
+
+class Entries(NamedTuple):
+    """Some blocks, each once for every estimate beside it: the rows of all, and what is known of each entry."""
+
+    groups: list[str]
+    sizes: np.ndarray
+    x: np.ndarray
+    which: np.ndarray  # the entry of each row
+    beside: dict[str, np.ndarray]
+
+    @property
+    def first(self) -> np.ndarray:
+        """The place of each entry's first row."""
+        return np.cumsum(self.sizes) - self.sizes
+
+
+def _numbers(column: pa.Array) -> np.ndarray:
+    """A column of numbers, or of as many numbers in every row."""
+    if pa.types.is_list(column.type):
+        return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return column.to_numpy(zero_copy_only=False)
+
+
+def entries(batch: pa.RecordBatch) -> Iterator[Entries]:
+    """What a batch of blocks holds, up to some ENTRY_ROWS rows at a time."""
+    if not batch.num_rows:
+        return
+    packed = batch.column("x").cast(pa.binary())
+    offsets = np.frombuffer(packed.buffers()[1], np.int32)[packed.offset : packed.offset + len(packed) + 1] // (8 * P)
+    x = np.frombuffer(packed.buffers()[2], count=offsets[-1] * P).reshape(-1, P)
+    names = batch.column("group").to_pylist()
+    if "starts" in batch.schema.names:
+        starts = batch.column("starts")
+        block, inner = np.repeat(np.arange(len(packed)), starts.value_lengths().to_numpy()), starts.flatten()
+        beside = {field.name: _numbers(values) for field, values in zip(inner.type, inner.flatten(), strict=True)}
+    else:
+        block = np.arange(len(packed))
+        beside = {name: _numbers(batch.column(name)) for name in batch.schema.names if name not in ("group", "x")}
+    sizes = np.diff(offsets)[block].astype(np.int64)
+    up_to, at = np.cumsum(sizes), 0
+    while at < len(block):
+        end = max(at + 1, int(np.searchsorted(up_to, up_to[at] - sizes[at] + ENTRY_ROWS, "right")))
+        n = sizes[at:end]
+        which = np.repeat(np.arange(end - at), n)
+        rows = np.arange(len(which)) + (offsets[block[at:end]] - (np.cumsum(n) - n))[which]
+        yield Entries([names[i] for i in block[at:end]], n, x[rows], which, {k: v[at:end] for k, v in beside.items()})
+        at = end
 
 
 def with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
@@ -220,6 +264,12 @@ def with_estimates(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     return rows.join(estimates.select("*", salts), ["group", "salt"]).drop("salt")
 
 
+def beside_blocks(blocks: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Blocks beside what is known of their group. A group has one block for some thousand rows, and nothing
+    stands on the join's order, so adaptive execution can split the blocks of a very large group."""
+    return blocks.join(estimates, "group")
+
+
 def squared_distance() -> Column:
     """Mahalanobis distance from a row's features to its group's ``center`` under ``precision``, squared."""
     deltas = [F.col(f) - F.col("center")[i] for i, f in enumerate(FEATURES)]
@@ -241,25 +291,29 @@ def thinned(values: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.nda
     return values[np.searchsorted(up_to, (ends[:-1] + ends[1:] + 1) // 2)], np.diff(ends)
 
 
-def percentiles(blocks: DataFrame, series: Callable[[np.ndarray, dict], Iterator[tuple[int, np.ndarray]]], share: float) -> DataFrame:
-    """(group, start, value): the percentile of each group's series, which are numbered and made of a block and the columns beside it.
+def percentiles(blocks: DataFrame, series: Callable[[Entries], Iterator[tuple[Iterable[int], np.ndarray]]], share: float) -> DataFrame:
+    """(group, start, value): the percentile of each group's series, which are made of entries: a number for each, a value for each row.
 
     A task sends the values of a group, thinned where they are many; where they meet they are not thinned again.
     """
-    columns = ["group", "start", "points", "weights"]
-
     def sent(held: dict[tuple[str, int], list[np.ndarray]]) -> pa.RecordBatch:
-        out = [thinned(v := np.concatenate(parts), np.ones(len(v), np.int64)) for parts in held.values()]
-        # Weights that are all one are left out.
-        data = [[g for g, _ in held], [k for _, k in held], [v.tobytes() for v, _ in out], [b"" if w.max() == 1 else w.tobytes() for _, w in out]]
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(data, (pa.string(), pa.int32(), pa.binary(), pa.binary()), strict=True)], names=columns)
+        points, weights = [], []
+        for parts in held.values():
+            values = np.concatenate(parts)
+            few = len(values) <= PERCENTILE_ACCURACY
+            values, own = (values, np.zeros(0, np.int64)) if few else thinned(values, np.ones(len(values), np.int64))
+            points.append(values.tobytes())
+            weights.append(own.tobytes())  # none where each is one
+        columns = [pa.array([g for g, _ in held], pa.string()), pa.array([k for _, k in held], pa.int32()), pa.array(points, pa.binary()), pa.array(weights, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=["group", "start", "points", "weights"])
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, n = {}, 0
         for batch in batches:
-            for row in _records(batch):
-                for key, values in series(_rows(row["x"]), row):
-                    held.setdefault((row["group"], key), []).append(values)
+            for found in entries(batch):
+                for keys, values in series(found):
+                    for group, key, start, size in zip(found.groups, keys, found.first.tolist(), found.sizes.tolist(), strict=True):
+                        held.setdefault((group, key), []).append(values[start : start + size])
                     n += len(values)
                 if n >= HELD_VALUES:
                     yield sent(held)
@@ -267,76 +321,72 @@ def percentiles(blocks: DataFrame, series: Callable[[np.ndarray, dict], Iterator
         if held:
             yield sent(held)
 
-    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def value(parts: list[tuple[bytes, bytes]]) -> float:
-            points = [np.frombuffer(v) for v, _ in parts]
-            weights = [np.frombuffer(w, np.int64) if w else np.ones(len(v), np.int64) for v, (_, w) in zip(points, parts, strict=True)]
-            points, weights = np.concatenate(points), np.concatenate(weights)
-            order = np.argsort(points, kind="stable")
-            up_to = np.cumsum(weights[order])
-            return float(points[order[np.searchsorted(up_to, max(1, math.ceil(share * up_to[-1])))]])
-
-        def found(rows: list[tuple[str, int, float]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pylist([dict(zip(["group", "start", "value"], row, strict=True)) for row in rows], pa.schema([("group", pa.string()), ("start", pa.int32()), ("value", pa.float64())]))
+    def value(parts: list[tuple[bytes, bytes]]) -> float:
+        points = np.frombuffer(b"".join(v for v, _ in parts))
+        if not any(w for _, w in parts):
+            return float(np.sort(points)[max(1, math.ceil(share * len(points))) - 1])
+        weights = np.concatenate([np.frombuffer(w, np.int64) if w else np.ones(len(v) // 8, np.int64) for v, w in parts])
+        order = np.argsort(points, kind="stable")
+        up_to = np.cumsum(weights[order])
+        return float(points[order[np.searchsorted(up_to, max(1, math.ceil(share * up_to[-1])))]])
 
+    def ranked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Rows come in the order of their keys, so the parts of one follow each other.
         key, parts = None, []
+
+        def result(rows: list[tuple[str, int, float]]) -> pa.RecordBatch:
+            columns = zip(*rows, strict=True) if rows else [()] * 3
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int32(), pa.float64()), strict=True)], names=["group", "start", "value"])
+
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
-                if (row["group"], row["start"]) != key:
+            for group, start, points, weights in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+                if (group, start) != key:
                     if key:
                         out.append((*key, value(parts)))
-                    key, parts = (row["group"], row["start"]), []
-                parts.append((row["points"], row["weights"]))
-            yield found(out)
+                    key, parts = (group, start), []
+                parts.append((points, weights))
+            yield result(out)
         if key:
-            yield found([(*key, value(parts))])
+            yield result([(*key, value(parts))])
 
-    sums = blocks.mapInArrow(tidy(summarise), "`group` string, start int, points binary, weights binary")
-    dealt = sums.repartition("group", "start").sortWithinPartitions("group", "start")
+    points = blocks.mapInArrow(tidy(summarise), "`group` string, start int, points binary, weights binary")
+    dealt = points.repartition("group", "start").sortWithinPartitions("group", "start")
     return dealt.mapInArrow(ranked, "`group` string, start int, value double")
 
 
-def _records(batch: pa.RecordBatch) -> Iterator[dict]:
-    """Rows of a batch one by one, as dictionaries: a block is copied only while it is looked at."""
-    for i in range(batch.num_rows):
-        yield {name: batch.column(k)[i].as_py() for k, name in enumerate(batch.schema.names)}
-
-
 SUMS = [f"m{i}" for i in range(P)] + [f"c{i}_{j}" for i in range(P) for j in range(i + 1)]
 _LOWER = np.tril_indices(P)
 
 
-def sums(blocks: DataFrame, sets: Callable[[np.ndarray, dict], Iterator[tuple[int, np.ndarray]]]) -> DataFrame:
-    """(group, start, n_used, SUMS): sums over each numbered set of vectors, and of their products, over all blocks of a group."""
+def sums(blocks: DataFrame, sets: Callable[[Entries], Iterator[tuple[Iterable[int], np.ndarray, np.ndarray]]]) -> DataFrame:
+    """(group, start, n_used, SUMS): sums over each numbered set of vectors, and of their products, over all blocks of a group.
+
+    A set has a number for each entry, a vector for each row, and which of these rows are used.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            groups, keys, used, out = [], [], [], []
-            for row in _records(batch):
-                for key, y in sets(_rows(row["x"]), row):
-                    groups.append(row["group"])
-                    keys.append(key)
-                    used.append(len(y))
-                    out.append(np.concatenate([y.sum(axis=0), (y.T @ y)[_LOWER]]))
-            table = np.array(out).reshape(-1, len(SUMS))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(groups, pa.string()), pa.array(keys, pa.int32()), pa.array(used, pa.int64()), *map(pa.array, table.T.copy())],
-                names=["group", "start", "n_used", *SUMS],
-            )
+            for found in entries(batch):
+                for keys, y, used in sets(found):
+                    y = np.where(used[:, None], y, 0.0)
+                    parts = np.add.reduceat(np.concatenate([y, y[:, _LOWER[0]] * y[:, _LOWER[1]]], axis=1), found.first)
+                    n = np.add.reduceat(used.astype(np.int64), found.first)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.groups, pa.string()), pa.array(keys, pa.int32()), pa.array(n), *map(pa.array, parts.T.copy())],
+                        names=["group", "start", "n_used", *SUMS],
+                    )
 
     kinds = ", ".join(f"{name} double" for name in SUMS)
     found = blocks.mapInArrow(tidy(run), f"`group` string, start int, n_used long, {kinds}")
     return found.groupBy("group", "start").agg(*[F.sum(name).alias(name) for name in ("n_used", *SUMS)])
 
 
-def _moments(row: dict) -> tuple[np.ndarray, np.ndarray]:
-    """Mean and covariance of what a row of :func:`sums` adds up."""
-    mean, cov = np.array([row[f"m{i}"] for i in range(P)]) / row["n_used"], np.zeros((P, P))
-    cov[_LOWER] = [row[name] for name in SUMS[P:]]
-    cov = cov / row["n_used"]
-    cov = cov + np.tril(cov, -1).T
-    return mean, cov - np.outer(mean, mean)
+def _moments(n: np.ndarray, totals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Means and covariances of what rows of :func:`sums` add up."""
+    totals = totals / n[:, None]
+    mean, cov = totals[:, :P], np.zeros((len(n), P, P))
+    cov[:, _LOWER[0], _LOWER[1]] = cov[:, _LOWER[1], _LOWER[0]] = totals[:, P:]
+    return mean, cov - mean[:, :, None] * mean[:, None, :]
 
 
 def estimate(group: str, start: int, n: int, center: np.ndarray, cov: np.ndarray) -> tuple:
@@ -345,11 +395,17 @@ def estimate(group: str, start: int, n: int, center: np.ndarray, cov: np.ndarray
     return group, start, n, list(center), cov.ravel().tolist(), np.linalg.inv(full).ravel().tolist(), float(np.linalg.slogdet(full)[1])
 
 
-def _estimates(found: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.string(), pa.int32(), pa.int64(), *[pa.list_(pa.float64())] * 3, pa.float64())
-    names = ("group", "start", "n", "center", "cov", "precision", "log_det")
-    columns = zip(*found, strict=True) if found else [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True)], names=names)
+def _estimates(groups: list[str], starts: Iterable[int], n: np.ndarray, centers: np.ndarray, covs: np.ndarray) -> pa.RecordBatch:
+    """Rows of ESTIMATE, as :func:`estimate` makes one."""
+    full = covs + np.diag(VARIANCE_FLOOR)
+    precisions, log_dets = np.linalg.inv(full), np.linalg.slogdet(full)[1]
+
+    def lists(x: np.ndarray) -> pa.Array:
+        width = x[0].size if len(x) else 0
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * width), pa.array(x.ravel()))
+
+    columns = [pa.array(groups, pa.string()), pa.array(starts, pa.int32()), pa.array(n, pa.int64()), lists(centers), lists(covs), lists(precisions), pa.array(log_dets)]
+    return pa.RecordBatch.from_arrays(columns, names=["group", "start", "n", "center", "cov", "precision", "log_det"])
 
 
 def starting_covariances(mad: np.ndarray, tanh: np.ndarray, sign: np.ndarray) -> list[np.ndarray]:
@@ -368,43 +424,53 @@ def first_estimates(blocks: DataFrame, store: Callable[[DataFrame, str], DataFra
         values = F.sort_array(F.collect_list(F.struct("start", "value")))
         return found.groupBy("group").agg(F.transform(values, lambda x: x["value"]).alias(name))
 
-    middles = store(by_feature(percentiles(blocks.drop("salt"), lambda x, _: enumerate(x.T), 0.5), "middle"), "medians")
-    away = percentiles(with_estimates(blocks, middles), lambda x, row: enumerate(np.abs(x - row["middle"]).T), 0.5)
-    near = store(middles.join(by_feature(away, "mad"), "group"), "deviations")
+    def features(found: Entries) -> Iterator[tuple[Iterable[int], np.ndarray]]:
+        return (([i] * len(found.sizes), x) for i, x in enumerate(found.x.T))
+
+    def away(found: Entries) -> Iterator[tuple[Iterable[int], np.ndarray]]:
+        apart = np.abs(found.x - found.beside["middle"][found.which])
+        return (([i] * len(found.sizes), x) for i, x in enumerate(apart.T))
+
+    middles = store(by_feature(percentiles(blocks, features, 0.5), "middle"), "medians")
+    near = store(middles.join(by_feature(percentiles(beside_blocks(blocks, middles), away, 0.5), "mad"), "group"), "deviations")
 
-    def sets(x: np.ndarray, row: dict) -> Iterator[tuple[int, np.ndarray]]:
-        apart = x - row["middle"]
-        z = apart / np.sqrt((1.4826 * np.array(row["mad"])) ** 2 + VARIANCE_FLOOR)
-        yield 0, np.tanh(z)
-        yield 1, z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12)
-        yield 2, apart
+    def sets(found: Entries) -> Iterator[tuple[Iterable[int], np.ndarray, np.ndarray]]:
+        apart = found.x - found.beside["middle"][found.which]
+        z = apart / np.sqrt((1.4826 * found.beside["mad"]) ** 2 + VARIANCE_FLOOR)[found.which]
+        for k, y in enumerate((np.tanh(z), z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-12), apart)):
+            yield [k] * len(found.sizes), y, np.ones(len(y), bool)
 
-    one = F.sort_array(F.collect_list(F.struct("start", "n_used", *SUMS))).alias("sets")
-    found = near.join(sums(with_estimates(blocks, near), sets).groupBy("group").agg(one), "group")
+    three = F.sort_array(F.collect_list(F.struct("start", "n_used", *SUMS))).alias("sets")
+    found = near.join(sums(beside_blocks(blocks, near), sets).groupBy("group").agg(three), "group")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in _records(batch):
-                (_, tanh), (_, sign), (mean, cov) = map(_moments, row["sets"])
-                n, middle = row["sets"][0]["n_used"], np.array(row["middle"])
-                scatters = starting_covariances(np.array(row["mad"]), tanh, sign)
-                out += [estimate(row["group"], k, n, middle, scatter) for k, scatter in enumerate(scatters)]
-                out.append(estimate(row["group"], len(scatters), n, middle + mean, cov))
-            yield _estimates(out)
+            inner = batch.column("sets").flatten()
+            numbers = dict(zip([field.name for field in inner.type], map(_numbers, inner.flatten()), strict=True))
+            n, totals = numbers["n_used"], np.column_stack([numbers[name] for name in SUMS])
+            mean, cov = _moments(n, totals)
+            middle, mad, groups = _numbers(batch.column("middle")), _numbers(batch.column("mad")), batch.column("group").to_pylist()
+            # Three sets of a group follow each other: tanh scores, signs and the rows themselves.
+            scatters = [[*starting_covariances(mad[i], cov[3 * i], cov[3 * i + 1]), cov[3 * i + 2]] for i in range(len(groups))]
+            for k in range(4):
+                centers = middle + mean[2::3] if k == 3 else middle
+                yield _estimates(groups, [k] * len(groups), n[::3], centers, np.array([x[k] for x in scatters]).reshape(-1, P, P))
 
     return found.mapInArrow(run, ESTIMATE)
 
 
-def squared_distances(x: np.ndarray, start: dict) -> np.ndarray:
-    apart = x - start["center"]
-    return np.einsum("ij,ij->i", apart @ np.array(start["precision"]).reshape(P, P), apart)
+def squared_distances(found: Entries) -> np.ndarray:
+    """Of each row from the center of its entry, under the entry's precision."""
+    apart = found.x - found.beside["center"][found.which]
+    precision = found.beside["precision"].reshape(-1, P, P)
+    if len(found.sizes) * 32 > len(found.x):  # small blocks: all at once
+        return np.einsum("ri,rij,rj->r", apart, precision[found.which], apart)
+    ends = np.cumsum(found.sizes)
+    return np.concatenate([np.einsum("ij,ij->i", apart[a:b] @ m, apart[a:b]) for a, b, m in zip(found.first, ends, precision, strict=True)])
 
 
-def distances(x: np.ndarray, row: dict) -> Iterator[tuple[int, np.ndarray]]:
-    """The squared distances of a block's rows from each of its group's estimates."""
-    for start in row["starts"]:
-        yield start["start"], squared_distances(x, start)
+def distances(found: Entries) -> Iterator[tuple[Iterable[int], np.ndarray]]:
+    yield found.beside["start"].tolist(), squared_distances(found)
 
 
 def by_group(estimates: DataFrame, *columns: str) -> DataFrame:
@@ -414,27 +480,25 @@ def by_group(estimates: DataFrame, *columns: str) -> DataFrame:
 
 def _fit(blocks: DataFrame, limited: DataFrame, factor: float = 1.0) -> DataFrame:
     """Mean and covariance, times a factor, of each estimate's rows up to its ``limit``."""
-    def near(x: np.ndarray, row: dict) -> Iterator[tuple[int, np.ndarray]]:
-        for start in row["starts"]:
-            yield start["start"], (x - start["center"])[squared_distances(x, start) <= start["limit"]]
+    def near(found: Entries) -> Iterator[tuple[Iterable[int], np.ndarray, np.ndarray]]:
+        apart = found.x - found.beside["center"][found.which]
+        yield found.beside["start"], apart, squared_distances(found) <= found.beside["limit"][found.which]
 
     known = limited.select("group", F.explode("starts").alias("known")).select("group", "known.start", "known.n", "known.center")
-    found = sums(with_estimates(blocks, limited), near).join(known, ["group", "start"])
+    found = sums(beside_blocks(blocks, limited), near).join(known, ["group", "start"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for row in _records(batch):
-                mean, cov = _moments(row)
-                out.append(estimate(row["group"], row["start"], row["n"], row["center"] + mean, factor * cov))
-            yield _estimates(out)
+            mean, cov = _moments(_numbers(batch.column("n_used")), np.column_stack([_numbers(batch.column(name)) for name in SUMS]))
+            center = _numbers(batch.column("center")).reshape(-1, P) + mean
+            yield _estimates(batch.column("group").to_pylist(), _numbers(batch.column("start")), _numbers(batch.column("n")), center, factor * cov)
 
     return found.mapInArrow(run, ESTIMATE)
 
 
 def concentrate(blocks: DataFrame, estimates: DataFrame, store: Callable[[DataFrame, str], DataFrame], name: str) -> DataFrame:
     """One concentration step: mean and covariance of each group's COVERAGE nearest rows."""
-    limits = percentiles(with_estimates(blocks, by_group(estimates)), distances, COVERAGE)
+    limits = percentiles(beside_blocks(blocks, by_group(estimates)), distances, COVERAGE)
     # The limit is one of the distances, computed again: a last digit must not leave its row out.
     limited = estimates.join(limits, ["group", "start"]).withColumn("limit", F.col("value") * (1 + 1e-12) + 1e-12)
     return store(_fit(blocks, store(by_group(limited, "limit"), f"{name}-limits")), name)
@@ -462,7 +526,7 @@ def search(blocks: DataFrame, store: Callable[[DataFrame, str], DataFrame], step
 
 def reweight(blocks: DataFrame, estimates: DataFrame, store: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """Mean and covariance of the rows within the quantile REWEIGHT of the scaled estimate."""
-    middles = percentiles(with_estimates(blocks, by_group(estimates)), distances, 0.5)
+    middles = percentiles(beside_blocks(blocks, by_group(estimates)), distances, 0.5)
     usual, limit = chi_square_quantile(0.5, P), chi_square_quantile(REWEIGHT, P)
     scaled = estimates.join(middles, ["group", "start"]).withColumn("limit", F.lit(limit) * F.greatest(F.lit(1.0), F.col("value") / usual))
     return store(_fit(blocks, store(by_group(scaled, "limit"), "distances"), REWEIGHT / chi_square(limit, P + 2)), "reweighted")
